@@ -19,6 +19,21 @@ RESULT_SCHEMA = (
 )
 
 
+def cache_spread(df: DataFrame) -> DataFrame:
+    """Persist ``df`` spread evenly over at least the default parallelism.
+
+    A source of few large row groups would otherwise leave the whole cache in
+    one or two partitions and every timed query single-threaded.  One
+    round-robin shuffle at cache time; the cache is rebuilt from lineage if an
+    executor holding part of it is lost.
+    """
+    sc = df.sparkSession.sparkContext
+    parts = max(sc.defaultParallelism, df.rdd.getNumPartitions())
+    spread = df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    return spread
+
+
 def _median(values: list[float]) -> float:
     ordered = sorted(values)
     return ordered[len(ordered) // 2]
@@ -30,17 +45,17 @@ def scalability_experiment(
     sizes: tuple[int, ...] = (25, 50, 100),
     runs: int = 3,
     warmup: int | None = 25,
+    combined: bool = False,
 ) -> DataFrame:
     """One row per size: records, median seconds, records per second (6 dp)."""
-    base = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    base.count()
+    base = cache_spread(prepared)
     if warmup:
-        workload_run(hash_sample(base, warmup))
+        workload_run(hash_sample(base, warmup), combined)
     rows = []
     for pct in sizes:
         subset = hash_sample(base, pct).persist(StorageLevel.MEMORY_AND_DISK)
         records = subset.count()
-        seconds = _median([sum(workload_run(subset).values()) for _ in range(runs)])
+        seconds = _median([sum(workload_run(subset, combined).values()) for _ in range(runs)])
         throughput = records / seconds if seconds > 0 else 0.0
         rows.append((int(pct), int(records), round(seconds, 6), round(throughput, 6)))
         subset.unpersist()

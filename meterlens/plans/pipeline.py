@@ -7,8 +7,9 @@ Scans of data, in order:
      result is written once and split into hourly/daily/monthly/household/
      weekday/overall plus the three peaks.
   3. stage -> IQR bounds (one row, written once, then a scalar subquery).
-  4. stage -> anomaly records; the summary counts are observed in this pass.
+  4. stage -> anomaly records, and stage -> anomaly summary (one aggregate).
   5. stage -> the first 1,000 readings by time (top-k, no full sort).
+Independent passes run as concurrent jobs (see :func:`write_concurrently`).
 
 The stage is a written table, so losing an executor later costs a re-read of
 the stage, not a re-run of the cleaning; nothing row-level passes through the
@@ -17,16 +18,18 @@ driver and only bounded results are coalesced to a single file.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from meterlens.operators import anomalies as an
 from meterlens.operators import cleaning as cl
 from meterlens.operators import peaks as pk
 from meterlens.operators import rollups as ru
-from meterlens.schema import CLEANED_SCHEMA, ENERGY
+from meterlens.schema import CLEANED_SCHEMA
 from meterlens.session import scratch_path
 from meterlens.sinks import write_result
+from meterlens.sources import read_result
 
 ROLLUP_RESULTS = {
     "hourly": "hourly_consumption",
@@ -38,29 +41,19 @@ ROLLUP_RESULTS = {
 }
 
 
-def _summary_row(spark: SparkSession, bounds: dict, counts: dict) -> DataFrame:
-    total = int(counts.get("total_records") or 0)
-    high = int(counts.get("high") or 0)
-    low = int(counts.get("low") or 0)
-    row = (
-        total,
-        bounds.get("q1_kwh"),
-        bounds.get("q3_kwh"),
-        bounds.get("iqr_kwh"),
-        bounds.get("lower_bound_kwh"),
-        bounds.get("upper_bound_kwh"),
-        high + low,
-        high,
-        low,
-        100.0 * (high + low) / total if total > 0 else 0.0,
-    )
-    schema = (
-        "total_records long, q1_kwh double, q3_kwh double, iqr_kwh double, "
-        "lower_bound_kwh double, upper_bound_kwh double, anomaly_count long, "
-        "high_consumption_anomalies long, low_consumption_anomalies long, "
-        "anomaly_percentage double"
-    )
-    return spark.createDataFrame([row], schema)
+def write_concurrently(jobs: dict[str, tuple[DataFrame, dict]], max_workers: int = 8) -> None:
+    """Run independent result writes as concurrent Spark jobs.
+
+    Small outputs are dominated by per-job latency; submitting them from a few
+    driver threads lets the scheduler overlap them.  Each job is still an
+    ordinary, individually retried Spark write.
+    """
+    if not jobs:
+        return
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(jobs))) as pool:
+        futures = [pool.submit(write_result, df, path, **kw) for path, (df, kw) in jobs.items()]
+        for future in futures:
+            future.result()
 
 
 def run_pipeline(
@@ -77,55 +70,47 @@ def run_pipeline(
     """Run the job; write the twelve results under ``out_dir``; return counts."""
     out = out_dir.rstrip("/")
     stage_dir = (stage_dir or scratch_path(spark, "pipeline")).rstrip("/")
+    bounded = {"fmt": fmt, "single_file": True}
 
-    # 1. clean once, counting quality on the way
+    # 1. clean once; quality counts observed on this shuffle-free pass (a result
+    #    stage: only successful task attempts contribute, so retries cannot
+    #    double-count)
     quality = Observation("data_quality")
     observed = records.observe(quality, *cl.quality_measures(records))
     cl.clean_readings(observed).write.mode("overwrite").parquet(f"{stage_dir}/cleaned")
     stage = spark.read.parquet(f"{stage_dir}/cleaned").select(*CLEANED_SCHEMA.fieldNames())
     counts = dict(quality.get)
 
-    # 2. all rollups in one pass; bounded result written once, then split
-    ru.calendar_rollups(stage).write.mode("overwrite").parquet(f"{stage_dir}/rollups")
-    rollups = spark.read.parquet(f"{stage_dir}/rollups")
-    results = {}
-    for name, result in ROLLUP_RESULTS.items():
-        results[result] = ru.split_rollup(rollups, name)
+    # 2. three independent passes over the stage: all rollups (one grouping-sets
+    #    aggregate), the one-row IQR bounds, the first readings by time
+    rollups_dir, bounds_dir = f"{stage_dir}/rollups", f"{stage_dir}/bounds"
+    write_concurrently(
+        {
+            rollups_dir: (ru.calendar_rollups(stage), {"fmt": "parquet"}),
+            bounds_dir: (an.iqr_bounds(stage, method, accuracy), {"fmt": "parquet"}),
+            f"{out}/cleaned_sample": (pk.cleaned_sample(stage, sample_size), bounded),
+        }
+    )
+    rollups = spark.read.parquet(rollups_dir)
+    bounds = spark.read.parquet(bounds_dir)
+
+    # 3. split the small rollup table into its results and peaks; flag
+    #    anomalies against the stored bounds; summarise them — all concurrently
+    results = {result: ru.split_rollup(rollups, name) for name, result in ROLLUP_RESULTS.items()}
     results["peak_hour"] = pk.result_peak(results["hourly_consumption"], ["hour"])
     results["peak_day"] = pk.result_peak(results["daily_consumption"], ["date"])
     results["peak_month"] = pk.result_peak(results["monthly_consumption"], ["year", "month"])
-    for name, df in results.items():
-        write_result(df, f"{out}/{name}", fmt=fmt, single_file=True)
-
-    # 3. bounds: one row, computed once
-    an.iqr_bounds(stage, method, accuracy).write.mode("overwrite").parquet(f"{stage_dir}/bounds")
-    bounds = spark.read.parquet(f"{stage_dir}/bounds")
-
-    # 4. anomalies; summary counts observed in the same pass
+    jobs = {f"{out}/{name}": (df, bounded) for name, df in results.items()}
     flagged = an.flag_anomalies(stage, bounds)
-    seen = Observation("anomaly_counts")
-    flagged = flagged.observe(
-        seen,
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("anomaly_type") == F.lit(an.HIGH)).alias("high"),
-        F.count_if(F.col("anomaly_type") == F.lit(an.LOW)).alias("low"),
-    )
-    write_result(
-        an.anomaly_records(flagged, ordered=sort_anomalies), f"{out}/anomaly_detection", fmt=fmt
-    )
-    bound_values = bounds.first().asDict() if not bounds.isEmpty() else {}
-    summary = _summary_row(spark, bound_values, dict(seen.get))
-    write_result(summary, f"{out}/anomaly_summary", fmt=fmt, single_file=True)
-
-    # 5. first readings by time
-    write_result(
-        pk.cleaned_sample(stage, sample_size), f"{out}/cleaned_sample", fmt=fmt, single_file=True
+    jobs[f"{out}/anomaly_detection"] = (
+        an.anomaly_records(flagged, ordered=sort_anomalies),
+        {"fmt": fmt},
     )
+    summary = an.anomaly_summary(stage, bounds)
+    jobs[f"{out}/anomaly_summary"] = (summary, bounded)
+    write_concurrently(jobs)
 
-    counts.update(
-        {
-            "total_records": summary.first()["total_records"],
-            "anomaly_count": summary.first()["anomaly_count"],
-        }
-    )
+    written = read_result(spark, f"{out}/anomaly_summary") if fmt == "csv" else None
+    row = (written if written is not None else spark.read.format(fmt).load(f"{out}/anomaly_summary")).first()
+    counts.update({"total_records": row["total_records"], "anomaly_count": row["anomaly_count"]})
     return counts
