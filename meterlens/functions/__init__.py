@@ -2,7 +2,9 @@
 
 from meterlens.functions.columns import (
     PY_WHITESPACE,
+    DAY_NAMES,
     TIME_LAYOUTS,
+    day_name,
     format_measure,
     hour_label,
     is_finite,
@@ -15,7 +17,9 @@ from meterlens.functions.columns import (
 
 __all__ = [
     "PY_WHITESPACE",
+    "DAY_NAMES",
     "TIME_LAYOUTS",
+    "day_name",
     "format_measure",
     "hour_label",
     "is_finite",

@@ -22,6 +22,9 @@ PY_WHITESPACE = (
 # (1-9 fraction digits, optional ``T``), so one try_cast covers the chain.
 TIME_LAYOUTS = ("yyyy-MM-dd HH:mm:ss.SSSSSSS", "yyyy-MM-dd HH:mm:ss")
 
+# English day names in ``dayofweek`` order (1 = Sunday).
+DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+
 # Energy texts meaning "no reading" (compared case-insensitively).
 MISSING_ENERGY_TEXTS = ("null", "none", "")
 
@@ -68,6 +71,14 @@ def parse_reading_time(c: Column | str) -> Column:
     return _col(c).try_cast("timestamp_ntz")
 
 
+def day_name(t: Column | str) -> Column:
+    """Full English day name of a date/timestamp (same as ``date_format(t, 'EEEE')``
+    under the default locale), via an integer lookup instead of per-row
+    string formatting."""
+    names = F.array(*[F.lit(n) for n in DAY_NAMES])
+    return F.element_at(names, F.dayofweek(_col(t)))
+
+
 def sample_bucket(*cols: Column | str) -> Column:
     """Deterministic bucket 0..99 of ``xxhash64(concat_ws('||', cols...))``.
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlens.functions import parse_energy, parse_reading_time, strip_text
+from meterlens.functions import day_name, parse_energy, parse_reading_time, strip_text
 from meterlens.schema import ENERGY, HOUSEHOLD, RAW_ENERGY, TARIFF, TIME
 
 
@@ -51,7 +51,7 @@ def add_calendar(df: DataFrame) -> DataFrame:
         F.month(t).alias("month"),
         F.dayofmonth(t).alias("day"),
         F.hour(t).alias("hour"),
-        F.date_format(t, "EEEE").alias("day_of_week"),
+        day_name(t).alias("day_of_week"),
     )
 
 

@@ -104,3 +104,11 @@ def test_labels(spark):
         format_measure(F.lit("oops")).alias("bad"),
     ).first()
     assert (row.p, row.hl, row.f, row.bad) == ("2013-01", "07:00", "1,234,567.89", "0.00")
+
+
+def test_day_name_matches_date_format(spark):
+    from meterlens.functions import day_name
+
+    df = spark.range(0, 400).select(F.date_add(F.lit("2011-12-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    rows = df.select(day_name("d").alias("a"), F.date_format("d", "EEEE").alias("b")).collect()
+    assert all(r.a == r.b for r in rows)
