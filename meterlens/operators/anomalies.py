@@ -5,13 +5,19 @@ and re-injecting literals, the bounds stay a one-row DataFrame that feeds the
 flagging expression as an (uncorrelated) scalar subquery: Spark runs it once,
 broadcasts the single value, and the whole detection remains one lazy plan.
 
-``method="approx"`` (default) uses ``percentile_approx`` — a mergeable sketch
-with bounded memory per task (relative rank error ``1/accuracy``; 1000 gives
-the 0.001 error of the original job).  ``method="exact"`` uses
-``percentile_disc`` (the smallest value whose cumulative share reaches p); its
-partial state is a value->count map, i.e. it grows with the number of
-DISTINCT energy values, which is small for metered data recorded at fixed
-precision.  Use it for checks and bounded-precision measures.
+Quartile methods:
+
+* ``"approx"`` (default): ``percentile_approx`` — a mergeable sketch with
+  bounded memory per task (rank error ``1/accuracy``; 1000 gives the 0.001
+  error of the original job).  Fully lazy, one scan.
+* ``"exact"``: the discrete quartiles (smallest value whose cumulative share
+  reaches p) by distributed histogram refinement
+  (:func:`meterlens.operators.quantiles.exact_quantiles`): a few small jobs run
+  when the bounds are built, each one scan of the energy column; no task ever
+  holds more than one bin histogram.
+* ``"disc"``: Spark's ``percentile_disc`` — same values as ``"exact"``, lazy, but
+  its state is a value->count map merged in ONE task, so memory grows with the
+  number of distinct energy values.  Fine for fixed-precision meters only.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlens.operators.quantiles import exact_quantiles
 from meterlens.schema import ENERGY, HOUSEHOLD, TIME
 
 # Quartile levels, the IQR multiplier and the anomaly labels.
@@ -36,20 +43,27 @@ def _quartiles(method: str, accuracy: int) -> tuple[Column, Column]:
     if method == "approx":
         qs = F.percentile_approx(ENERGY, [Q1_LEVEL, Q3_LEVEL], accuracy)
         return qs[0], qs[1]
-    if method == "exact":
+    if method == "disc":
         q1 = F.expr(f"percentile_disc({Q1_LEVEL}) WITHIN GROUP (ORDER BY {ENERGY})")
         q3 = F.expr(f"percentile_disc({Q3_LEVEL}) WITHIN GROUP (ORDER BY {ENERGY})")
         return q1, q3
-    raise ValueError("method must be 'approx' or 'exact'")
+    raise ValueError("method must be 'approx', 'exact' or 'disc'")
 
 
 def iqr_bounds(cleaned: DataFrame, method: str = "approx", accuracy: int = 1000) -> DataFrame:
     """One row: ``q1_kwh, q3_kwh, iqr_kwh, lower_bound_kwh, upper_bound_kwh``.
 
-    Null bounds when there are no readings (so nothing is flagged).
+    Null bounds when there are no readings (so nothing is flagged).  With
+    ``method="exact"`` the quartiles are computed when this is called.
     """
-    q1, q3 = _quartiles(method, accuracy)
-    quart = cleaned.agg(q1.cast("double").alias("q1_kwh"), q3.cast("double").alias("q3_kwh"))
+    if method == "exact":
+        q1, q3 = exact_quantiles(cleaned, ENERGY, [Q1_LEVEL, Q3_LEVEL])
+        quart = cleaned.sparkSession.createDataFrame([(q1, q3)], "q1_kwh double, q3_kwh double")
+    else:
+        q1, q3 = _quartiles(method, accuracy)
+        quart = cleaned.agg(
+            q1.cast("double").alias("q1_kwh"), q3.cast("double").alias("q3_kwh")
+        )
     iqr = F.col("q3_kwh") - F.col("q1_kwh")
     return quart.select(
         "q1_kwh",
