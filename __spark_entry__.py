@@ -76,8 +76,14 @@ def events_text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _table(spark, sf_dir, "events")
     eid = F.col("event_id")
     uid = F.col("user_id").cast("string")
-    with_fraction = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("0"))
-    no_fraction = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    # built from zone-free parts (date_format would route the wall-clock
+    # timestamp through the session time zone)
+    seconds = F.lpad(F.extract(F.lit("SECOND"), "ts").cast("decimal(8,6)").cast("string"), 9, "0")
+    clock = F.format_string(
+        "%s %02d:%02d:%s", F.to_date("ts").cast("string"), F.hour("ts"), F.minute("ts"), seconds
+    )
+    with_fraction = F.concat(clock, F.lit("0"))
+    no_fraction = F.substring(clock, 1, 19)
     return ev.select(
         F.when(eid % 7 == 0, F.concat(F.lit(" "), uid, F.lit("\t"))).otherwise(uid).alias(HOUSEHOLD),
         F.col("event_type").alias(TARIFF),

@@ -140,9 +140,13 @@ def split_rollup(rollups: DataFrame, name: str) -> DataFrame:
             F.col("average_half_hour_kwh").alias("average_energy_kwh"), "readings",
         ).orderBy("day_of_week")
     if name == "overall":
-        return part.select(
-            TOTAL, "average_half_hour_kwh", "minimum_half_hour_kwh",
-            "maximum_half_hour_kwh", "stddev_half_hour_kwh",
-            F.col("readings").alias("valid_readings"),
+        # a global aggregate over the (at most one) row: always exactly one row,
+        # like overall_statistics, also when the input was empty
+        return part.agg(
+            *[F.max(c).alias(c) for c in (
+                TOTAL, "average_half_hour_kwh", "minimum_half_hour_kwh",
+                "maximum_half_hour_kwh", "stddev_half_hour_kwh",
+            )],
+            F.coalesce(F.max("readings"), F.lit(0)).alias("valid_readings"),
         )
     raise ValueError(f"unknown rollup {name!r}; expected one of {list(ROLLUP_SETS)}")

@@ -20,16 +20,18 @@ RESULT_SCHEMA = (
 
 
 def cache_spread(df: DataFrame) -> DataFrame:
-    """Persist ``df`` spread evenly over at least the default parallelism.
+    """Persist ``df``, spread over at least the default parallelism.
 
-    A source of few large row groups would otherwise leave the whole cache in
-    one or two partitions and every timed query single-threaded.  One
-    round-robin shuffle at cache time; the cache is rebuilt from lineage if an
-    executor holding part of it is lost.
+    Only when the input has fewer partitions than the cluster has cores (a
+    small source of few large row groups would otherwise leave the cache in one
+    partition and every timed query single-threaded) is it round-robin
+    repartitioned once; a large input keeps its partitioning and is not
+    shuffled.  A lost cached block is rebuilt from lineage.
     """
-    sc = df.sparkSession.sparkContext
-    parts = max(sc.defaultParallelism, df.rdd.getNumPartitions())
-    spread = df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        df = df.repartition(parallelism)
+    spread = df.persist(StorageLevel.MEMORY_AND_DISK)
     spread.count()
     return spread
 

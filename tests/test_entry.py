@@ -70,3 +70,17 @@ def test_household_rollup_reads_only_needed_columns(spark):
     df = E.queries()["household_consumption"](spark, SMOKE_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+
+
+@pytest.mark.parametrize("name", ["clean_readings", "hourly_consumption", "weekday_consumption",
+                                  "daily_consumption", "normalize_feed"])
+def test_queries_do_not_depend_on_session_zone(spark, name):
+    fn = E.queries()[name]
+    base = sorted(map(repr, fn(spark, SMOKE_DIR).collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Australia/Lord_Howe")
+        other = sorted(map(repr, fn(spark, SMOKE_DIR).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert base == other

@@ -91,3 +91,22 @@ def test_stream_picks_up_new_files_only(spark, scratch):
     got = sorted(r.LCLid for r in read_readings(spark, f"{base}/records", fmt="json").collect())
     assert got == ["A", "B"]
     assert F  # keep import
+
+
+def test_stream_ingest_counts_are_observed(spark, scratch):
+    from meterlens.streaming import INGEST_METRICS
+
+    base = os.path.join(scratch, "obs")
+    feed = raw_feed(spark, [("A", "Std", "2012-01-01 00:00:00", "1.0"),
+                            ("B", "Std", "2012-01-01 00:30:00", "Null"),
+                            ("C", "Std", "2012-01-01 01:00:00", "none")])
+    write_feed_files(feed, f"{base}/feed")
+    q = stream_feed_to_records(spark, f"{base}/feed", f"{base}/records", checkpoint=f"{base}/ck")
+    q.awaitTermination()
+    sent = missing = 0
+    for progress in q.recentProgress:
+        metrics = progress.observedMetrics.get(INGEST_METRICS)
+        if metrics is not None:
+            sent += metrics["records_sent"]
+            missing += metrics["missing_energy_records"]
+    assert (sent, missing) == (3, 2)

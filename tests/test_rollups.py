@@ -98,3 +98,12 @@ def test_skewed_household_partial_aggregation(spark):
     hot = readings(spark, [("HOT", f"2012-02-06 {h:02d}:00:00", 1.0) for h in range(24)] * 50)
     plan = ru.household_consumption(hot)._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan
+
+
+def test_overall_split_on_empty_input_is_one_row(cleaned):
+    empty = cleaned.limit(0)
+    direct = ru.overall_statistics(empty).collect()
+    split = ru.split_rollup(ru.calendar_rollups(empty), "overall").collect()
+    assert len(direct) == len(split) == 1
+    assert split[0].valid_readings == direct[0].valid_readings == 0
+    assert split[0].total_energy_kwh is None
