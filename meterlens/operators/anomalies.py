@@ -107,12 +107,20 @@ def flag_anomalies(
 def anomaly_records(flagged: DataFrame, ordered: bool = True) -> DataFrame:
     """Flagged rows only, largest energy first (time, household break ties).
 
-    ``ordered=False`` skips the global sort (a range shuffle of every anomaly)
-    when the consumer does not need the order.
+    The sort is a range shuffle.  Exact duplicate rows share one sort key and a
+    range partitioner cannot split equal keys, so a per-row sequence number is
+    the last tie-break: a hot group of identical copies is spread over many
+    range partitions instead of landing in one task.  ``ordered=False`` skips
+    the sort when the consumer does not need the order.
     """
     rows = flagged.filter(F.col("anomaly"))
     if ordered:
-        rows = rows.orderBy(F.desc(ENERGY), F.asc(TIME), F.asc(HOUSEHOLD))
+        seq = "_row_seq"
+        rows = (
+            rows.withColumn(seq, F.monotonically_increasing_id())
+            .orderBy(F.desc(ENERGY), F.asc(TIME), F.asc(HOUSEHOLD), F.asc(seq))
+            .drop(seq)
+        )
     return rows
 
 

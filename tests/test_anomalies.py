@@ -114,3 +114,20 @@ def test_bounds_stay_in_plan_no_driver_roundtrip(spark):
 def test_detect_anomalies_pair(spark):
     records, summary = an.detect_anomalies(_values(spark, [1.0] * 10 + [2.0] * 10 + [99.0]), method="exact")
     assert records.count() == summary.first().anomaly_count == 1
+
+
+def test_duplicate_hot_anomalies_spread_over_partitions(spark):
+    from pyspark.sql import functions as F
+
+    base = [("N", f"2012-01-01 00:{i % 60:02d}:00", 1.0 + (i % 3)) for i in range(600)]
+    hot = [("HOT", "2012-01-02 00:00:00", 500.0)] * 100
+    flagged = an.flag_anomalies(readings(spark, base + hot), method="exact")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        records = an.anomaly_records(flagged)
+        sizes = records.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in sizes) == 100
+    assert max(r["count"] for r in sizes) < 100  # the identical copies were split
+    assert [r.energy_kwh for r in an.anomaly_records(flagged).collect()] == [500.0] * 100

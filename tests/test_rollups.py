@@ -107,3 +107,14 @@ def test_overall_split_on_empty_input_is_one_row(cleaned):
     assert len(direct) == len(split) == 1
     assert split[0].valid_readings == direct[0].valid_readings == 0
     assert split[0].total_energy_kwh is None
+
+
+def test_calendar_rollups_is_one_scan_one_shuffle(spark):
+    import __spark_entry__ as E
+
+    df = ru.calendar_rollups(E.events_cleaned(spark, "/root/testdata/sf0.001"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Expand" in plan
