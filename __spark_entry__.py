@@ -300,6 +300,17 @@ def q_stream_land_readings(spark, d):
     return feed_round_trip(spark, events_text_feed(spark, d))
 
 
+def q_run_pipeline(spark, d):
+    """The full job over the events feed; returns its written anomaly summary."""
+    from meterlens.plans.pipeline import run_pipeline
+    from meterlens.session import scratch_path
+    from meterlens.sources import read_result
+
+    out = scratch_path(spark, "pipeline-results")
+    run_pipeline(spark, feed_records(spark, d), out, method="exact")
+    return _rounded(read_result(spark, f"{out}/anomaly_summary"))
+
+
 def q_scalability_experiment(spark, d):
     from meterlens.plans.experiment import scalability_experiment
 
@@ -346,6 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_or_default": q_first_or_default,
     "overview_report": q_overview_report,
     "stream_land_readings": q_stream_land_readings,
+    "run_pipeline": q_run_pipeline,
     "scalability_experiment": q_scalability_experiment,
 }
 
@@ -642,6 +654,24 @@ FROM o, ph, pd, pm""",
     "stream_land_readings": f"""
 WITH {_FEED}
 SELECT * FROM records""",
+    "run_pipeline": f"""
+WITH {_FEED}, {_FEED_CLEANED}, {_BOUNDS},
+counts AS (
+  SELECT count(*) AS total_records,
+         count(*) FILTER (WHERE anomaly_type = 'High Consumption') AS high_consumption_anomalies,
+         count(*) FILTER (WHERE anomaly_type = 'Low Consumption') AS low_consumption_anomalies
+  FROM flagged
+)
+SELECT total_records, round(q1_kwh, 6) AS q1_kwh, round(q3_kwh, 6) AS q3_kwh,
+       round(iqr_kwh, 6) AS iqr_kwh, round(lower_bound_kwh, 6) AS lower_bound_kwh,
+       round(upper_bound_kwh, 6) AS upper_bound_kwh,
+       high_consumption_anomalies + low_consumption_anomalies AS anomaly_count,
+       high_consumption_anomalies, low_consumption_anomalies,
+       round(CASE WHEN total_records > 0
+                  THEN 100.0 * (high_consumption_anomalies + low_consumption_anomalies)
+                       / total_records
+                  ELSE 0.0 END, 6) AS anomaly_percentage
+FROM counts, bounds""",
 }
 
 
