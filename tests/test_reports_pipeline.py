@@ -109,3 +109,12 @@ def test_scalability_experiment_shape(spark):
 @pytest.mark.parametrize("name", sorted(RESULT_SCHEMAS))
 def test_result_schemas_parse(spark, name):
     assert spark.createDataFrame([], RESULT_SCHEMAS[name]).columns
+
+
+def test_cli_pipeline_and_experiment(spark, scratch):
+    from meterlens.__main__ import _parser
+
+    args = _parser().parse_args(["pipeline", "in", "out", "--quartiles", "exact"])
+    assert (args.command, args.quartiles, args.result_format) == ("pipeline", "exact", "csv")
+    args = _parser().parse_args(["experiment", "in", "out", "--sizes", "10,100", "--combined"])
+    assert (args.sizes, args.combined) == ("10,100", True)
