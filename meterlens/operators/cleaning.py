@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlens.functions import day_name, parse_energy, parse_reading_time, strip_text
-from meterlens.schema import ENERGY, HOUSEHOLD, RAW_ENERGY, TARIFF, TIME
+from meterlens.schema import ENERGY, HOUSEHOLD, RAW_ENERGY, TARIFF, TIME, household_is
 
 
 def normalize_feed(raw: DataFrame, energy_column: str = RAW_ENERGY) -> DataFrame:
@@ -128,4 +128,4 @@ def coerce_result(
 
 def select_household(df: DataFrame, household: str) -> DataFrame:
     """Rows of one household, compared as text."""
-    return df.filter(F.col(HOUSEHOLD).cast("string") == F.lit(str(household)))
+    return df.filter(household_is(df, household))

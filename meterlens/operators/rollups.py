@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.schema import ENERGY, HOUSEHOLD
+from meterlens.schema import ENERGY, HOUSEHOLD, household_is
 
 TOTAL = "total_energy_kwh"
 
@@ -77,7 +77,7 @@ def overall_statistics(cleaned: DataFrame) -> DataFrame:
 
 def household_total(results: DataFrame, household: str, measure: str = TOTAL) -> DataFrame:
     """One row: total of ``measure`` over one household's rows; 0.0 when none."""
-    rows = results.filter(F.col(HOUSEHOLD).cast("string") == F.lit(str(household)))
+    rows = results.filter(household_is(results, household))
     return rows.agg(F.coalesce(F.sum(measure), F.lit(0.0)).alias(measure))
 
 

@@ -73,6 +73,26 @@ ORDERS_ROLES = Roles(household="o_custkey", time="o_orderdate", energy="o_totalp
 LINEITEM_ROLES = Roles(household="l_suppkey", time="l_shipdate", energy="l_extendedprice")
 
 
+def household_is(df: DataFrame, household) -> Column:
+    """``household`` equals the row's household, compared as text.
+
+    For an integral household column and a canonical integer text (``"42"``,
+    not ``"042"``) the same test is written as a numeric equality, which the
+    Parquet reader can push down and use to skip row groups; otherwise the
+    column is compared in its text form.
+    """
+    text = str(household)
+    dtype = df.schema[HOUSEHOLD].dataType
+    if isinstance(dtype, T.IntegralType):
+        try:
+            number = int(text)
+        except ValueError:
+            number = None
+        if number is not None and str(number) == text:
+            return F.col(HOUSEHOLD) == F.lit(number).cast(dtype)
+    return F.col(HOUSEHOLD).cast("string") == F.lit(text)
+
+
 def _role(df: DataFrame, name: str | None) -> Column:
     return F.col(name) if name else F.lit(None).cast("string")
 

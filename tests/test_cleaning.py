@@ -104,3 +104,15 @@ def test_select_household_text_compare(spark):
 
 def test_raw_energy_column_name_has_trailing_space():
     assert RAW_ENERGY.endswith(" ")
+
+
+def test_select_household_numeric_pushdown_and_text_semantics(spark):
+    df = spark.createDataFrame([(1, 1.0), (42, 2.0), (420, 3.0)], "LCLid long, energy_kwh double")
+    assert [r.LCLid for r in select_household(df, "42").collect()] == [42]
+    assert select_household(df, "042").count() == 0  # text semantics: '042' is no id
+    assert select_household(df, "x").count() == 0
+    import __spark_entry__ as E
+
+    q = E.queries()["select_household"](spark, "/root/testdata/sf0.001")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user_id,42)" in plan
