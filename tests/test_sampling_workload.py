@@ -1,7 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
-
 from meterlens.operators.sampling import hash_sample
 from meterlens.operators.workload import (
     workload_combined,
@@ -61,4 +59,3 @@ def test_workload_hour_from_text_time(spark):
     )
     got = {r.hour: r.total_energy_kwh for r in workload_hourly(df).collect()}
     assert got == {5: 1.0, None: 2.0}
-    assert F  # keep import
