@@ -36,9 +36,12 @@ def first_or_default(
 ) -> DataFrame:
     """One row, one column: the first row's value (by ``order_by``), else ``default``.
 
-    Always exactly one row — also for an empty frame or a null first value —
-    computed as a global ``min_by`` aggregate, not a driver-side ``first()``.
+    Always exactly one row — also for an empty frame, a null first value or a
+    frame without that column — computed as a global ``min_by`` aggregate, not
+    a driver-side ``first()``.
     """
+    if column not in df.columns:
+        return df.sparkSession.range(1).select(F.lit(default).alias(column))
     c = F.col(column)
     if order_by:
         key = F.struct(*[F.col(k) for k in order_by])

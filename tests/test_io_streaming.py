@@ -107,3 +107,13 @@ def test_stream_ingest_counts_are_observed(spark, scratch):
             sent += metrics["records_sent"]
             missing += metrics["missing_energy_records"]
     assert (sent, missing) == (3, 2)
+
+
+def test_read_raw_feed_fails_without_csv(spark, scratch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    folder = os.path.join(scratch, "empty")
+    os.makedirs(folder)
+    with pytest.raises(AnalysisException):
+        read_raw_feed(spark, folder).count()

@@ -118,3 +118,8 @@ def test_cli_pipeline_and_experiment(spark, scratch):
     assert (args.command, args.quartiles, args.result_format) == ("pipeline", "exact", "csv")
     args = _parser().parse_args(["experiment", "in", "out", "--sizes", "10,100", "--combined"])
     assert (args.sizes, args.combined) == ("10,100", True)
+
+
+def test_first_or_default_missing_column(spark):
+    cleaned = readings(spark, ROWS)
+    assert [r.nope for r in rp.first_or_default(cleaned, "nope", 7.5).collect()] == [7.5]
