@@ -32,6 +32,12 @@ from meterlens.session import scratch_path
 from meterlens.sinks import write_result
 from meterlens.sources import read_result
 
+# Results whose size grows with the data (one row per household): written with
+# the parallelism of their range-partitioned sort (ordered part files), never
+# funnelled through one task.  All other results are bounded by the calendar or
+# are single rows and are written as one file.
+UNBOUNDED_RESULTS = {"household_consumption"}
+
 ROLLUP_RESULTS = {
     "hourly": "hourly_consumption",
     "daily": "daily_consumption",
@@ -115,7 +121,10 @@ def run_pipeline(
     results["peak_hour"] = pk.result_peak(results["hourly_consumption"], ["hour"])
     results["peak_day"] = pk.result_peak(results["daily_consumption"], ["date"])
     results["peak_month"] = pk.result_peak(results["monthly_consumption"], ["year", "month"])
-    jobs = {f"{out}/{name}": (df, bounded) for name, df in results.items()}
+    jobs = {
+        f"{out}/{name}": (df, {"fmt": fmt} if name in UNBOUNDED_RESULTS else bounded)
+        for name, df in results.items()
+    }
     flagged = an.flag_anomalies(stage, bounds)
     jobs[f"{out}/anomaly_detection"] = (
         an.anomaly_records(flagged, ordered=sort_anomalies),
