@@ -28,6 +28,13 @@ DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "
 # Energy texts meaning "no reading" (compared case-insensitively).
 MISSING_ENERGY_TEXTS = ("null", "none", "")
 
+# A plain decimal number: optional sign, digits with an optional fraction (or a
+# bare fraction), optional exponent.  Java's double parser behind Spark's cast
+# also takes type suffixes (``0.5d``, ``1f``) and hex floats; those are not
+# numbers to Python's ``float`` and must not be to us either.  Deliberately
+# ASCII digits only (Python would also read ``1_000`` and non-ASCII digits).
+DECIMAL_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
 _INF = float("inf")
 
 
@@ -56,7 +63,7 @@ def parse_energy(c: Column | str) -> Column:
     value = text.try_cast("double")
     return (
         F.when(F.lower(text).isin(*MISSING_ENERGY_TEXTS), F.lit(None).cast("double"))
-        .when(is_finite(value), value)
+        .when(text.rlike(DECIMAL_NUMBER) & is_finite(value), value)
         .otherwise(F.lit(None).cast("double"))
     )
 

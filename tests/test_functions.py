@@ -112,3 +112,40 @@ def test_day_name_matches_date_format(spark):
     df = spark.range(0, 400).select(F.date_add(F.lit("2011-12-01").cast("date"), F.col("id").cast("int")).alias("d"))
     rows = df.select(day_name("d").alias("a"), F.date_format("d", "EEEE").alias("b")).collect()
     assert all(r.a == r.b for r in rows)
+
+
+def _python_energy(text):
+    """The ingest-time semantics: strip, missing words, Python float, finite only."""
+    if text is None:
+        return None
+    t = text.strip()
+    if t.lower() in ("null", "none", ""):
+        return None
+    if "_" in t or not t.isascii():  # Python-only forms: digit grouping, non-ASCII digits
+        return None
+    try:
+        v = float(t)
+    except ValueError:
+        return None
+    return v if math.isfinite(v) else None
+
+
+@pytest.mark.parametrize("text", ["0.5d", "1f", "0x1p3", "1e3", "-.5", "5.", "+2", "1_000", "١٢"])
+def test_parse_energy_rejects_non_decimal_forms(spark, text):
+    got = _one(spark, parse_energy(F.col("v")), text)
+    assert got == _python_energy(text)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=" \t\xa0+-.0123456789eEdfxnaulNAUL", max_size=8), min_size=1, max_size=60))
+def test_parse_energy_property(spark, texts):
+    rows = spark.createDataFrame([(t,) for t in texts], "v string").select(
+        "v", parse_energy(F.col("v")).alias("r")
+    ).collect()
+    for row in rows:
+        expected = _python_energy(row.v)
+        assert row.r == expected or (expected is not None and math.isclose(row.r, expected)), row
