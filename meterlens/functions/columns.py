@@ -22,6 +22,15 @@ PY_WHITESPACE = (
 # (1-9 fraction digits, optional ``T``), so one try_cast covers the chain.
 TIME_LAYOUTS = ("yyyy-MM-dd HH:mm:ss.SSSSSSS", "yyyy-MM-dd HH:mm:ss")
 
+# Text that ends a clock time with an explicit zone: ``Z``, an offset, or a
+# zone name (``UTC``, ``GMT+1``, ``Europe/London``).
+ZONED_TIME = (
+    r":[0-9]{2}([.][0-9]+)?[ ]*"
+    r"([Zz]|[+-][0-9]{1,2}(:?[0-9]{2})?|(UTC|GMT|UT)([+-][0-9:]+)?|[A-Za-z]+/[A-Za-z_]+)$"
+)
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
 # English day names in ``dayofweek`` order (1 = Sunday).
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
@@ -73,9 +82,17 @@ def parse_reading_time(c: Column | str) -> Column:
 
     A meter reports local wall-clock time without a zone, so the result is a
     zone-free timestamp: hour, date and weekday never depend on the session or
-    host time zone.  ``try_cast`` is the ANSI-safe form (never raises).
+    host time zone.  ``try_cast`` is the ANSI-safe form (never raises).  Text
+    that carries an explicit zone names an instant; it becomes that instant's
+    UTC wall clock (epoch + its microseconds, so again session-independent).
     """
-    return _col(c).try_cast("timestamp_ntz")
+    text = _col(c)
+    instant_utc = F.timestamp_add(
+        "MICROSECOND",
+        F.unix_micros(text.try_cast("timestamp")),
+        F.lit(_EPOCH_NTZ).cast("timestamp_ntz"),
+    )
+    return F.when(text.rlike(ZONED_TIME), instant_utc).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def day_name(t: Column | str) -> Column:

@@ -64,6 +64,13 @@ def test_parse_energy(spark, text, expected):
         ("2012-02-08 13:30:00.1234567", "2012-02-08T13:30:00.123456"),
         ("2012-02-08 13:30:00", "2012-02-08T13:30:00"),
         ("2012-02-08T13:30:00", "2012-02-08T13:30:00"),
+        ("2012-02-08T13:30:00Z", "2012-02-08T13:30:00"),
+        ("2012-02-08 13:30:00+05:00", "2012-02-08T08:30:00"),
+        ("2012-02-08 13:30:00.5-0130", "2012-02-08T15:00:00.500000"),
+        ("2012-02-08 13:30:00 UTC", "2012-02-08T13:30:00"),
+        ("2012-07-08 13:30:00 Europe/London", "2012-07-08T12:30:00"),
+        ("2012-02-08", "2012-02-08T00:00:00"),
+        ("2012-02", "2012-02-01T00:00:00"),
         ("bad", None),
         ("", None),
         (None, None),
@@ -79,9 +86,10 @@ def test_parse_time_ignores_session_zone(spark):
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         got = _one(spark, F.hour(parse_reading_time(F.col("v"))), "2012-03-11 02:30:00")
+        zoned = _one(spark, F.hour(parse_reading_time(F.col("v"))), "2012-02-08 13:30:00+05:00")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
-    assert got == 2
+    assert (got, zoned) == (2, 8)
 
 
 def test_sample_bucket_matches_pmod_abs(spark):
