@@ -87,12 +87,20 @@ def parse_reading_time(c: Column | str) -> Column:
     UTC wall clock (epoch + its microseconds, so again session-independent).
     """
     text = _col(c)
+    # cheap character tests first, so plain wall-clock text never runs the
+    # pattern: a zone ends in a letter, or carries a sign inside the time part
+    maybe_zoned = (
+        ~F.substring(text, -1, 1).between("0", "9")
+        | (F.instr(text, "+") > 0)
+        | (F.locate("-", text, 12) > 0)
+    )
+    zoned = maybe_zoned & text.rlike(ZONED_TIME)
     instant_utc = F.timestamp_add(
         "MICROSECOND",
         F.unix_micros(text.try_cast("timestamp")),
         F.lit(_EPOCH_NTZ).cast("timestamp_ntz"),
     )
-    return F.when(text.rlike(ZONED_TIME), instant_utc).otherwise(text.try_cast("timestamp_ntz"))
+    return F.when(zoned, instant_utc).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def day_name(t: Column | str) -> Column:

@@ -30,6 +30,18 @@ def normalize_feed(raw: DataFrame, energy_column: str = RAW_ENERGY) -> DataFrame
     )
 
 
+def evaluate_once(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """Project ``columns`` so that a later filter is not pushed below them.
+
+    Catalyst pushes a filter below a projection by substituting the projected
+    expressions into it, so a filter on parsed values would run the text
+    parsing twice per row — in the filter and again in the projection
+    (subexpression elimination does not cross operators).  A one-element
+    generator is opaque to that rewrite: every row is parsed exactly once.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def _reading_time(df: DataFrame) -> Column:
     """The time column as a timestamp: parse text, keep timestamps as they are."""
     dtype = df.schema[TIME].dataType
@@ -58,11 +70,20 @@ def add_calendar(df: DataFrame) -> DataFrame:
 def clean_readings(records: DataFrame) -> DataFrame:
     """Type the time, drop rows without energy or with an unusable time, add calendar.
 
-    Drops the document store's ``_id`` if present.  Both filters sit directly on
-    the scan, so Catalyst pushes ``energy_kwh IS NOT NULL`` into the Parquet
-    reader and evaluates the time parse once.
+    Drops the document store's ``_id`` if present.  Typed sources (time already a
+    timestamp) keep the filters directly over the scan, so ``IS NOT NULL`` reaches
+    the Parquet reader.  Text sources are parsed exactly once per row
+    (:func:`evaluate_once`) before the rows without a usable time are dropped.
     """
-    typed = records.drop("_id").withColumn(TIME, _reading_time(records))
+    records = records.drop("_id")
+    if isinstance(records.schema[TIME].dataType, T.StringType):
+        cols = [
+            parse_reading_time(TIME).alias(TIME) if c == TIME else F.col(f"`{c}`")
+            for c in records.columns
+        ]
+        typed = evaluate_once(records, cols)
+    else:
+        typed = records
     kept = typed.filter(F.col(ENERGY).isNotNull() & F.col(TIME).isNotNull())
     return add_calendar(kept)
 

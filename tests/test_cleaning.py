@@ -116,3 +116,15 @@ def test_select_household_numeric_pushdown_and_text_semantics(spark):
     q = E.queries()["select_household"](spark, "/root/testdata/sf0.001")
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(user_id,42)" in plan
+
+
+def test_text_time_is_parsed_once_per_row(spark):
+    import __spark_entry__ as E
+    from meterlens.functions.columns import ZONED_TIME
+
+    cleaned = clean_readings(E.feed_records(spark, "/root/testdata/sf0.001"))
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(ZONED_TIME) == 1  # not duplicated into a pushed-down filter
+    typed = clean_readings(E.events_readings(spark, "/root/testdata/sf0.001"))
+    physical = typed._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(value), IsNotNull(ts)]" in physical
