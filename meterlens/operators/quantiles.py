@@ -51,7 +51,7 @@ def exact_quantiles(
     df: DataFrame,
     column: str,
     probabilities: list[float],
-    buckets: int = 4096,
+    buckets: int = 1 << 16,
     max_levels: int = 64,
 ) -> list[float | None]:
     """Exact ``percentile_disc`` values of ``column`` for each probability."""
