@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("records_dir")
     land.add_argument("readings_dir")
     land.add_argument("--checkpoint", default=None)
+    land.add_argument("--max-files-per-trigger", type=int, default=None)
     return p
 
 
@@ -83,7 +84,9 @@ def main(argv: list[str] | None = None) -> None:
             from meterlens.streaming import stream_land_readings
 
             stream_land_readings(spark, args.records_dir, args.readings_dir,
-                                 checkpoint=args.checkpoint).awaitTermination()
+                                 checkpoint=args.checkpoint,
+                                 max_files_per_trigger=args.max_files_per_trigger,
+                                 ).awaitTermination()
     finally:
         spark.stop()
 

@@ -89,10 +89,18 @@ def stream_land_readings(
     checkpoint: str | None = None,
     source_format: str = "json",
     source_options: dict[str, str] | None = None,
+    max_files_per_trigger: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Reading records -> Parquet landing table (append, exactly-once file sink)."""
-    records = read_record_stream(spark, source, source_format, source_options)
+    """Reading records -> Parquet landing table (append, exactly-once file sink).
+
+    ``max_files_per_trigger`` bounds each micro-batch for a file source (for
+    Kafka pass ``maxOffsetsPerTrigger`` in ``source_options``).
+    """
+    options = dict(source_options or {})
+    if max_files_per_trigger:
+        options["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    records = read_record_stream(spark, source, source_format, options)
     checkpoint = checkpoint or scratch_path(spark, "land-checkpoint")
     writer = records.writeStream.format("parquet").outputMode("append")
     return _start(writer, checkpoint, available_now).start(target)

@@ -117,3 +117,16 @@ def test_read_raw_feed_fails_without_csv(spark, scratch):
     os.makedirs(folder)
     with pytest.raises(AnalysisException):
         read_raw_feed(spark, folder).count()
+
+
+def test_land_in_bounded_micro_batches(spark, scratch):
+    base = os.path.join(scratch, "batches")
+    for i in range(3):
+        recs = normalize_feed(raw_feed(spark, [(f"M{i}", "Std", "2012-01-01 00:00:00", "1.0")]))
+        publish_readings(recs, f"{base}/records")
+    q = stream_land_readings(spark, f"{base}/records", f"{base}/landed",
+                             checkpoint=f"{base}/ck", max_files_per_trigger=1)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p.numInputRows > 0]
+    assert len(batches) == 3 and all(p.numInputRows == 1 for p in batches)
+    assert spark.read.parquet(f"{base}/landed").count() == 3
