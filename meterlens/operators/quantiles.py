@@ -4,36 +4,53 @@
 so its memory grows with the number of distinct values.  This module finds the
 same answer — the value at 1-based rank ``max(1, ceil(n * p))`` of the sorted
 non-null values (the smallest value whose cumulative share reaches p; NaN sorts
-last) — by histogram refinement:
-
-1. one global aggregate gives ``n``, the NaN count and the value range;
-2. each level buckets the rows still in play by position in the range into at most
-   ``buckets`` equal-width bins, aggregates ``count/min/max`` per bin (a
-   distributed hash aggregate with map-side partial counts, so a hot value is
-   collapsed per task), and keeps the bin holding the residual rank;
-3. when that bin holds one distinct value, it is the answer.
-
-Bin assignment is monotone in the value, so the ``[min, max]`` of a bin selects
-exactly that bin's rows at the next level; the lowest and highest values of a
-range always land in different bins, so every level makes progress.  Typical
-data needs two or three levels; each is one scan of one column.  Only one small
-control row per quantile per level reaches the driver.
+last) — by histogram refinement, where every level is one scan feeding a
+distributed hash aggregate (map-side partial counts, so a hot value collapses
+per task) into a bounded histogram:
+
+1. level one bins the whole number line on a log scale (``octave_bins`` bins
+   per power of two, signed, with zero, the infinities and NaN in bins of
+   their own), so it needs no range and also yields ``n``;
+2. later levels bin the rows still in play into at most ``buckets`` equal-width
+   bins of the chosen bin's ``[min, max]``;
+3. a chosen bin holding one distinct value is the answer.
+
+Every bin assignment is monotone in the value (``log`` is semi-monotonic in the
+JVM, the linear position is computed divide-first), so a bin's ``[min, max]``
+selects exactly that bin's rows at the next level; the lowest and highest value
+of a range always land in different linear bins, so each level makes progress.
+Typical data needs two levels.  Only one small control row per quantile per
+level reaches the driver.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# log-scale level: the span of double exponents (2**-1075 .. 2**1025)
+_EXPONENTS = 2100
+
 
-def _rank(n: int, p: float) -> int:
-    """1-based rank of the discrete p-quantile: smallest rank whose share reaches p."""
-    return max(1, math.ceil(n * p))
+def _log_bin(octave_bins: int) -> Column:
+    """Monotone signed log-scale bin of ``v`` over the whole double line."""
+    v = F.col("v")
+    offset = 1075 * octave_bins
+    top = 1 + _EXPONENTS * octave_bins
+    magnitude = F.floor(F.log2(F.abs(v)) * F.lit(float(octave_bins))) + F.lit(offset + 1)
+    return (
+        F.when(F.isnan(v), F.lit(top + 2))
+        .when(v == F.lit(float("inf")), F.lit(top + 1))
+        .when(v == F.lit(float("-inf")), F.lit(-top - 1))
+        .when(v > 0, magnitude)
+        .when(v < 0, -magnitude)
+        .otherwise(F.lit(0))
+    )
 
 
-def _bin(a: float, b: float, buckets: int):
+def _linear_bin(a: float, b: float, buckets: int) -> Column:
     """Monotone bin 1..buckets of v within [a, b] (b itself goes to the last bin).
 
     ``floor((v - a) / (b - a) * buckets) + 1``: dividing first keeps every
@@ -44,7 +61,35 @@ def _bin(a: float, b: float, buckets: int):
     if math.isinf(b - a):  # the width overflows: halve everything (monotone)
         v, lo, width = v * F.lit(0.5), F.lit(a * 0.5), F.lit(b * 0.5 - a * 0.5)
     position = F.floor((v - lo) / width * F.lit(float(buckets))) + F.lit(1)
-    return F.least(position, F.lit(buckets)).cast("int")
+    return F.least(position, F.lit(buckets))
+
+
+def _histogram(tagged: DataFrame) -> DataFrame:
+    return tagged.groupBy(F.col("t.g").alias("g"), F.col("t.bin").alias("bin")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    )
+
+
+def _pick(hist: DataFrame, targets: list[tuple[int, int, Column]]) -> list:
+    """Rows of ``hist`` (g, bin, c, lo, hi) holding each target's rank.
+
+    ``targets`` are (quantile index, group, rank expression).  The cumulative
+    count runs over the histogram only (bounded by the number of bins).
+    """
+    w = Window.partitionBy("g").orderBy("bin")
+    hist = hist.withColumn(
+        "cum", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ).withColumn("n", F.sum("c").over(Window.partitionBy("g")))
+    hits = []
+    for q, g, rank in targets:
+        hit = (F.col("g") == F.lit(g)) & (F.col("cum") - F.col("c") < rank) & (rank <= F.col("cum"))
+        hits.append(F.when(hit, F.struct(F.lit(q).alias("q"), rank.alias("r"))))
+    return (
+        hist.select(F.explode(F.array(*hits)).alias("t"), "c", "cum", "lo", "hi")
+        .filter(F.col("t").isNotNull())
+        .select("t.q", "t.r", "c", "cum", "lo", "hi")
+        .collect()
+    )
 
 
 def exact_quantiles(
@@ -52,33 +97,35 @@ def exact_quantiles(
     column: str,
     probabilities: list[float],
     buckets: int = 1 << 16,
+    octave_bins: int = 256,
     max_levels: int = 64,
 ) -> list[float | None]:
     """Exact ``percentile_disc`` values of ``column`` for each probability."""
-    v = F.col(column)
-    head = df.agg(
-        F.count(v).alias("n"),
-        F.count_if(F.isnan(v)).alias("nan"),
-        F.min(F.when(~F.isnan(v), v)).alias("lo"),
-        F.max(F.when(~F.isnan(v), v)).alias("hi"),
-    ).first()
-    n, nan, lo, hi = head["n"], head["nan"], head["lo"], head["hi"]
-    if not n:
-        return [None for _ in probabilities]
-    finite = n - nan
+    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     answers: dict[int, float] = {}
     # state per unresolved quantile: (range lo, range hi, residual rank)
     state: dict[int, tuple[float, float, int]] = {}
-    for i, p in enumerate(probabilities):
-        r = _rank(n, p)
-        if r > finite:
-            answers[i] = float("nan")
-        elif lo == hi:
-            answers[i] = lo
-        else:
-            state[i] = (lo, hi, r)
-
-    values = df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+    def settle(rows) -> None:
+        for row in rows:
+            q, residual = row["q"], row["r"] - (row["cum"] - row["c"])
+            lo, hi = row["lo"], row["hi"]
+            if lo == hi or math.isnan(lo):
+                answers[q] = lo
+                state.pop(q, None)
+            else:
+                state[q] = (lo, hi, residual)
+
+    # level one: the whole line on a log scale; ranks from the histogram total
+    level_one = values.select(
+        F.struct(F.lit(0).alias("g"), _log_bin(octave_bins).alias("bin")).alias("t"), "v"
+    )
+    targets = [
+        (i, 0, F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(float(p)))).cast("long"))
+        for i, p in enumerate(probabilities)
+    ]
+    settle(_pick(_histogram(level_one), targets))
+
     for _ in range(max_levels):
         if not state:
             break
@@ -90,38 +137,19 @@ def exact_quantiles(
         tags = [
             F.when(
                 (F.col("v") >= F.lit(a)) & (F.col("v") <= F.lit(b)),
-                F.struct(F.lit(g).alias("g"), _bin(a, b, buckets).alias("bin")),
+                F.struct(F.lit(g).alias("g"), _linear_bin(a, b, buckets).alias("bin")),
             )
             for g, (a, b) in enumerate(ranges)
         ]
         tagged = values.select(F.explode(F.array(*tags)).alias("t"), "v").filter(
             F.col("t").isNotNull()
         )
-        hist = tagged.groupBy(F.col("t.g").alias("g"), F.col("t.bin").alias("bin")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")
-        )
-        # cumulative counts over <= `buckets` rows per range (bounded, small)
-        w = Window.partitionBy("g").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("cum", F.sum("c").over(w))
-        hits = []
-        for g, rng in enumerate(ranges):
-            for i in groups[rng]:
-                r = F.lit(state[i][2])
-                hit = (F.col("g") == F.lit(g)) & (F.col("cum") - F.col("c") < r) & (r <= F.col("cum"))
-                hits.append(F.when(hit, F.lit(i)))
-        picked = (
-            hist.select(F.explode(F.array(*hits)).alias("q"), "c", "cum", "lo", "hi")
-            .filter(F.col("q").isNotNull())
-            .collect()
-        )
-        for row in picked:
-            q = row["q"]
-            if row["lo"] == row["hi"]:
-                answers[q] = row["lo"]
-                del state[q]
-            else:
-                residual = state[q][2] - (row["cum"] - row["c"])
-                state[q] = (row["lo"], row["hi"], residual)
+        targets = [
+            (i, g, F.lit(state[i][2]).cast("long"))
+            for g, rng in enumerate(ranges)
+            for i in groups[rng]
+        ]
+        settle(_pick(_histogram(tagged), targets))
     if state:
         raise RuntimeError(f"exact quantile did not converge in {max_levels} levels")
-    return [answers[i] for i in range(len(probabilities))]
+    return [answers.get(i) for i in range(len(probabilities))]
