@@ -26,6 +26,8 @@ def _parser() -> argparse.ArgumentParser:
     pipe.add_argument("--format", default="parquet", help="input format")
     pipe.add_argument("--result-format", default="csv")
     pipe.add_argument("--quartiles", default="approx", choices=["approx", "exact", "disc"])
+    pipe.add_argument("--unsorted-anomalies", action="store_true",
+                      help="skip the global sort of the anomaly records")
 
     exp = sub.add_parser("experiment", help="scaling experiment")
     exp.add_argument("readings")
@@ -59,7 +61,8 @@ def main(argv: list[str] | None = None) -> None:
 
             records = read_readings(spark, args.readings, fmt=args.format)
             counts = run_pipeline(spark, records, args.out, fmt=args.result_format,
-                                  method=args.quartiles)
+                                  method=args.quartiles,
+                                  sort_anomalies=not args.unsorted_anomalies)
             print(json.dumps(counts))
         elif args.command == "experiment":
             from meterlens.operators.cleaning import prepare_workload_input

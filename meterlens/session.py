@@ -55,11 +55,22 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root, setting a local one only if unset."""
+    """Return the shared checkpoint root.
+
+    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
+    directory).  Only a local-mode session without one gets a folder of our own
+    (tests, a laptop); on a cluster a machine-local folder would be invisible to
+    other executors, so an unset root is an error there.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at shared storage (stages and "
+            "streaming checkpoints live there)"
+        )
     root = configured or os.path.join(tempfile.gettempdir(), "meterlens-checkpoints")
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir() or root
