@@ -123,3 +123,29 @@ def test_cli_pipeline_and_experiment(spark, scratch):
 def test_first_or_default_missing_column(spark):
     cleaned = readings(spark, ROWS)
     assert [r.nope for r in rp.first_or_default(cleaned, "nope", 7.5).collect()] == [7.5]
+
+
+def test_cli_end_to_end(spark, scratch):
+    import subprocess
+    import sys
+
+    import __spark_entry__ as E
+    from meterlens.plans.ingest import write_feed_files
+
+    write_feed_files(E.events_text_feed(spark, "/root/testdata/sf0.001"), f"{scratch}/feed")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo)
+
+    def cli(*args):
+        subprocess.run([sys.executable, "-m", "meterlens", "--master", "local[2]", *args],
+                       check=True, cwd=repo, env=env, timeout=600,
+                       stdout=subprocess.PIPE, stderr=subprocess.DEVNULL)
+
+    cli("feed", f"{scratch}/feed", f"{scratch}/records", "--checkpoint", f"{scratch}/ck1")
+    cli("land", f"{scratch}/records", f"{scratch}/readings", "--checkpoint", f"{scratch}/ck2")
+    cli("pipeline", f"{scratch}/readings", f"{scratch}/results", "--quartiles", "exact")
+    landed = spark.read.parquet(f"{scratch}/readings")
+    assert landed.count() == 1000
+    summary = read_result(spark, f"{scratch}/results/anomaly_summary").first()
+    direct = E.queries()["clean_readings"](spark, "/root/testdata/sf0.001").count()
+    assert summary.total_records == direct
