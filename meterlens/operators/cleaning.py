@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlens.functions import day_name, parse_energy, parse_reading_time, strip_text
+from meterlens.operators.common import evaluate_once
 from meterlens.schema import ENERGY, HOUSEHOLD, RAW_ENERGY, TARIFF, TIME, household_is
 
 
@@ -30,18 +31,6 @@ def normalize_feed(raw: DataFrame, energy_column: str = RAW_ENERGY) -> DataFrame
     )
 
 
-def evaluate_once(df: DataFrame, columns: list[Column]) -> DataFrame:
-    """Project ``columns`` so that a later filter is not pushed below them.
-
-    Catalyst pushes a filter below a projection by substituting the projected
-    expressions into it, so a filter on parsed values would run the text
-    parsing twice per row — in the filter and again in the projection
-    (subexpression elimination does not cross operators).  A one-element
-    generator is opaque to that rewrite: every row is parsed exactly once.
-    """
-    return df.select(F.inline(F.array(F.struct(*columns))))
-
-
 def _reading_time(df: DataFrame) -> Column:
     """The time column as a timestamp: parse text, keep timestamps as they are."""
     dtype = df.schema[TIME].dataType
