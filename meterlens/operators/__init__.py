@@ -18,7 +18,9 @@ from meterlens.operators.cleaning import (
     normalize_feed,
     prepare_workload_input,
     project_readings,
-    quality_measures,
+    type_readings,
+    typed_quality_measures,
+    valid_reading,
     select_household,
     zero_fill_energy,
 )

@@ -31,14 +31,6 @@ def normalize_feed(raw: DataFrame, energy_column: str = RAW_ENERGY) -> DataFrame
     )
 
 
-def _reading_time(df: DataFrame) -> Column:
-    """The time column as a timestamp: parse text, keep timestamps as they are."""
-    dtype = df.schema[TIME].dataType
-    if isinstance(dtype, T.StringType):
-        return parse_reading_time(TIME)
-    return F.col(TIME)
-
-
 def add_calendar(df: DataFrame) -> DataFrame:
     """Append ``date, year, month, day, hour, day_of_week`` derived from the time.
 
@@ -56,25 +48,41 @@ def add_calendar(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_readings(records: DataFrame) -> DataFrame:
-    """Type the time, drop rows without energy or with an unusable time, add calendar.
+def type_readings(records: DataFrame) -> DataFrame:
+    """Drop the store's ``_id`` and type the time; every row is kept.
 
-    Drops the document store's ``_id`` if present.  Typed sources (time already a
-    timestamp) keep the filters directly over the scan, so ``IS NOT NULL`` reaches
-    the Parquet reader.  Text sources are parsed exactly once per row
-    (:func:`evaluate_once`) before the rows without a usable time are dropped.
+    Typed sources (time already a timestamp) pass through untouched, so later
+    ``IS NOT NULL`` filters still reach the Parquet reader.  Text sources are
+    parsed exactly once per row (:func:`~meterlens.operators.common.evaluate_once`),
+    so a later filter on the parsed time does not re-run the parse.
     """
     records = records.drop("_id")
-    if isinstance(records.schema[TIME].dataType, T.StringType):
-        cols = [
-            parse_reading_time(TIME).alias(TIME) if c == TIME else F.col(f"`{c}`")
-            for c in records.columns
-        ]
-        typed = evaluate_once(records, cols)
-    else:
-        typed = records
-    kept = typed.filter(F.col(ENERGY).isNotNull() & F.col(TIME).isNotNull())
-    return add_calendar(kept)
+    if not isinstance(records.schema[TIME].dataType, T.StringType):
+        return records
+    cols = [
+        parse_reading_time(TIME).alias(TIME) if c == TIME else F.col(f"`{c}`")
+        for c in records.columns
+    ]
+    return evaluate_once(records, cols)
+
+
+def valid_reading() -> Column:
+    """A typed reading is usable: it has an energy value and a time."""
+    return F.col(ENERGY).isNotNull() & F.col(TIME).isNotNull()
+
+
+def clean_readings(records: DataFrame) -> DataFrame:
+    """Type the time, drop rows without energy or with an unusable time, add calendar."""
+    return add_calendar(type_readings(records).filter(valid_reading()))
+
+
+def typed_quality_measures() -> list[Column]:
+    """Data-quality counts over typed readings (usable in agg or observe)."""
+    return [
+        F.count(F.lit(1)).alias("raw_records"),
+        F.count_if(F.col(ENERGY).isNull()).alias("missing_energy_records"),
+        F.count_if(valid_reading()).alias("valid_records"),
+    ]
 
 
 def project_readings(records: DataFrame) -> DataFrame:
@@ -97,20 +105,9 @@ def prepare_workload_input(records: DataFrame) -> DataFrame:
     return zero_fill_energy(project_readings(records))
 
 
-def quality_measures(records: DataFrame) -> list[Column]:
-    """Counts describing a record set before cleaning (usable in agg or observe)."""
-    energy_ok = F.col(ENERGY).isNotNull()
-    time_ok = _reading_time(records).isNotNull()
-    return [
-        F.count(F.lit(1)).alias("raw_records"),
-        F.count_if(~energy_ok).alias("missing_energy_records"),
-        F.count_if(energy_ok & time_ok).alias("valid_records"),
-    ]
-
-
 def data_quality_counts(records: DataFrame) -> DataFrame:
     """One row: raw rows, rows missing energy, rows surviving cleaning (one pass)."""
-    return records.agg(*quality_measures(records))
+    return type_readings(records).agg(*typed_quality_measures())
 
 
 def coerce_result(

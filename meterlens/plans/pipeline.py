@@ -2,7 +2,8 @@
 
 Scans of data, in order:
   1. records -> cleaned stage (Parquet under shared storage); the data-quality
-     counts are observed during this same pass.
+     counts are observed on the typed rows during this same pass (each row's
+     time text is parsed once).
   2. stage -> all six rollups at once (GROUPING SETS, one shuffle); the small
      result is written once and split into hourly/daily/monthly/household/
      weekday/overall plus the three peaks.
@@ -95,8 +96,9 @@ def run_pipeline(
     #    stage: only successful task attempts contribute, so retries cannot
     #    double-count)
     quality = Observation("data_quality")
-    observed = records.observe(quality, *cl.quality_measures(records))
-    cl.clean_readings(observed).write.mode("overwrite").parquet(f"{stage_dir}/cleaned")
+    typed = cl.type_readings(records).observe(quality, *cl.typed_quality_measures())
+    cleaned = cl.add_calendar(typed.filter(cl.valid_reading()))
+    cleaned.write.mode("overwrite").parquet(f"{stage_dir}/cleaned")
     stage = spark.read.parquet(f"{stage_dir}/cleaned").select(*CLEANED_SCHEMA.fieldNames())
     counts = dict(quality.get)
     lap("clean_stage")
