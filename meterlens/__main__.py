@@ -42,12 +42,16 @@ def _parser() -> argparse.ArgumentParser:
     feed.add_argument("records_dir")
     feed.add_argument("--checkpoint", default=None)
     feed.add_argument("--max-files-per-trigger", type=int, default=None)
+    feed.add_argument("--clean-source", default="off", choices=["off", "archive", "delete"])
+    feed.add_argument("--archive-dir", default=None)
 
     land = sub.add_parser("land", help="JSON records -> Parquet readings (streaming)")
     land.add_argument("records_dir")
     land.add_argument("readings_dir")
     land.add_argument("--checkpoint", default=None)
     land.add_argument("--max-files-per-trigger", type=int, default=None)
+    land.add_argument("--clean-source", default="off", choices=["off", "archive", "delete"])
+    land.add_argument("--archive-dir", default=None)
     return p
 
 
@@ -82,6 +86,8 @@ def main(argv: list[str] | None = None) -> None:
             stream_feed_to_records(spark, args.feed_dir, args.records_dir,
                                    checkpoint=args.checkpoint,
                                    max_files_per_trigger=args.max_files_per_trigger,
+                                   clean_source=args.clean_source,
+                                   archive_dir=args.archive_dir,
                                    ).awaitTermination()
         elif args.command == "land":
             from meterlens.streaming import stream_land_readings
@@ -89,6 +95,8 @@ def main(argv: list[str] | None = None) -> None:
             stream_land_readings(spark, args.records_dir, args.readings_dir,
                                  checkpoint=args.checkpoint,
                                  max_files_per_trigger=args.max_files_per_trigger,
+                                 clean_source=args.clean_source,
+                                 archive_dir=args.archive_dir,
                                  ).awaitTermination()
     finally:
         spark.stop()

@@ -51,6 +51,24 @@ def read_record_stream(
     return spark.readStream.schema(RECORD_SCHEMA).options(**opts).format(fmt).load(source)
 
 
+def _source_cleanup(options: dict, clean_source: str, archive_dir: str | None) -> dict:
+    """File-source options that archive or delete files once processed.
+
+    A file stream lists its whole input folder every micro-batch; on a busy
+    landing path that listing grows without bound unless processed files are
+    moved out (``archive``) or removed (``delete``).
+    """
+    if clean_source not in ("off", "archive", "delete"):
+        raise ValueError("clean_source must be 'off', 'archive' or 'delete'")
+    if clean_source != "off":
+        options["cleanSource"] = clean_source
+        if clean_source == "archive":
+            if not archive_dir:
+                raise ValueError("clean_source='archive' needs archive_dir")
+            options["sourceArchiveDir"] = archive_dir
+    return options
+
+
 def _start(writer, checkpoint: str, available_now: bool):
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
@@ -67,9 +85,16 @@ def stream_feed_to_records(
     sink_options: dict[str, str] | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    clean_source: str = "off",
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
-    """Raw CSV files appearing in ``feed_dir`` -> normalised records at ``sink``."""
-    reader = spark.readStream.schema(RAW_FEED_SCHEMA).option("header", True)
+    """Raw CSV files appearing in ``feed_dir`` -> normalised records at ``sink``.
+
+    ``clean_source`` (``off``/``archive``/``delete``) moves processed feed files
+    out of the listed folder (``archive_dir`` for ``archive``).
+    """
+    options = _source_cleanup({}, clean_source, archive_dir)
+    reader = spark.readStream.schema(RAW_FEED_SCHEMA).option("header", True).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     records = _ingest_counts(normalize_feed(reader.csv(f"{feed_dir.rstrip('/')}/*.csv")))
@@ -91,13 +116,18 @@ def stream_land_readings(
     source_options: dict[str, str] | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    clean_source: str = "off",
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
     """Reading records -> Parquet landing table (append, exactly-once file sink).
 
     ``max_files_per_trigger`` bounds each micro-batch for a file source (for
-    Kafka pass ``maxOffsetsPerTrigger`` in ``source_options``).
+    Kafka pass ``maxOffsetsPerTrigger`` in ``source_options``); ``clean_source``
+    archives or deletes processed record files.
     """
     options = dict(source_options or {})
+    if source_format != "kafka":
+        options = _source_cleanup(options, clean_source, archive_dir)
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
     records = read_record_stream(spark, source, source_format, options)

@@ -130,3 +130,22 @@ def test_land_in_bounded_micro_batches(spark, scratch):
     batches = [p for p in q.recentProgress if p.numInputRows > 0]
     assert len(batches) == 3 and all(p.numInputRows == 1 for p in batches)
     assert spark.read.parquet(f"{base}/landed").count() == 3
+
+
+def test_feed_stream_archives_processed_files(spark, scratch):
+    base = os.path.join(scratch, "arch")
+    write_feed_files(raw_feed(spark, [("A", "Std", "2012-01-01 00:00:00", "1.0")]), f"{base}/feed")
+    written = [f for f in os.listdir(f"{base}/feed") if f.endswith(".csv")]
+
+    def run():
+        stream_feed_to_records(spark, f"{base}/feed", f"{base}/records", checkpoint=f"{base}/ck",
+                               clean_source="archive", archive_dir=f"{base}/archive").awaitTermination()
+
+    run()
+    extra = raw_feed(spark, [("B", "Std", "2012-01-01 00:30:00", "2.0")])
+    extra.coalesce(1).write.option("header", True).mode("append").csv(f"{base}/feed")
+    run()
+    assert sorted(r.LCLid for r in read_readings(spark, f"{base}/records", fmt="json").collect()) == ["A", "B"]
+    archived = [f for _, _, fs in os.walk(f"{base}/archive") for f in fs if f.endswith(".csv")]
+    # files of a committed batch are moved out of the listed folder
+    assert set(written) <= set(archived)
