@@ -109,7 +109,21 @@ def overview_report(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def result_status(spark: SparkSession, results_dir: str, names: list[str]) -> DataFrame:
+# The results whose availability is reported, in display order.
+STATUS_RESULTS = (
+    "overall_statistics",
+    "hourly_consumption",
+    "daily_consumption",
+    "monthly_consumption",
+    "household_consumption",
+    "anomaly_summary",
+    "scalability_experiment",
+)
+
+
+def result_status(
+    spark: SparkSession, results_dir: str, names: tuple[str, ...] | list[str] = STATUS_RESULTS
+) -> DataFrame:
     """``(result, status)``: ``Available`` when a result exists and has rows.
 
     One cheap existence/emptiness probe per named result (a handful of names);

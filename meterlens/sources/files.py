@@ -47,6 +47,7 @@ RESULT_SCHEMAS = {
         "throughput_records_per_second double"
     ),
 }
+RESULT_SCHEMAS["scalability_experiment"] = RESULT_SCHEMAS["scalability_results"]
 
 
 def read_raw_feed(spark: SparkSession, folder: str) -> DataFrame:

@@ -149,3 +149,17 @@ def test_feed_stream_archives_processed_files(spark, scratch):
     archived = [f for _, _, fs in os.walk(f"{base}/archive") for f in fs if f.endswith(".csv")]
     # files of a committed batch are moved out of the listed folder
     assert set(written) <= set(archived)
+
+
+def test_result_status_default_names(spark, scratch):
+    df = spark.createDataFrame([(0, 1.5)], "hour int, total_energy_kwh double")
+    write_result(df, os.path.join(scratch, "hourly_consumption"), single_file=True)
+    exp = spark.createDataFrame([(100, 10, 0.5, 20.0)], "data_percentage int, records long, "
+                                "execution_time_seconds double, throughput_records_per_second double")
+    write_result(exp, os.path.join(scratch, "scalability_experiment"), single_file=True)
+    got = {r.result: r.status for r in result_status(spark, scratch).collect()}
+    assert len(got) == 7
+    assert got["hourly_consumption"] == got["scalability_experiment"] == "Available"
+    assert got["overall_statistics"] == "Not found"
+    back = read_result(spark, os.path.join(scratch, "scalability_experiment"))
+    assert back.schema == exp.schema
