@@ -76,9 +76,14 @@ def overall_statistics(cleaned: DataFrame) -> DataFrame:
 
 
 def household_total(results: DataFrame, household: str, measure: str = TOTAL) -> DataFrame:
-    """One row: total of ``measure`` over one household's rows; 0.0 when none."""
+    """One row: total of ``measure`` over one household's rows; 0.0 when none.
+
+    The measure is coerced to a number first (text that is not a number counts
+    as missing), so this also runs on results read back as text.
+    """
     rows = results.filter(household_is(results, household))
-    return rows.agg(F.coalesce(F.sum(measure), F.lit(0.0)).alias(measure))
+    value = F.col(measure).try_cast("double")
+    return rows.agg(F.coalesce(F.sum(value), F.lit(0.0)).alias(measure))
 
 
 def household_list(df: DataFrame) -> DataFrame:

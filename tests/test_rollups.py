@@ -125,3 +125,11 @@ def test_calendar_rollups_is_one_scan_one_shuffle(spark):
     assert plan.count("Scan parquet") == 1  # every rollup from one scan ...
     assert plan.count("Expand") == 1  # ... one expansion ...
     assert plan.count("Exchange hashpartitioning") == 1  # ... and one shuffle
+
+
+def test_household_total_on_text_results(spark):
+    text = spark.createDataFrame(
+        [("MAC1", "1.5"), ("MAC1", "oops"), ("MAC1", "2"), ("MAC2", "9")],
+        "LCLid string, total_energy_kwh string",
+    )
+    assert ru.household_total(text, "MAC1").first().total_energy_kwh == 3.5
