@@ -84,3 +84,15 @@ def test_queries_do_not_depend_on_session_zone(spark, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert base == other
+
+
+JOIN_NODES = ("BroadcastNestedLoopJoin", "CartesianProduct", "BroadcastHashJoin",
+              "SortMergeJoin", "ShuffledHashJoin", "BroadcastExchange")
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"scalability_experiment", "stream_land_readings", "run_pipeline"}))
+def test_no_joins_or_broadcasts_in_any_query(spark, name):
+    df = E.queries()[name](spark, SMOKE_DIR)
+    df.write.format("noop").mode("overwrite").save()
+    plan = plan_of(df)
+    assert not [n for n in JOIN_NODES if n in plan], name
