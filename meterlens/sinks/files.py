@@ -40,8 +40,11 @@ def publish_readings(
     topic in ``options``); ``json``/``text`` write a directory of JSON lines.
     """
     if fmt == "kafka":
+        from meterlens.streaming.ingest import kafka_connector_hint
+
         payload = records.select(F.to_json(F.struct("*")).alias("value"))
-        payload.write.format("kafka").options(**(options or {})).save()
+        with kafka_connector_hint():
+            payload.write.format("kafka").options(**(options or {})).save()
         return
     writer = records.write.mode("append").options(**(options or {}))
     if fmt == "text":

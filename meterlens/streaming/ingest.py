@@ -15,6 +15,9 @@ rows).  Batch size is ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +29,21 @@ from meterlens.session import scratch_path
 INGEST_METRICS = "ingest_counts"
 
 
+@contextmanager
+def kafka_connector_hint():
+    """Turn "data source kafka not found" into an actionable message."""
+    try:
+        yield
+    except AnalysisException as exc:
+        text = str(exc).lower()
+        if "kafka" in text and "data source" in text:
+            raise RuntimeError(
+                "Kafka needs the spark-sql-kafka connector on the classpath (e.g. "
+                "spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<version>)"
+            ) from exc
+        raise
+
+
 def _ingest_counts(records: DataFrame) -> DataFrame:
     """Attach per-batch counters (rows sent, rows with missing energy)."""
     return records.observe(
@@ -45,7 +63,8 @@ def read_record_stream(
     opts = dict(options or {})
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "earliest")
-        raw = spark.readStream.format("kafka").options(**opts).load()
+        with kafka_connector_hint():
+            raw = spark.readStream.format("kafka").options(**opts).load()
         parsed = F.from_json(F.col("value").cast("string"), RECORD_SCHEMA)
         return raw.select(parsed.alias("r")).select("r.*")
     return spark.readStream.schema(RECORD_SCHEMA).options(**opts).format(fmt).load(source)
@@ -102,7 +121,8 @@ def stream_feed_to_records(
     if sink_format == "kafka":
         out = records.select(F.to_json(F.struct("*")).alias("value"))
         writer = out.writeStream.format("kafka").options(**(sink_options or {}))
-        return _start(writer, checkpoint, available_now).start()
+        with kafka_connector_hint():
+            return _start(writer, checkpoint, available_now).start()
     writer = records.writeStream.format(sink_format).options(**(sink_options or {}))
     return _start(writer, checkpoint, available_now).start(sink)
 
