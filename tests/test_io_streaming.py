@@ -177,3 +177,15 @@ def test_kafka_source_without_connector_explains(spark):
         assert "spark-sql-kafka" in str(exc)
     else:  # connector present: the stream is defined lazily, nothing is started
         pytest.skip("Kafka connector available")
+
+
+def test_kafka_publish_without_connector_explains(spark):
+    import pytest
+
+    recs = normalize_feed(raw_feed(spark, [("A", "Std", "2012-01-01 00:00:00", "1.0")]))
+    try:
+        publish_readings(recs, fmt="kafka", options={"kafka.bootstrap.servers": "localhost:9", "topic": "t"})
+    except RuntimeError as exc:
+        assert "spark-sql-kafka" in str(exc)
+    else:
+        pytest.skip("Kafka connector available")
