@@ -80,7 +80,16 @@ def read_readings(
     reader = spark.read.format(fmt).options(**(options or {}))
     if fmt != "parquet" and schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path) if path else reader.load()
+    try:
+        return reader.load(path) if path else reader.load()
+    except AnalysisException as exc:
+        text = str(exc).lower()
+        if "data source" in text and fmt.lower() in text:
+            raise RuntimeError(
+                f"format {fmt!r} needs its Spark connector on the classpath "
+                "(spark-submit --packages ...)"
+            ) from exc
+        raise
 
 
 def read_table(spark: SparkSession, path: str, roles: Roles, keep: list[str] | None = None) -> DataFrame:

@@ -189,3 +189,14 @@ def test_kafka_publish_without_connector_explains(spark):
         assert "spark-sql-kafka" in str(exc)
     else:
         pytest.skip("Kafka connector available")
+
+
+def test_missing_store_connector_explains(spark):
+    import pytest
+
+    try:
+        read_readings(spark, None, fmt="mongodb", options={"connection.uri": "mongodb://localhost:9"})
+    except RuntimeError as exc:
+        assert "connector" in str(exc)
+    else:
+        pytest.skip("document-store connector available")
