@@ -82,9 +82,9 @@ def read_readings(
         reader = reader.schema(schema)
     try:
         return reader.load(path) if path else reader.load()
-    except AnalysisException as exc:
-        text = str(exc).lower()
-        if "data source" in text and fmt.lower() in text:
+    except Exception as exc:  # a JVM-side lookup error arrives wrapped
+        text = str(exc)
+        if "DATA_SOURCE_NOT_FOUND" in text or "failed to find data source" in text.lower():
             raise RuntimeError(
                 f"format {fmt!r} needs its Spark connector on the classpath "
                 "(spark-submit --packages ...)"

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,9 +33,10 @@ def kafka_connector_hint():
     """Turn "data source kafka not found" into an actionable message."""
     try:
         yield
-    except AnalysisException as exc:
-        text = str(exc).lower()
-        if "kafka" in text and "data source" in text:
+    except Exception as exc:  # a JVM-side lookup error may arrive wrapped
+        text = str(exc)
+        missing = "DATA_SOURCE_NOT_FOUND" in text or "failed to find data source" in text.lower()
+        if missing and "kafka" in text.lower():
             raise RuntimeError(
                 "Kafka needs the spark-sql-kafka connector on the classpath (e.g. "
                 "spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<version>)"
