@@ -149,3 +149,16 @@ def test_cli_end_to_end(spark, scratch):
     summary = read_result(spark, f"{scratch}/results/anomaly_summary").first()
     direct = E.queries()["clean_readings"](spark, "/root/testdata/sf0.001").count()
     assert summary.total_records == direct
+
+
+def test_pipeline_quality_counts_on_typed_input(spark, scratch):
+    from helpers import ts
+
+    rows = [("H1", "Std", ts("2012-01-01T00:00:00"), 1.0),
+            ("H1", "Std", ts("2012-01-01T00:30:00"), None),
+            ("H2", "Std", None, 2.0),
+            ("H2", "Std", ts("2012-01-01T01:00:00"), 3.0)]
+    typed = spark.createDataFrame(rows, "LCLid string, stdorToU string, DateTime timestamp_ntz, energy_kwh double")
+    counts = run_pipeline(spark, typed, os.path.join(scratch, "out"), stage_dir=os.path.join(scratch, "st"))
+    assert (counts["raw_records"], counts["missing_energy_records"], counts["valid_records"]) == (4, 1, 2)
+    assert counts["total_records"] == 2
