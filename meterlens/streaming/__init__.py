@@ -2,6 +2,7 @@
 
 from meterlens.streaming.ingest import (
     INGEST_METRICS,
+    LANDING_METRICS,
     read_record_stream,
     stream_feed_to_records,
     stream_land_readings,
@@ -9,6 +10,7 @@ from meterlens.streaming.ingest import (
 
 __all__ = [
     "INGEST_METRICS",
+    "LANDING_METRICS",
     "read_record_stream",
     "stream_feed_to_records",
     "stream_land_readings",

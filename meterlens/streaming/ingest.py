@@ -26,6 +26,7 @@ from meterlens.schema import ENERGY, RAW_FEED_SCHEMA, RECORD_SCHEMA
 from meterlens.session import scratch_path
 
 INGEST_METRICS = "ingest_counts"
+LANDING_METRICS = "landing_counts"
 
 
 @contextmanager
@@ -150,7 +151,9 @@ def stream_land_readings(
         options = _source_cleanup(options, clean_source, archive_dir)
     if max_files_per_trigger:
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
-    records = read_record_stream(spark, source, source_format, options)
+    records = read_record_stream(spark, source, source_format, options).observe(
+        LANDING_METRICS, F.count(F.lit(1)).alias("records_stored")
+    )
     checkpoint = checkpoint or scratch_path(spark, "land-checkpoint")
     writer = records.writeStream.format("parquet").outputMode("append")
     return _start(writer, checkpoint, available_now).start(target)

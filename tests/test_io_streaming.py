@@ -129,6 +129,11 @@ def test_land_in_bounded_micro_batches(spark, scratch):
     q.awaitTermination()
     batches = [p for p in q.recentProgress if p.numInputRows > 0]
     assert len(batches) == 3 and all(p.numInputRows == 1 for p in batches)
+    from meterlens.streaming import LANDING_METRICS
+
+    stored = sum(p.observedMetrics[LANDING_METRICS]["records_stored"]
+                 for p in q.recentProgress if LANDING_METRICS in p.observedMetrics)
+    assert stored == 3
     assert spark.read.parquet(f"{base}/landed").count() == 3
 
 
