@@ -162,3 +162,19 @@ def test_pipeline_quality_counts_on_typed_input(spark, scratch):
     counts = run_pipeline(spark, typed, os.path.join(scratch, "out"), stage_dir=os.path.join(scratch, "st"))
     assert (counts["raw_records"], counts["missing_energy_records"], counts["valid_records"]) == (4, 1, 2)
     assert counts["total_records"] == 2
+
+
+def test_run_pipeline_parquet_results(spark, scratch):
+    from meterlens.operators.cleaning import normalize_feed
+
+    out = os.path.join(scratch, "pq")
+    counts = run_pipeline(spark, normalize_feed(raw_feed(spark, FEED)), out, fmt="parquet",
+                          stage_dir=os.path.join(scratch, "stage_pq"), sort_anomalies=False)
+    assert counts["total_records"] == 376
+    overall = spark.read.parquet(f"{out}/overall_statistics").first()
+    assert overall.valid_readings == 376
+    detected = spark.read.parquet(f"{out}/anomaly_detection").count()
+    assert detected == counts["anomaly_count"]
+    assert set(counts["phase_seconds"]) == {
+        "clean_stage", "rollups_bounds_sample", "results_and_anomalies", "summary_readback",
+    }
