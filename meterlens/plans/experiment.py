@@ -28,9 +28,12 @@ def cache_spread(df: DataFrame) -> DataFrame:
     repartitioned once; a large input keeps its partitioning and is not
     shuffled.  A lost cached block is rebuilt from lineage.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism)
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < parallelism:
+            df = df.repartition(parallelism)
+    except Exception:  # Spark Connect client: no RDD view; keep the partitioning
+        pass
     spread = df.persist(StorageLevel.MEMORY_AND_DISK)
     spread.count()
     return spread

@@ -54,6 +54,14 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect client (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect raises on access
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root.
 
@@ -62,18 +70,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (tests, a laptop); on a cluster a machine-local folder would be invisible to
     other executors, so an unset root is an error there.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and not spark.sparkContext.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not configured and not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: point it at shared storage (stages and "
             "streaming checkpoints live there)"
         )
     root = configured or os.path.join(tempfile.gettempdir(), "meterlens-checkpoints")
-    spark.sparkContext.setCheckpointDir(root)
-    return spark.sparkContext.getCheckpointDir() or root
+    if sc is None:
+        return root
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir() or root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
