@@ -130,8 +130,9 @@ def period_label(year: Column | str, month: Column | str) -> Column:
 
 
 def hour_label(hour: Column | str) -> Column:
-    """``HH:00`` from an hour of day."""
-    return F.format_string("%02d:00", _col(hour))
+    """``HH:00`` from an hour of day (null for a null hour)."""
+    h = _col(hour)
+    return F.when(h.isNotNull(), F.format_string("%02d:00", h))
 
 
 def format_measure(c: Column | str) -> Column:
