@@ -128,3 +128,16 @@ def test_text_time_is_parsed_once_per_row(spark):
     typed = clean_readings(E.events_readings(spark, "/root/testdata/sf0.001"))
     physical = typed._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(value), IsNotNull(ts)]" in physical
+
+
+def test_evaluate_once_keeps_filters_above_it(spark):
+    from meterlens.operators.common import evaluate_once
+
+    df = spark.createDataFrame([("1.5",), ("x",), (None,)], "t string")
+    parsed = evaluate_once(df, [F.col("t").try_cast("double").alias("v")])
+    kept = parsed.filter(F.col("v").isNotNull())
+    assert [r.v for r in kept.collect()] == [1.5]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    # the filter sits above the generator; the cast appears once, inside it
+    assert plan.index("Filter") < plan.index("Generate")
+    assert plan.count("try_cast") == 1
