@@ -55,8 +55,8 @@ DIGITS = 6
 # --------------------------------------------------------------------------
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def events_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
