@@ -35,6 +35,8 @@ CASES = {
     "huge_range": [-1e308, 1e308, 0.0, 5.0, -3.0],
     "subnormal": [5e-324, 1e-323, 0.0, 1.5e-323],
     "with_nan": [1.0, float("nan"), 2.0, 3.0],
+    "with_infinities": [1.0, float("inf"), float("-inf"), 2.0, -0.0, float("inf")],
+    "mixed_scale": [1e-300, -1e300, 3.5, 3.5000000000000004, -2.0, 7e200, 0.0],
 }
 
 
