@@ -362,6 +362,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The training-data operators and their pipeline are an optional part.
+ORACLE_LLM: dict[str, str] = {}
+try:
+    from meterlens.llm.queries import ORACLE as _llm_oracle
+    from meterlens.llm.queries import QUERIES as _llm_queries
+
+    QUERIES.update(_llm_queries)
+    ORACLE_LLM.update(_llm_oracle)
+except ModuleNotFoundError:
+    pass
+try:
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLE_LLM["pipeline"] = corpus_pipeline.ORACLE_SQL
+except ModuleNotFoundError:
+    pass
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: per-household consumption profile of the sf0.001 readings."""
     return q_household_consumption(spark, SMOKE_DIR)
@@ -676,4 +696,4 @@ FROM counts, bounds""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **ORACLE_LLM}
