@@ -6,6 +6,7 @@ Each query applies one operator with production parameters to its whole table.
 from __future__ import annotations
 
 from meterlens.llm.common import table
+from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
 
 
@@ -13,8 +14,13 @@ def op1_secret_scan(spark, sf_dir):
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark, sf_dir):
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
