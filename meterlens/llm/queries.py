@@ -8,18 +8,24 @@ from __future__ import annotations
 from meterlens.llm.common import table
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
+from meterlens.llm.simhash_neardup import simhash_components
 
 
 def op1_secret_scan(spark, sf_dir):
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_neardup(spark, sf_dir):
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op6_simhash_neardup": op6_simhash_neardup,
     "op7_quality_rules": op7_quality_rules,
 }
 
