@@ -5,7 +5,10 @@ Each query applies one operator with production parameters to its whole table.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from meterlens.llm.common import table
+from meterlens.llm.line_dedup import line_dedup
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
 from meterlens.llm.simhash_neardup import simhash_components
@@ -23,10 +26,45 @@ def op7_quality_rules(spark, sf_dir):
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_quality_rules": op7_quality_rules,
+    "op9_line_dedup": op9_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE: dict[str, str] = {
+    "op9_line_dedup": f"""
+WITH docs AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+),
+lines AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs
+),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      '{UPPER}', '{LOWER}') AS key
+  FROM lines
+),
+repeated AS (
+  SELECT key, max(doc_id) AS keep_doc FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+),
+marked AS (
+  SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.keep_doc AS dropped
+  FROM keyed k LEFT JOIN repeated r USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
+         AS kept_sha256
+FROM marked GROUP BY doc_id""",
+}
