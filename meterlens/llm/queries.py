@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterlens.llm.common import table
+from meterlens.llm.decontamination import contamination
 from meterlens.llm.line_dedup import line_dedup
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
@@ -18,6 +19,20 @@ def op1_secret_scan(spark, sf_dir):
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark, sf_dir):
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    ids = F.array_sort("item_ids")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size(ids).cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 def op6_simhash_neardup(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -35,6 +50,7 @@ def op9_line_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op4_decontamination": op4_decontamination,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_quality_rules": op7_quality_rules,
     "op9_line_dedup": op9_line_dedup,
@@ -42,7 +58,48 @@ QUERIES = {
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE: dict[str, str] = {
+    "op4_decontamination": f"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                    '{WORDS}') AS w
+  FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                     '{WORDS}') AS w
+  FROM benchmark
+),
+starts AS (
+  SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p
+  FROM items WHERE len(w) > 0
+),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(w, p, p + n - 1), ' ') AS phrase
+  FROM starts
+),
+places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+  FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+),
+phrases AS (
+  SELECT doc_id, n, p, array_to_string(list_slice(w, p, p + n - 1), ' ') AS phrase FROM places
+),
+found AS (SELECT doc_id, item_id, n, p FROM phrases JOIN windows USING (n, phrase)),
+hit AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM found) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+       coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named i USING (doc_id)""",
     "op9_line_dedup": f"""
 WITH docs AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
