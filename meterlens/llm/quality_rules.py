@@ -60,7 +60,7 @@ CUTOFF = 30.86
 BINS_PER_OCTAVE = 16
 
 STATS_SCHEMA = (
-    "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, "
+    "doc_id long, row_key long, lang string, source string, n_words long, word_chars long, n_symbols long, "
     "n_lines long, n_dup_lines long, n_repeat_words long"
 )
 
@@ -112,6 +112,11 @@ def text_statistics(text: str | None) -> tuple[int, int, int, int, int, int]:
     )
 
 
+def row_key(docs: DataFrame):
+    """Tells rows that repeat a document id apart."""
+    return F.xxhash64(docs["text"], docs["lang"], docs["source"])
+
+
 def document_statistics(docs: DataFrame) -> DataFrame:
     """One row of base counts per document, from a map over the texts."""
 
@@ -123,6 +128,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
+                        batch.column("row_key"),
                         batch.column("lang").cast(pa.string()),
                         batch.column("source").cast(pa.string()),
                         *(pa.array(counts[:, j]) for j in range(6)),
@@ -132,6 +138,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
 
     return docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
+        row_key(docs).alias("row_key"),
         docs["lang"].cast("string").alias("lang"),
         docs["source"].cast("string").alias("source"),
         docs["text"].alias("text"),
@@ -334,6 +341,7 @@ def quality_verdicts(docs: DataFrame, support: float = SUPPORT, cutoff: float =
     d2 = _distance(F.col("x"), chosen["center"], chosen["precision"])
     return out.select(
         "doc_id",
+        "row_key",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -343,3 +351,14 @@ def quality_verdicts(docs: DataFrame, support: float = SUPPORT, cutoff: float =
         (~F.col("base_failed") & F.coalesce(d2 <= cutoff, F.lit(True))).alias("kept"),
         F.when(~F.col("base_failed"), d2).alias("distance2"),
     )
+
+
+def keep_passing(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The documents that pass; rows without an id are matched like any other."""
+    gone = verdicts.filter(~F.col("kept")).select(
+        F.col("doc_id").alias("__gone_id"), F.col("row_key").alias("__gone_key")
+    )
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["__gone_id"]) & (
+        row_key(docs) == gone["__gone_key"]
+    )
+    return docs.join(gone, same, "left_anti")

@@ -5,6 +5,7 @@ Each query applies one operator with production parameters to its whole table.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from meterlens.llm.common import table
@@ -12,8 +13,11 @@ from meterlens.llm.decontamination import contamination
 from meterlens.llm.line_dedup import line_dedup
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
+from meterlens.llm.sentence_pieces import decode_pieces, encode_pieces, load_model
 from meterlens.llm.simhash_neardup import simhash_components
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
 
 def op1_secret_scan(spark, sf_dir):
     return secret_spans(table(spark, sf_dir, "documents"))
@@ -38,7 +42,7 @@ def op6_simhash_neardup(spark, sf_dir):
 
 
 def op7_quality_rules(spark, sf_dir):
-    return quality_verdicts(table(spark, sf_dir, "documents"))
+    return quality_verdicts(table(spark, sf_dir, "documents")).drop("row_key")
 
 
 def op9_line_dedup(spark, sf_dir):
@@ -48,12 +52,25 @@ def op9_line_dedup(spark, sf_dir):
     )
 
 
+def op10_sentence_pieces(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = load_model(public_tokenizers.path(PIECE_MODEL))
+    coded = encode_pieces(docs, model).select("doc_id", "ids")
+    return decode_pieces(coded, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op4_decontamination": op4_decontamination,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_quality_rules": op7_quality_rules,
     "op9_line_dedup": op9_line_dedup,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
