@@ -5,6 +5,8 @@ Each query applies one operator with production parameters to its whole table.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -15,8 +17,10 @@ from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
 from meterlens.llm.sentence_pieces import decode_pieces, encode_pieces, load_model
 from meterlens.llm.simhash_neardup import simhash_components
+from meterlens.llm.token_files import token_files, token_index
 
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_MODEL = "word_bpe_49k.json"
 
 
 def op1_secret_scan(spark, sf_dir):
@@ -45,6 +49,11 @@ def op7_quality_rules(spark, sf_dir):
     return quality_verdicts(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op8_token_files(spark, sf_dir):
+    spec = Path(public_tokenizers.path(WORD_MODEL)).read_text(encoding="utf-8")
+    return token_index(token_files(spark, table(spark, sf_dir, "documents"), spec))
+
+
 def op9_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup(docs).select(
@@ -69,6 +78,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_token_files": op8_token_files,
     "op9_line_dedup": op9_line_dedup,
     "op10_sentence_pieces": op10_sentence_pieces,
 }
@@ -117,6 +127,7 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
        coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
        coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named i USING (doc_id)""",
+    "op8_token_files": op8_token_files,
     "op9_line_dedup": f"""
 WITH docs AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents

@@ -23,6 +23,7 @@ replaces.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -299,13 +300,11 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and where each text's ids start."""
-        number: dict[str, int] = {}
+        number: dict[str, int] = defaultdict()
+        number.default_factory = number.__len__  # a new chunk gets the next number
         rows, sizes = [], []
         for text in texts:
             parts = self.chunk.findall(SPACE + text.replace(" ", SPACE)) if text else []
-            for part in parts:
-                if part not in number:
-                    number[part] = len(number)
             rows.extend(map(number.__getitem__, parts))
             sizes.append(len(parts))
         ids, starts = self.encode_chunks(list(number))
