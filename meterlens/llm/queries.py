@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meterlens.llm.common import table
 from meterlens.llm.decontamination import contamination
+from meterlens.llm.html_template import extract_main_text
 from meterlens.llm.line_dedup import line_dedup
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
@@ -27,6 +28,11 @@ def op1_secret_scan(spark, sf_dir):
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op2_html_template(spark, sf_dir):
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op4_decontamination(spark, sf_dir):
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
@@ -75,6 +81,7 @@ def op10_sentence_pieces(spark, sf_dir):
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_html_template": op2_html_template,
     "op4_decontamination": op4_decontamination,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_quality_rules": op7_quality_rules,
@@ -88,6 +95,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLE: dict[str, str] = {
+    "op2_html_template": op2_html_template,
     "op4_decontamination": f"""
 WITH docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
