@@ -19,6 +19,7 @@ from meterlens.llm.secret_scan import secret_spans
 from meterlens.llm.sentence_pieces import decode_pieces, encode_pieces, load_model
 from meterlens.llm.simhash_neardup import simhash_components
 from meterlens.llm.token_files import token_files, token_index
+from meterlens.llm.url_lists import evaluate_captures
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
@@ -47,6 +48,53 @@ def op4_decontamination(spark, sf_dir):
     )
 
 
+def captures(spark, sf_dir):
+    """The pages as captures: fetched on a day of 2024 that follows from the id."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(366)).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", day.alias("fetched"))
+
+
+def dated_entries(pages):
+    """Dated list entries that follow from the hosts of the pages by one rule.
+
+    A third of the hosts is blocked for a while, hosts with spam names by domain
+    for good, every fourth host's /de pages by prefix; every fifth host's /en pages are
+    allowed by prefix from some day on.
+    """
+    host = F.lower(F.try_parse_url("url", F.lit("HOST")))
+    hosts = pages.select(host.alias("host")).filter("host <> ''").distinct()
+
+    def digits(at):
+        return F.conv(F.substring(F.md5("host"), at, 4), 16, 10).cast("int")
+
+    day = F.lit("2024-01-01").cast("date")
+    start = F.date_add(day, F.pmod(digits(1), F.lit(200)))
+    entry = "list_name string, allows boolean, kind string, pattern string, action string, entry_date date"
+
+    def row(name, allows, kind, pattern, action, date):
+        values = (F.lit(name), F.lit(allows), F.lit(kind), pattern, F.lit(action), date)
+        return F.struct(*(v.alias(f.split()[0]) for v, f in zip(values, entry.split(", "), strict=True)))
+
+    h = F.col("host")
+    end = F.date_add(start, 1 + F.pmod(digits(5), F.lit(100)))
+    domain = F.regexp_replace(h, r"^(www|m|blog)\.", "")
+    rules = F.array(
+        F.when(digits(9) % 3 == 0, row("abuse", False, "host", h, "add", start)),
+        F.when(digits(9) % 3 == 0, row("abuse", False, "host", h, "remove", end)),
+        F.when((digits(9) % 3 == 0) & (digits(13) % 2 == 0),
+               row("abuse", False, "host", h, "add", F.date_add(end, 30))),
+        F.when(h.rlike("ads-track|casino-win|spam-farm|cheap-pills|adult-x|free-bets"),
+               row("spam", False, "domain", domain, "add", F.date_add(day, 30))),
+        F.when(digits(17) % 4 == 0, row("policy", False, "prefix", F.concat(h, F.lit("/de")), "add", start)),
+        F.when(digits(21) % 5 == 0, row("trusted", True, "prefix", F.concat(h, F.lit("/en/")), "add", end)),
+    )
+    return hosts.select(F.inline(F.filter(rules, lambda r: r.isNotNull())))
+
+
+def op5_url_lists(spark, sf_dir):
+    return evaluate_captures(captures(spark, sf_dir), dated_entries(table(spark, sf_dir, "pages")))
+
+
 def op6_simhash_neardup(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -83,6 +131,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_template": op2_html_template,
     "op4_decontamination": op4_decontamination,
+    "op5_url_lists": op5_url_lists,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_files": op8_token_files,
@@ -160,4 +209,49 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
          AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op5_url_lists": r"""
+WITH caps AS (
+  SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS DATE) AS fetched,
+         lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)) AS host,
+         lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]+([^?#]*)', 1)) AS path
+  FROM pages
+),
+hosts AS (
+  SELECT DISTINCT host, md5(host) AS m FROM caps WHERE host <> ''
+),
+n AS (
+  SELECT host,
+         CAST('0x' || substr(m, 9, 4) AS INTEGER) AS d9, CAST('0x' || substr(m, 13, 4) AS INTEGER) AS d13,
+         CAST('0x' || substr(m, 17, 4) AS INTEGER) AS d17, CAST('0x' || substr(m, 21, 4) AS INTEGER) AS d21,
+         DATE '2024-01-01' + CAST('0x' || substr(m, 1, 4) AS INTEGER) % 200 AS a,
+         DATE '2024-01-01' + CAST('0x' || substr(m, 1, 4) AS INTEGER) % 200
+           + 1 + CAST('0x' || substr(m, 5, 4) AS INTEGER) % 100 AS b
+  FROM hosts
+),
+intervals AS (
+  SELECT 'abuse' AS list_name, false AS allows, 'host' AS kind, host AS pattern, a AS f, b AS t
+  FROM n WHERE d9 % 3 = 0
+  UNION ALL SELECT 'abuse', false, 'host', host, b + 30, NULL FROM n WHERE d9 % 3 = 0 AND d13 % 2 = 0
+  UNION ALL SELECT DISTINCT 'spam', false, 'domain', regexp_replace(host, '^(www|m|blog)\.', ''),
+                   DATE '2024-01-31', NULL
+  FROM n WHERE regexp_matches(host, 'ads-track|casino-win|spam-farm|cheap-pills|adult-x|free-bets')
+  UNION ALL SELECT 'policy', false, 'prefix', host || '/de', a, NULL FROM n WHERE d17 % 4 = 0
+  UNION ALL SELECT 'trusted', true, 'prefix', host || '/en', b, NULL FROM n WHERE d21 % 5 = 0
+),
+found AS (
+  SELECT c.page_id, i.list_name, i.allows, length(i.pattern) AS w
+  FROM caps c JOIN intervals i
+    ON c.fetched >= i.f AND (i.t IS NULL OR c.fetched < i.t)
+   AND CASE i.kind WHEN 'host' THEN c.host = i.pattern
+            WHEN 'domain' THEN c.host = i.pattern OR c.host LIKE '%.' || i.pattern
+            ELSE starts_with(rtrim(c.host || c.path, '/') || '/', i.pattern || '/') END
+),
+verdict AS (
+  SELECT page_id, string_agg(DISTINCT list_name, ',' ORDER BY list_name) AS lists, count(*) AS n_entries,
+         max(w) FILTER (WHERE NOT allows) AS block, max(w) FILTER (WHERE allows) AS allow
+  FROM found GROUP BY page_id
+)
+SELECT c.page_id, c.url, c.fetched, coalesce(v.lists, '') AS lists, coalesce(v.n_entries, 0) AS n_entries,
+       coalesce(v.block > coalesce(v.allow, -1), false) AS blocked
+FROM caps c LEFT JOIN verdict v USING (page_id)""",
 }
