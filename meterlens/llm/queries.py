@@ -14,6 +14,7 @@ from meterlens.llm.common import table
 from meterlens.llm.decontamination import contamination
 from meterlens.llm.html_template import extract_main_text
 from meterlens.llm.line_dedup import line_dedup
+from meterlens.llm.passage_chains import repeated_passages
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
 from meterlens.llm.sentence_pieces import decode_pieces, encode_pieces, load_model
@@ -34,6 +35,10 @@ def op2_html_template(spark, sf_dir):
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op3_passage_chains(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark, sf_dir):
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
@@ -130,6 +135,7 @@ def op10_sentence_pieces(spark, sf_dir):
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_template": op2_html_template,
+    "op3_passage_chains": op3_passage_chains,
     "op4_decontamination": op4_decontamination,
     "op5_url_lists": op5_url_lists,
     "op6_simhash_neardup": op6_simhash_neardup,
