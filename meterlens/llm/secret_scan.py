@@ -72,14 +72,14 @@ def entropy_windows(run: str, window: int, bits: float) -> list[tuple[int, int]]
     total = 0.0
     found: list[tuple[int, int]] = []
     for i, ch in enumerate(run):
-        c = counts.get(ch, 0)
-        total += term[c + 1] - term[c]
-        counts[ch] = c + 1
         if i >= window:
             old = run[i - window]
             c = counts[old]
             total += term[c - 1] - term[c]
             counts[old] = c - 1
+        c = counts.get(ch, 0)
+        total += term[c + 1] - term[c]
+        counts[ch] = c + 1
         if i >= window - 1 and total <= most:
             start = i + 1 - window
             if found and start <= found[-1][1]:
