@@ -243,19 +243,20 @@ def _compare(radius: int):
 
 
 def band_keys(fp, blocks: int, agree: int) -> list:
-    """Bucket keys of a fingerprint: one per choice of ``agree`` whole blocks."""
+    """Bucket keys of a fingerprint: one per choice of ``agree`` whole blocks.
+
+    A key hashes the choice with its blocks; should two buckets ever share a
+    key, their rows are compared once more than needed.
+    """
     cuts = [64 * i // blocks for i in range(blocks + 1)]
     part = [
         F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
         for lo, hi in zip(cuts, cuts[1:], strict=False)
     ]
-    keys = []
-    for t, chosen in enumerate(combinations(range(blocks), agree)):
-        key = F.lit(t).cast("long")
-        for i in chosen:
-            key = F.shiftleft(key, cuts[i + 1] - cuts[i]).bitwiseOR(part[i])
-        keys.append(key)
-    return keys
+    return [
+        F.xxhash64(F.lit(t), *(part[i] for i in chosen))
+        for t, chosen in enumerate(combinations(range(blocks), agree))
+    ]
 
 
 def fingerprint_links(
