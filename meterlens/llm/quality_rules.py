@@ -205,8 +205,9 @@ def _invert(pdf_iter: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     num = int(products[i * p + j]) * int(n) - int(sums[i]) * int(sums[j])
                     cov[i, j] = num / (int(n) * int(n)) / UNIT**2
             cov *= CONSISTENCY
-            scale = np.sqrt(np.maximum(np.diag(cov), 0))
-            cov[np.diag_indices(p)] += np.maximum(least**2 - scale**2, 0)
+            variance = np.maximum(np.diag(cov), least**2)
+            cov *= 1 - SHRINK
+            cov[np.diag_indices(p)] = variance
             precisions.append(np.linalg.inv(cov).ravel().tolist())
             centers.append(mean.tolist())
         yield pd.DataFrame(
@@ -221,6 +222,8 @@ def _invert(pdf_iter: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+#: Correlations are shrunk by this share, so that few or collinear rows can be inverted.
+SHRINK = 0.01
 #: Makes the covariance of the closest 75 % consistent for five normal statistics.
 CONSISTENCY = 1.37
 FIT_SCHEMA = (
