@@ -317,6 +317,246 @@ def q_scalability_experiment(spark, d):
     return scalability_experiment(spark, _prepared(spark, d), runs=1)
 
 
+def _scratch(spark, name):
+    from meterlens.session import scratch_path
+
+    return scratch_path(spark, name)
+
+
+def q_read_raw_feed(spark, d):
+    """Feed files in two column orders, one with an extra column, bound by header."""
+    from meterlens.plans.ingest import write_feed_files
+    from meterlens.sources import read_raw_feed
+
+    base = _scratch(spark, "raw-feed")
+    feed = events_text_feed(spark, d)
+    half = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in feed.columns)), F.lit(2))
+    shuffled = feed.select(F.lit("x").alias("extra"), *(F.col(f"`{c}`") for c in reversed(feed.columns)))
+    write_feed_files(feed.filter(half == 0), f"{base}/a")
+    write_feed_files(shuffled.filter(half == 1), f"{base}/b")
+    return cl.normalize_feed(read_raw_feed(spark, f"{base}/*"))
+
+
+def _published(spark, d, fmt="text"):
+    from meterlens.sinks import publish_readings
+
+    path = _scratch(spark, "published")
+    return path, publish_readings(feed_records(spark, d), path, fmt=fmt)
+
+
+def q_publish_readings(spark, d):
+    from meterlens.sources import read_readings
+
+    return read_readings(spark, _published(spark, d)[0], fmt="json")
+
+
+def q_publish_counts(spark, d):
+    counts = _published(spark, d, "json")[1]
+    return spark.createDataFrame(
+        [(counts["records_sent"], counts["missing_energy_records"])],
+        "records_sent long, missing_energy_records long",
+    )
+
+
+def q_read_readings(spark, d):
+    from meterlens.sinks import write_result
+    from meterlens.sources import read_readings
+
+    path = _scratch(spark, "readings")
+    write_result(feed_records(spark, d), path, fmt="parquet")
+    return read_readings(spark, path)
+
+
+def q_readings_count(spark, d):
+    return q_read_readings(spark, d).agg(F.count(F.lit(1)).alias("records"))
+
+
+def q_drop_store_id(spark, d):
+    with_id = feed_records(spark, d).withColumn("_id", F.monotonically_increasing_id().cast("string"))
+    return cl.clean_readings(with_id)
+
+
+def q_iqr_bounds_approx(spark, d):
+    return _rounded(an.iqr_bounds(events_cleaned(spark, d), accuracy=FINE))
+
+
+def q_anomaly_summary_approx(spark, d):
+    return _rounded(an.anomaly_summary(events_cleaned(spark, d), accuracy=FINE))
+
+
+#: percentile_approx accuracy whose rank error is below one row on these tables.
+FINE = 10_000_000
+
+
+def q_detect_anomalies(spark, d):
+    return an.detect_anomalies(events_cleaned(spark, d), accuracy=FINE)[0]
+
+
+def q_detect_anomalies_summary(spark, d):
+    return _rounded(an.detect_anomalies(events_cleaned(spark, d), accuracy=FINE)[1])
+
+
+def q_stream_land_incremental(spark, d):
+    """Two runs of both ingest streams with default arguments, new files before each."""
+    from meterlens.plans.ingest import write_feed_files
+    from meterlens.streaming import stream_feed_to_records, stream_land_readings
+
+    base = _scratch(spark, "incremental")
+    feed = events_text_feed(spark, d)
+    half = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in feed.columns)), F.lit(2))
+    for n in (0, 1):
+        write_feed_files(feed.filter(half == n), f"{base}/feed/part{n}")
+        stream_feed_to_records(spark, f"{base}/feed/*", f"{base}/records").awaitTermination()
+        stream_land_readings(spark, f"{base}/records", f"{base}/landed").awaitTermination()
+    return spark.read.parquet(f"{base}/landed")
+
+
+def _messages(spark, d):
+    """JSON messages of the events; every 17th is no record."""
+    ev = _table(spark, d, "events")
+    eid = F.col("event_id")
+    good = F.to_json(
+        F.struct(
+            F.col("user_id").cast("string").alias(HOUSEHOLD),
+            F.col("event_type").alias(TARIFF),
+            F.col("value").alias("energy_kwh"),
+        )
+    )
+    bad = F.when(eid % 2 == 0, F.concat(F.lit("not json "), eid.cast("string"))).otherwise(
+        F.concat(F.lit('{"other": '), eid.cast("string"), F.lit("}"))
+    )
+    path = _scratch(spark, "messages")
+    ev.select(F.when(eid % 17 == 0, bad).otherwise(good)).write.text(path)
+    return path
+
+
+def q_stream_land_good_messages(spark, d):
+    from meterlens.streaming import stream_land_readings
+
+    target = _scratch(spark, "good-messages")
+    stream_land_readings(spark, _messages(spark, d), target).awaitTermination()
+    return spark.read.parquet(target)
+
+
+def q_stream_rejected_messages(spark, d):
+    from meterlens.streaming import stream_rejected_messages
+
+    target = _scratch(spark, "rejected-messages")
+    stream_rejected_messages(spark, _messages(spark, d), target).awaitTermination()
+    return spark.read.text(target).withColumnRenamed("value", "message")
+
+
+def _observed(query, name, fields):
+    """Sums of an observed metric over a finished stream's batches."""
+    rows = [p["observedMetrics"][name] for p in query.recentProgress if name in p["observedMetrics"]]
+    return [sum(r[f] for r in rows) for f in fields]
+
+
+def q_ingest_counts(spark, d):
+    """Counters of both streams over a feed."""
+    from meterlens.plans.ingest import write_feed_files
+    from meterlens.streaming import stream_feed_to_records, stream_land_readings
+    from meterlens.streaming.ingest import INGEST_METRICS, LANDING_METRICS
+
+    base = _scratch(spark, "ingest-counts")
+    write_feed_files(events_text_feed(spark, d), f"{base}/feed")
+    feed = stream_feed_to_records(spark, f"{base}/feed", f"{base}/records")
+    feed.awaitTermination()
+    land = stream_land_readings(spark, f"{base}/records", f"{base}/landed")
+    land.awaitTermination()
+    sent = _observed(feed, INGEST_METRICS, ("records_sent", "missing_energy_records"))
+    stored = _observed(land, LANDING_METRICS, ("records_stored", "records_rejected"))
+    return spark.createDataFrame(
+        [(*sent, *stored)],
+        "records_sent long, missing_energy_records long, records_stored long, records_rejected long",
+    )
+
+
+def q_result_status(spark, d):
+    """Availability of results written as CSV and as Parquet, one of them empty, others missing."""
+    from meterlens.sinks import write_result
+
+    cleaned = events_cleaned(spark, d)
+    found = []
+    for fmt in ("csv", "parquet"):
+        base = _scratch(spark, f"status-{fmt}")
+        write_result(ru.hourly_consumption(cleaned), f"{base}/hourly_consumption", fmt=fmt)
+        write_result(ru.overall_statistics(cleaned), f"{base}/overall_statistics", fmt=fmt)
+        empty = ru.daily_consumption(cleaned.filter("false"))
+        write_result(empty, f"{base}/daily_consumption", fmt=fmt)
+        found.append(rp.result_status(spark, base, fmt=fmt).withColumn("format", F.lit(fmt)))
+    return found[0].unionByName(found[1])
+
+
+def q_hash_sample_checks(spark, d):
+    """One row: rows, rows outside the bucket range, nesting violations, differences after a repartition."""
+    from meterlens.functions import sample_bucket
+
+    readings = events_readings(spark, d)
+    bucket = sample_bucket(F.col(HOUSEHOLD), F.col(TIME).cast("string"))
+    row = F.xxhash64(*readings.columns)
+    again = readings.repartition(7, TIME)
+
+    def digest(df, pct):
+        return sm.hash_sample(df, pct).agg(F.bit_xor(row).alias("x"), F.count("*").alias("n"))
+
+    small, large = sm.hash_sample(readings, 25), sm.hash_sample(readings, 50)
+    nested = small.exceptAll(large).agg(F.count("*").alias("nesting_violations"))
+    a, b = digest(readings, 25), digest(again, 25)
+    same = a.select(F.struct("x", "n").alias("s")).scalar() == b.select(F.struct("x", "n").alias("s")).scalar()
+    return readings.agg(
+        F.count("*").alias("total_records"),
+        F.count_if((bucket < 0) | (bucket > 99)).alias("outside_range"),
+    ).select(
+        "total_records",
+        "outside_range",
+        nested.scalar().alias("nesting_violations"),
+        F.when(same, F.lit(0)).otherwise(F.lit(1)).alias("repartition_differences"),
+    )
+
+
+def q_workload_run(spark, d):
+    timings = wl.workload_run(_prepared(spark, d))
+    return spark.createDataFrame([(k, v > 0) for k, v in timings.items()], "query string, timed boolean")
+
+
+def q_scalability_written(spark, d):
+    """The experiment's written result: sizes, rows at 100 percent, and that all was timed."""
+    from meterlens.plans.experiment import scalability_experiment
+    from meterlens.sinks import write_result
+    from meterlens.sources import read_result
+
+    path = f"{_scratch(spark, 'experiment')}/scalability_results"
+    write_result(scalability_experiment(spark, _prepared(spark, d), runs=1), path, single_file=True)
+    size = F.col("data_percentage")
+    return read_result(spark, path).select(
+        size,
+        F.when(size == 100, F.col("records")).alias("full_records"),
+        (F.col("execution_time_seconds") > 0).alias("timed"),
+        (F.col("throughput_records_per_second") > 0).alias("has_throughput"),
+    )
+
+
+_PIPELINE_RUNS: dict[tuple, str] = {}
+
+
+def _pipeline_result(name):
+    """One dataset of the full job, read from the files that it wrote."""
+
+    def query(spark, d):
+        from meterlens.plans.pipeline import run_pipeline
+        from meterlens.sources import read_result
+
+        key = (spark.sparkContext.applicationId, str(d))
+        if key not in _PIPELINE_RUNS:
+            out = _scratch(spark, "pipeline-results")
+            run_pipeline(spark, feed_records(spark, d), out, method="exact")
+            _PIPELINE_RUNS[key] = out
+        return _rounded(read_result(spark, f"{_PIPELINE_RUNS[key]}/{name}"))
+
+    return query
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_consumption": q_hourly_consumption,
     "daily_consumption": q_daily_consumption,
@@ -359,7 +599,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_land_readings": q_stream_land_readings,
     "run_pipeline": q_run_pipeline,
     "scalability_experiment": q_scalability_experiment,
+    "read_raw_feed": q_read_raw_feed,
+    "publish_readings": q_publish_readings,
+    "publish_counts": q_publish_counts,
+    "read_readings": q_read_readings,
+    "readings_count": q_readings_count,
+    "drop_store_id": q_drop_store_id,
+    "iqr_bounds_approx": q_iqr_bounds_approx,
+    "anomaly_summary_approx": q_anomaly_summary_approx,
+    "detect_anomalies": q_detect_anomalies,
+    "detect_anomalies_summary": q_detect_anomalies_summary,
+    "stream_land_incremental": q_stream_land_incremental,
+    "stream_land_good_messages": q_stream_land_good_messages,
+    "stream_rejected_messages": q_stream_rejected_messages,
+    "ingest_counts": q_ingest_counts,
+    "result_status": q_result_status,
+    "hash_sample_checks": q_hash_sample_checks,
+    "workload_run": q_workload_run,
+    "scalability_written": q_scalability_written,
 }
+PIPELINE_RESULTS = (
+    "hourly_consumption", "daily_consumption", "monthly_consumption", "household_consumption",
+    "weekday_consumption", "overall_statistics", "peak_hour", "peak_day", "peak_month",
+    "anomaly_summary", "anomaly_detection", "cleaned_sample",
+)
+QUERIES.update({f"pipeline_{name}": _pipeline_result(name) for name in PIPELINE_RESULTS})
 
 
 # The training-data operators and their pipeline are an optional part.
@@ -695,5 +959,85 @@ FROM counts, bounds""",
 }
 
 
+_CLEANED_FEED = f"WITH {_FEED}, {_FEED_CLEANED}"
+_MISSING = "CAST(count(*) FILTER (WHERE energy_kwh IS NULL) AS BIGINT)"
+ORACLE.update(
+    {
+        "read_raw_feed": ORACLE["normalize_feed"],
+        "publish_readings": ORACLE["normalize_feed"],
+        "read_readings": ORACLE["normalize_feed"],
+        "stream_land_incremental": ORACLE["normalize_feed"],
+        "readings_count": "SELECT count(*) AS records FROM events",
+        "publish_counts": f"""
+WITH {_FEED}
+SELECT count(*) AS records_sent, {_MISSING} AS missing_energy_records FROM records""",
+        "ingest_counts": f"""
+WITH {_FEED}
+SELECT count(*) AS records_sent, {_MISSING} AS missing_energy_records,
+       count(*) AS records_stored, CAST(0 AS BIGINT) AS records_rejected FROM records""",
+        "drop_store_id": ORACLE["clean_readings"],
+        "iqr_bounds_approx": ORACLE["iqr_bounds"],
+        "anomaly_summary_approx": ORACLE["anomaly_summary"],
+        "detect_anomalies": ORACLE["anomaly_records"],
+        "detect_anomalies_summary": ORACLE["anomaly_summary"],
+        "stream_land_good_messages": """
+SELECT CAST(user_id AS VARCHAR) AS LCLid, event_type AS stdorToU,
+       CAST(NULL AS VARCHAR) AS DateTime, value AS energy_kwh
+FROM events WHERE event_id % 17 <> 0""",
+        "stream_rejected_messages": """
+SELECT CASE WHEN event_id % 2 = 0 THEN 'not json ' || event_id
+            ELSE '{"other": ' || event_id || '}' END AS message
+FROM events WHERE event_id % 17 = 0""",
+        "result_status": """
+SELECT result, CASE WHEN result IN ('hourly_consumption', 'overall_statistics')
+                    THEN 'Available' ELSE 'Not found' END AS status, format
+FROM unnest(['overall_statistics', 'hourly_consumption', 'daily_consumption',
+             'monthly_consumption', 'household_consumption', 'anomaly_summary',
+             'scalability_experiment']) AS r(result),
+     unnest(['csv', 'parquet']) AS f(format)""",
+        "hash_sample_checks": """
+SELECT count(*) AS total_records, CAST(0 AS BIGINT) AS outside_range,
+       CAST(0 AS BIGINT) AS nesting_violations, 0 AS repartition_differences FROM events""",
+        "workload_run": """
+SELECT unnest(['workload_hourly', 'workload_household', 'workload_overall']) AS query,
+       true AS timed""",
+        "scalability_written": """
+SELECT p AS data_percentage, CASE WHEN p = 100 THEN (SELECT count(*) FROM events) END
+         AS full_records, true AS timed, true AS has_throughput
+FROM unnest([25, 50, 100]) AS t(p)""",
+        "pipeline_hourly_consumption": f"""{_CLEANED_FEED}
+SELECT hour, round(sum(energy_kwh), 6) AS total_energy_kwh FROM cleaned GROUP BY hour""",
+        "pipeline_daily_consumption": f"""{_CLEANED_FEED}
+SELECT date, round(sum(energy_kwh), 6) AS total_energy_kwh FROM cleaned GROUP BY date""",
+        "pipeline_monthly_consumption": f"""{_CLEANED_FEED}
+SELECT year, month, round(sum(energy_kwh), 6) AS total_energy_kwh FROM cleaned
+GROUP BY year, month""",
+        "pipeline_household_consumption": f"""{_CLEANED_FEED}
+SELECT LCLid, {_PROFILE}, count(energy_kwh) AS readings FROM cleaned GROUP BY LCLid""",
+        "pipeline_weekday_consumption": f"""{_CLEANED_FEED}
+SELECT day_of_week, round(sum(energy_kwh), 6) AS total_energy_kwh,
+       round(avg(energy_kwh), 6) AS average_energy_kwh, count(energy_kwh) AS readings
+FROM cleaned GROUP BY day_of_week""",
+        "pipeline_overall_statistics": f"""{_CLEANED_FEED}
+SELECT {_PROFILE}, count(energy_kwh) AS valid_readings FROM cleaned""",
+        "pipeline_peak_hour": f"""{_CLEANED_FEED}
+SELECT hour, round(sum(energy_kwh), 6) AS total_energy_kwh FROM cleaned GROUP BY hour
+ORDER BY sum(energy_kwh) DESC, hour LIMIT 1""",
+        "pipeline_peak_day": f"""{_CLEANED_FEED}
+SELECT date, round(sum(energy_kwh), 6) AS total_energy_kwh FROM cleaned GROUP BY date
+ORDER BY sum(energy_kwh) DESC, date LIMIT 1""",
+        "pipeline_peak_month": f"""{_CLEANED_FEED}
+SELECT year, month, round(sum(energy_kwh), 6) AS total_energy_kwh FROM cleaned
+GROUP BY year, month ORDER BY sum(energy_kwh) DESC, year, month LIMIT 1""",
+        "pipeline_anomaly_summary": ORACLE["run_pipeline"],
+        "pipeline_anomaly_detection": f"""{_CLEANED_FEED}, {_BOUNDS}
+SELECT * REPLACE (round(energy_kwh, 6) AS energy_kwh) FROM flagged WHERE anomaly""",
+        "pipeline_cleaned_sample": f"""{_CLEANED_FEED}
+SELECT * REPLACE (round(energy_kwh, 6) AS energy_kwh) FROM cleaned
+ORDER BY DateTime, LCLid, energy_kwh LIMIT 1000""",
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {**ORACLE, **ORACLE_LLM}

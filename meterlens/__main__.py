@@ -25,7 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     pipe.add_argument("out", help="results directory")
     pipe.add_argument("--format", default="parquet", help="input format")
     pipe.add_argument("--result-format", default="csv")
-    pipe.add_argument("--quartiles", default="approx", choices=["approx", "exact", "disc"])
+    pipe.add_argument("--quartiles", default="approx", choices=["approx", "exact"])
     pipe.add_argument("--unsorted-anomalies", action="store_true",
                       help="skip the global sort of the anomaly records")
 

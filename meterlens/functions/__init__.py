@@ -3,7 +3,6 @@
 from meterlens.functions.columns import (
     PY_WHITESPACE,
     DAY_NAMES,
-    TIME_LAYOUTS,
     day_name,
     format_measure,
     hour_label,
@@ -18,7 +17,6 @@ from meterlens.functions.columns import (
 __all__ = [
     "PY_WHITESPACE",
     "DAY_NAMES",
-    "TIME_LAYOUTS",
     "day_name",
     "format_measure",
     "hour_label",

@@ -17,11 +17,6 @@ PY_WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The two reading-time layouts of the raw feed, tried in this
-# order, then the default ISO parse.  Spark's ISO cast accepts both layouts
-# (1-9 fraction digits, optional ``T``), so one try_cast covers the chain.
-TIME_LAYOUTS = ("yyyy-MM-dd HH:mm:ss.SSSSSSS", "yyyy-MM-dd HH:mm:ss")
-
 # Text that ends a clock time with an explicit zone: ``Z``, an offset, or a
 # zone name (``UTC``, ``GMT+1``, ``Europe/London``).
 ZONED_TIME = (

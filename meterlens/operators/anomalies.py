@@ -15,9 +15,6 @@ Quartile methods:
   (:func:`meterlens.operators.quantiles.exact_quantiles`): a few small jobs run
   when the bounds are built, each one scan of the energy column; no task ever
   holds more than one bin histogram.
-* ``"disc"``: Spark's ``percentile_disc`` — same values as ``"exact"``, lazy, but
-  its state is a value->count map merged in ONE task, so memory grows with the
-  number of distinct energy values.  Fine for fixed-precision meters only.
 """
 
 from __future__ import annotations
@@ -39,17 +36,6 @@ NORMAL = "Normal"
 BOUND_COLUMNS = ["q1_kwh", "q3_kwh", "iqr_kwh", "lower_bound_kwh", "upper_bound_kwh"]
 
 
-def _quartiles(method: str, accuracy: int) -> tuple[Column, Column]:
-    if method == "approx":
-        qs = F.percentile_approx(ENERGY, [Q1_LEVEL, Q3_LEVEL], accuracy)
-        return qs[0], qs[1]
-    if method == "disc":
-        q1 = F.expr(f"percentile_disc({Q1_LEVEL}) WITHIN GROUP (ORDER BY {ENERGY})")
-        q3 = F.expr(f"percentile_disc({Q3_LEVEL}) WITHIN GROUP (ORDER BY {ENERGY})")
-        return q1, q3
-    raise ValueError("method must be 'approx', 'exact' or 'disc'")
-
-
 def iqr_bounds(cleaned: DataFrame, method: str = "approx", accuracy: int = 1000) -> DataFrame:
     """One row: ``q1_kwh, q3_kwh, iqr_kwh, lower_bound_kwh, upper_bound_kwh``.
 
@@ -59,11 +45,13 @@ def iqr_bounds(cleaned: DataFrame, method: str = "approx", accuracy: int = 1000)
     if method == "exact":
         q1, q3 = exact_quantiles(cleaned, ENERGY, [Q1_LEVEL, Q3_LEVEL])
         quart = cleaned.sparkSession.createDataFrame([(q1, q3)], "q1_kwh double, q3_kwh double")
-    else:
-        q1, q3 = _quartiles(method, accuracy)
+    elif method == "approx":
+        qs = F.percentile_approx(ENERGY, [Q1_LEVEL, Q3_LEVEL], accuracy)
         quart = cleaned.agg(
-            q1.cast("double").alias("q1_kwh"), q3.cast("double").alias("q3_kwh")
+            qs[0].cast("double").alias("q1_kwh"), qs[1].cast("double").alias("q3_kwh")
         )
+    else:
+        raise ValueError("method must be 'approx' or 'exact'")
     iqr = F.col("q3_kwh") - F.col("q1_kwh")
     return quart.select(
         "q1_kwh",
@@ -146,6 +134,26 @@ def anomaly_summary(
         F.count_if(e > b["upper_bound_kwh"]).alias("high_consumption_anomalies"),
         F.count_if(e < b["lower_bound_kwh"]).alias("low_consumption_anomalies"),
     )
+    return _summary(counts, b)
+
+
+def summary_from_parts(
+    bounds: DataFrame, total_records: DataFrame, records: DataFrame
+) -> DataFrame:
+    """:func:`anomaly_summary` from results that exist already, without another scan.
+
+    ``bounds`` is one row, ``total_records`` one row and column, ``records`` the
+    (stored) anomaly records.
+    """
+    b = _bound_value(bounds)
+    counts = records.agg(
+        F.count_if(F.col("anomaly_type") == HIGH).alias("high_consumption_anomalies"),
+        F.count_if(F.col("anomaly_type") == LOW).alias("low_consumption_anomalies"),
+    )
+    return _summary(counts.select("*", total_records.scalar().alias("total_records")), b)
+
+
+def _summary(counts: DataFrame, b: Column) -> DataFrame:
     n_anom = F.col("high_consumption_anomalies") + F.col("low_consumption_anomalies")
     total = F.col("total_records")
     return counts.select(

@@ -51,19 +51,17 @@ def add_calendar(df: DataFrame) -> DataFrame:
 def type_readings(records: DataFrame) -> DataFrame:
     """Drop the store's ``_id`` and type the time; every row is kept.
 
-    Typed sources (time already a timestamp) pass through untouched, so later
-    ``IS NOT NULL`` filters still reach the Parquet reader.  Text sources are
-    parsed exactly once per row (:func:`~meterlens.operators.common.evaluate_once`),
-    so a later filter on the parsed time does not re-run the parse.
+    Typed sources (time already a timestamp) pass through untouched.  Text
+    sources are parsed exactly once per row
+    (:func:`~meterlens.operators.common.evaluate_once`), so a later filter on the
+    parsed time does not re-run the parse.  The other columns pass by the
+    generator, so column pruning and ``IS NOT NULL`` filters on them still reach
+    the reader.
     """
     records = records.drop("_id")
     if not isinstance(records.schema[TIME].dataType, T.StringType):
         return records
-    cols = [
-        parse_reading_time(TIME).alias(TIME) if c == TIME else F.col(f"`{c}`")
-        for c in records.columns
-    ]
-    return evaluate_once(records, cols)
+    return evaluate_once(records, TIME, parse_reading_time(TIME))
 
 
 def valid_reading() -> Column:

@@ -1,7 +1,7 @@
 """Small report tables built on the rollups (labels, formatted values, overview).
 
-All are DataFrame -> DataFrame; the overview is one scan and one global
-aggregate (no driver round trips, no joins of one-row frames).
+All are DataFrame -> DataFrame; the overview is one scan and one aggregate by
+date and hour (no driver round trips, no joins of one-row frames).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from meterlens.functions import format_measure as _format_measure
 from meterlens.functions import hour_label as _hour_label
 from meterlens.functions import period_label as _period_label
-from meterlens.operators.rollups import TOTAL
+from meterlens.operators.rollups import TOTAL, calendar_cells
 from meterlens.schema import ENERGY
 
 
@@ -54,57 +54,56 @@ def first_or_default(
 def overview_report(cleaned: DataFrame) -> DataFrame:
     """One row: total / average / min / max energy plus peak hour, day and month.
 
-    One grouping-sets aggregate over the readings (hour, date, month and the
-    grand total share one scan) followed by one global aggregate over that
-    small result.
+    One aggregate by (date, hour) over the readings; everything else comes from
+    that table of at most 24 rows a day.
     """
-    gid = F.grouping_id(F.col("hour"), F.col("date"), F.col("year"), F.col("month"))
-    per = cleaned.groupingSets(
-        [[F.col("hour")], [F.col("date")], [F.col("year"), F.col("month")], []],
-        "hour", "date", "year", "month",
-    ).agg(
-        F.sum(ENERGY).alias(TOTAL),
-        F.count(ENERGY).alias("n"),
-        F.min(ENERGY).alias("lo"),
-        F.max(ENERGY).alias("hi"),
-        gid.alias("gid"),
+    date = F.col("date")
+    month_number = F.year(date) * F.lit(12) + F.month(date)
+    levels = (
+        (0, F.lit(0)),
+        (1, F.col("hour")),
+        (2, F.unix_date(date)),
+        (3, month_number),
     )
-    # grouping_id bits (hour, date, year, month); 1 = not grouped
-    is_hour, is_day, is_month, is_all = (
-        F.col("gid") == F.lit(0b0111),
-        F.col("gid") == F.lit(0b1011),
-        F.col("gid") == F.lit(0b1100),
-        F.col("gid") == F.lit(0b1111),
+    keys = F.explode(
+        F.array(*(F.struct(F.lit(i).alias("level"), k.cast("int").alias("key")) for i, k in levels))
     )
-    total = F.col(TOTAL)
-    month_index = F.col("year") * F.lit(12) + F.col("month")
-    peak_month = F.max_by(
-        F.when(is_month, F.struct("year", "month", TOTAL)),
-        F.when(is_month, F.struct(total, -month_index)),
-    )
-    peak_day = F.max_by(
-        F.when(is_day, F.struct("date", TOTAL)),
-        F.when(is_day, F.struct(total, -F.unix_date(F.col("date")))),
-    )
-    peak_hour = F.max_by(
-        F.when(is_hour, F.struct("hour", TOTAL)),
-        F.when(is_hour, F.struct(total, -F.col("hour"))),
-    )
-    overall = F.first(F.when(is_all, F.struct(TOTAL, "n", "lo", "hi")), ignorenulls=True)
-    agg = per.agg(
-        overall.alias("o"), peak_hour.alias("ph"), peak_day.alias("pd"), peak_month.alias("pm")
+    per = (
+        calendar_cells(cleaned)
+        .select(TOTAL, "n", "lo", "hi", keys.alias("k"))
+        .groupBy("k.level", "k.key")
+        .agg(
+            F.sum(TOTAL).alias(TOTAL),
+            F.sum("n").alias("n"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+        )
     )
+    total, key = F.col(TOTAL), F.col("key")
+
+    def peak(level: int, name: str):
+        """The key with the largest total; the smallest key wins a tie."""
+        here = F.col("level") == level
+        found = F.max_by(
+            F.when(here, F.struct("key", TOTAL)), F.when(here, F.struct(total, -key))
+        )
+        return found.alias(name)
+
+    overall = F.first(F.when(F.col("level") == 0, F.struct(TOTAL, "n", "lo", "hi")), ignorenulls=True)
+    agg = per.agg(overall.alias("o"), peak(1, "ph"), peak(2, "pd"), peak(3, "pm"))
+    # months count from 1, so December of a year is 12 * year + 12
+    peak_year = F.floor((F.col("pm")["key"] - 1) / 12).cast("int")
     return agg.select(
         F.col("o")[TOTAL].alias("total_energy_kwh"),
         (F.col("o")[TOTAL] / F.col("o")["n"]).alias("average_half_hour_kwh"),
         F.col("o")["lo"].alias("minimum_half_hour_kwh"),
         F.col("o")["hi"].alias("maximum_half_hour_kwh"),
-        F.col("ph")["hour"].alias("peak_hour"),
+        F.col("ph")["key"].alias("peak_hour"),
         F.col("ph")[TOTAL].alias("peak_hour_energy_kwh"),
-        F.col("pd")["date"].alias("peak_date"),
+        F.date_from_unix_date(F.col("pd")["key"]).alias("peak_date"),
         F.col("pd")[TOTAL].alias("peak_day_energy_kwh"),
-        F.col("pm")["year"].alias("peak_year"),
-        F.col("pm")["month"].alias("peak_month"),
+        peak_year.alias("peak_year"),
+        (F.col("pm")["key"] - peak_year * 12).cast("int").alias("peak_month"),
         F.col("pm")[TOTAL].alias("peak_month_energy_kwh"),
     )
 
@@ -122,9 +121,12 @@ STATUS_RESULTS = (
 
 
 def result_status(
-    spark: SparkSession, results_dir: str, names: tuple[str, ...] | list[str] = STATUS_RESULTS
+    spark: SparkSession,
+    results_dir: str,
+    names: tuple[str, ...] | list[str] = STATUS_RESULTS,
+    fmt: str = "csv",
 ) -> DataFrame:
-    """``(result, status)``: ``Available`` when a result exists and has rows.
+    """``(result, status)``: ``Available`` when a result exists in ``fmt`` and has rows.
 
     One cheap existence/emptiness probe per named result (a handful of names);
     the data itself never reaches the driver.
@@ -133,7 +135,7 @@ def result_status(
 
     rows = []
     for name in names:
-        df = read_result(spark, f"{results_dir.rstrip('/')}/{name}")
+        df = read_result(spark, f"{results_dir.rstrip('/')}/{name}", fmt=fmt)
         ok = df is not None and not df.isEmpty()
         rows.append((name, "Available" if ok else "Not found"))
     return spark.createDataFrame(rows, "result string, status string")

@@ -2,8 +2,9 @@
 
 Every rollup is a hash aggregate with a map-side partial step, so a household
 holding a third of all rows still ships one partial row per task, never its
-rows.  :func:`calendar_rollups` answers all six rollups from ONE scan with
-``GROUPING SETS`` (one Expand, one shuffle) for pipelines that need them all.
+rows.  :func:`calendar_rollups` answers all six rollups from one scan for pipelines that
+need them all: each row is expanded twice (by date and hour, by household), and
+the calendar rollups follow from the small date-and-hour table.
 """
 
 from __future__ import annotations
@@ -11,9 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlens.functions import day_name
 from meterlens.schema import ENERGY, HOUSEHOLD, household_is
 
 TOTAL = "total_energy_kwh"
+PROFILE_COLUMNS = (
+    TOTAL,
+    "average_half_hour_kwh",
+    "minimum_half_hour_kwh",
+    "maximum_half_hour_kwh",
+    "stddev_half_hour_kwh",
+)
 
 
 def _total() -> Column:
@@ -101,28 +110,84 @@ ROLLUP_SETS = {
     "weekday": ["day_of_week"],
     "overall": [],
 }
-_KEYS = ["hour", "date", "year", "month", HOUSEHOLD, "day_of_week"]
+_KEYS = {
+    "hour": "int", "date": "date", "year": "int", "month": "int", HOUSEHOLD: None, "day_of_week": "string",
+}
+
+
+def calendar_cells(cleaned: DataFrame, *more: str) -> DataFrame:
+    """Sums per (date, hour): n, total, lo, hi, squares — 24 rows a day at most.
+
+    ``squares`` is the sum of squared deviations from the cell's mean.  With
+    ``more`` columns, rows per value of them come from the same scan
+    (date and hour null there, ``is_cell`` false).
+    """
+    e = F.col(ENERGY)
+    measures = [
+        F.sum(e).alias(TOTAL),
+        F.count(e).alias("n"),
+        F.min(e).alias("lo"),
+        F.max(e).alias("hi"),
+        (F.var_pop(e) * F.count(e)).alias("squares"),
+    ]
+    if not more:
+        return cleaned.groupBy("date", "hour").agg(*measures)
+    keys = ["date", "hour", *more]
+    gid = F.grouping_id(*[F.col(k) for k in keys])
+    return cleaned.groupingSets(
+        [[F.col("date"), F.col("hour")], [F.col(c) for c in more]], *keys
+    ).agg(*measures, (gid < F.lit(1 << len(more))).alias("is_cell"))
+
+
+def _merged(count_name: str) -> list[Column]:
+    """:func:`_profile` measures from cells."""
+    n, total = F.sum("n"), F.sum(TOTAL)
+    # deviations around the cells' own means, plus those of the means
+    within = F.sum("squares") + F.sum(F.col(TOTAL) * F.col(TOTAL) / F.col("n")) - total * total / n
+    return [
+        total.alias(TOTAL),
+        (total / n).alias("average_half_hour_kwh"),
+        F.min("lo").alias("minimum_half_hour_kwh"),
+        F.max("hi").alias("maximum_half_hour_kwh"),
+        F.when(n > 1, F.sqrt(F.greatest(within, F.lit(0.0)) / (n - 1)))
+        .alias("stddev_half_hour_kwh"),
+        n.alias(count_name),
+    ]
 
 
 def calendar_rollups(cleaned: DataFrame) -> DataFrame:
-    """All six rollups in one scan and one shuffle (``GROUPING SETS``).
+    """All six rollups from one scan.
 
     Output: the six key columns (null where not grouped), ``rollup`` naming the
     set, and every measure any rollup needs.  The result is small (bounded by
     households + days + 24 + 7 + months + 1 rows), so callers persist or write
     it once and split it with :func:`split_rollup`.
     """
-    sets = [[F.col(c) for c in cols] for cols in ROLLUP_SETS.values()]
-    gid = F.grouping_id(*[F.col(c) for c in _KEYS])
-    # grouping_id bit i (from the left, most significant first) is 1 when key i
-    # is NOT grouped; map each set's id to its name.
-    name_of = F.lit(None).cast("string")
-    for name, cols in ROLLUP_SETS.items():
-        bits = "".join("0" if k in cols else "1" for k in _KEYS)
-        name_of = F.when(gid == F.lit(int(bits, 2)), F.lit(name)).otherwise(name_of)
-    return cleaned.groupingSets(sets, *_KEYS).agg(
-        *_profile("readings"), name_of.alias("rollup")
-    )
+    date = F.col("date")
+    types = {**_KEYS, HOUSEHOLD: cleaned.schema[HOUSEHOLD].dataType}
+    values = {
+        "hour": F.col("hour"),
+        "date": date,
+        "year": F.year(date),
+        "month": F.month(date),
+        HOUSEHOLD: F.col(HOUSEHOLD),
+        "day_of_week": day_name(date),
+    }
+
+    def row(name: str):
+        kept = ROLLUP_SETS[name]
+        keys = (
+            (values[k] if k in kept else F.lit(None)).cast(t).alias(k) for k, t in types.items()
+        )
+        return F.struct(F.lit(name).alias("rollup"), *keys)
+
+    calendar = [row(name) for name in ROLLUP_SETS if name != "household"]
+    sets = F.when(F.col("is_cell"), F.array(*calendar)).otherwise(F.array(row("household")))
+    cells = calendar_cells(cleaned, HOUSEHOLD)
+    rows = cells.select(TOTAL, "n", "lo", "hi", "squares", F.explode(sets).alias("s"))
+    return rows.groupBy(*(F.col(f"s.{k}").alias(k) for k in (*_KEYS, "rollup"))).agg(
+        *_merged("readings")
+    ).select(*_KEYS, *(c for c in PROFILE_COLUMNS), "readings", "rollup")
 
 
 def split_rollup(rollups: DataFrame, name: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Data-size scaling experiment over the benchmark workload.
 
 The prepared input is persisted once; each size is a nested hash sample that
-is itself materialised before timing, so the timed region contains only the
+is itself persisted before timing, so the timed region contains only the
 three workload queries (forced with the ``noop`` sink).  Median of ``runs``.
 """
 
@@ -19,26 +19,6 @@ RESULT_SCHEMA = (
 )
 
 
-def cache_spread(df: DataFrame) -> DataFrame:
-    """Persist ``df``, spread over at least the default parallelism.
-
-    Only when the input has fewer partitions than the cluster has cores (a
-    small source of few large row groups would otherwise leave the cache in one
-    partition and every timed query single-threaded) is it round-robin
-    repartitioned once; a large input keeps its partitioning and is not
-    shuffled.  A lost cached block is rebuilt from lineage.
-    """
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < parallelism:
-            df = df.repartition(parallelism)
-    except Exception:  # Spark Connect client: no RDD view; keep the partitioning
-        pass
-    spread = df.persist(StorageLevel.MEMORY_AND_DISK)
-    spread.count()
-    return spread
-
-
 def _median(values: list[float]) -> float:
     ordered = sorted(values)
     return ordered[len(ordered) // 2]
@@ -51,18 +31,34 @@ def scalability_experiment(
     runs: int = 3,
     warmup: int | None = 25,
     combined: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """One row per size: records, median seconds, records per second (6 dp)."""
-    base = cache_spread(prepared)
+    """One row per size: records, median seconds, records per second (6 dp).
+
+    Every run times all sizes, starting with another size each time, so that no
+    size is always the first or the last.  The input keeps its partitioning
+    unless ``partitions`` asks for another.  A lost cached block is rebuilt from lineage.
+    """
+    base = prepared.repartition(partitions) if partitions else prepared
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    base.count()
     if warmup:
         workload_run(hash_sample(base, warmup), combined)
+    subsets = {
+        pct: hash_sample(base, pct).persist(StorageLevel.MEMORY_AND_DISK) if pct < 100 else base
+        for pct in sizes
+    }
+    records = {pct: subset.count() for pct, subset in subsets.items()}
+    seconds: dict[int, list[float]] = {pct: [] for pct in sizes}
+    for run in range(runs):
+        first = run % len(sizes)
+        for pct in (*sizes[first:], *sizes[:first]):
+            seconds[pct].append(sum(workload_run(subsets[pct], combined).values()))
     rows = []
     for pct in sizes:
-        subset = hash_sample(base, pct).persist(StorageLevel.MEMORY_AND_DISK)
-        records = subset.count()
-        seconds = _median([sum(workload_run(subset, combined).values()) for _ in range(runs)])
-        throughput = records / seconds if seconds > 0 else 0.0
-        rows.append((int(pct), int(records), round(seconds, 6), round(throughput, 6)))
-        subset.unpersist()
-    base.unpersist()
+        median = _median(seconds[pct])
+        throughput = records[pct] / median if median > 0 else 0.0
+        rows.append((int(pct), int(records[pct]), round(median, 6), round(throughput, 6)))
+    for cached in {id(df): df for df in (*subsets.values(), base)}.values():
+        cached.unpersist()
     return spark.createDataFrame(rows, RESULT_SCHEMA)

@@ -4,15 +4,16 @@ Scans of data, in order:
   1. records -> cleaned stage (Parquet under shared storage); the data-quality
      counts are observed on the typed rows during this same pass (each row's
      time text is parsed once).
-  2. stage -> all six rollups at once (GROUPING SETS, one shuffle); the small
+  2. stage -> all six rollups at once (two grouping sets, one shuffle); the small
      result is written once and split into hourly/daily/monthly/household/
      weekday/overall plus the three peaks.
   3. stage -> IQR bounds (one row, written once, then a scalar subquery).
-  4. stage -> anomaly records, and stage -> anomaly summary (one aggregate).
+  4. stage -> anomaly records; the summary follows from the overall rollup and
+     the written records, without a scan of the stage.
   5. stage -> the first 1,000 readings by time (top-k, no full sort).
 Independent passes run as concurrent jobs (see :func:`write_concurrently`).
 
-The stage is a written table, so losing an executor later costs a re-read of
+The stage is deleted at the end unless the caller named its folder.  It is a written table, so losing an executor later costs a re-read of
 the stage, not a re-run of the cleaning; nothing row-level passes through the
 driver and only bounded results are coalesced to a single file.
 """
@@ -29,7 +30,7 @@ from meterlens.operators import cleaning as cl
 from meterlens.operators import peaks as pk
 from meterlens.operators import rollups as ru
 from meterlens.schema import CLEANED_SCHEMA
-from meterlens.session import scratch_path
+from meterlens.session import remove_path, scratch_path
 from meterlens.sinks import write_result
 from meterlens.sources import read_result
 
@@ -81,6 +82,7 @@ def run_pipeline(
     (wall time of each phase).
     """
     out = out_dir.rstrip("/")
+    own_stage = stage_dir is None
     stage_dir = (stage_dir or scratch_path(spark, "pipeline")).rstrip("/")
     bounded = {"fmt": fmt, "single_file": True}
     phases: dict[str, float] = {}
@@ -132,14 +134,19 @@ def run_pipeline(
         an.anomaly_records(flagged, ordered=sort_anomalies),
         {"fmt": fmt},
     )
-    summary = an.anomaly_summary(stage, bounds)
-    jobs[f"{out}/anomaly_summary"] = (summary, bounded)
     write_concurrently(jobs)
     lap("results_and_anomalies")
 
-    written = read_result(spark, f"{out}/anomaly_summary") if fmt == "csv" else None
-    row = (written if written is not None else spark.read.format(fmt).load(f"{out}/anomaly_summary")).first()
+    # 4. the summary from what is written already
+    found = read_result(spark, f"{out}/anomaly_detection", fmt=fmt)
+    totals = results["overall_statistics"].select("valid_readings")
+    write_result(
+        an.summary_from_parts(bounds, totals, found), f"{out}/anomaly_summary", **bounded
+    )
+    row = read_result(spark, f"{out}/anomaly_summary", fmt=fmt).first()
     counts.update({"total_records": row["total_records"], "anomaly_count": row["anomaly_count"]})
-    lap("summary_readback")
+    if own_stage:
+        remove_path(spark, stage_dir)
+    lap("summary")
     counts["phase_seconds"] = phases
     return counts

@@ -9,6 +9,7 @@ laptop) do we fall back to a folder of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,13 +33,16 @@ SESSION_DEFAULTS = {
 def build_session(
     master: str | None = "local[*]",
     app_name: str = "meterlens",
-    shuffle_partitions: int | None = 8,
+    shuffle_partitions: int | None = None,
+    initial_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the library defaults applied.
 
-    ``master=None`` leaves the master to ``spark-submit``.  On a cluster pass
-    ``shuffle_partitions=None`` and let AQE size the shuffles from the data.
+    ``master=None`` leaves the master to ``spark-submit``.  AQE merges small
+    shuffle partitions but never adds any, so for large data give it enough to
+    start from: ``initial_partitions`` (about shuffled bytes / 128 MB).
+    ``shuffle_partitions`` fixes the width instead (tests).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -46,6 +50,8 @@ def build_session(
     conf = dict(SESSION_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -76,7 +82,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    if not configured and not master.startswith("local"):
+    if not configured and not re.fullmatch(r"local(\[.*\])?", master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: point it at shared storage (stages and "
             "streaming checkpoints live there)"
@@ -92,3 +98,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the library made itself, through Spark's file system.
+
+    Does nothing on a Spark Connect client, which has no file-system access.
+    """
+    sc = _context(spark)
+    if sc is None:
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+#: Full-precision time text of CSV results.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
 
 def write_result(
     df: DataFrame,
@@ -22,7 +28,8 @@ def write_result(
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # Spark's CSV default stops at milliseconds
+        writer = writer.option("header", True).options(**CSV_TIMES)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -33,21 +40,26 @@ def publish_readings(
     path: str | None = None,
     fmt: str = "json",
     options: dict[str, str] | None = None,
-) -> None:
-    """Publish records as one JSON document each.
+    mode: str = "append",
+) -> dict[str, int]:
+    """Publish records as one JSON document each; returns the batch's counters.
 
+    ``records_sent`` and ``missing_energy_records`` are observed while writing.
+    A re-run of the same batch appends its records again; for a folder that holds
+    one batch, ``mode="overwrite"`` makes the re-run replace it.
     ``fmt="kafka"`` writes ``value = to_json(struct(*))`` to a topic (broker and
     topic in ``options``); ``json``/``text`` write a directory of JSON lines.
     """
-    if fmt == "kafka":
-        from meterlens.streaming.ingest import kafka_connector_hint
+    from meterlens.streaming.ingest import ingest_measures, kafka_connector_hint
 
-        payload = records.select(F.to_json(F.struct("*")).alias("value"))
+    counts = Observation("publish")
+    observed = records.observe(counts, *ingest_measures())
+    payload = F.to_json(F.struct(*(F.col(f"`{c}`") for c in records.columns))).alias("value")
+    if fmt == "kafka":
         with kafka_connector_hint():
-            payload.write.format("kafka").options(**(options or {})).save()
-        return
-    writer = records.write.mode("append").options(**(options or {}))
-    if fmt == "text":
-        records.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)
+            observed.select(payload).write.format("kafka").options(**(options or {})).save()
+    elif fmt == "text":
+        observed.select(payload).write.mode(mode).options(**(options or {})).text(path)
     else:
-        writer.format(fmt).save(path)
+        observed.write.mode(mode).options(**(options or {})).format(fmt).save(path)
+    return dict(counts.get)

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlens.schema import RAW_FEED_SCHEMA, RECORD_SCHEMA, as_readings, Roles
 
@@ -50,18 +56,69 @@ RESULT_SCHEMAS = {
 RESULT_SCHEMAS["scalability_experiment"] = RESULT_SCHEMAS["scalability_results"]
 
 
-def read_raw_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``*.csv`` directly in ``folder`` (header, BOM tolerated), all text.
+def feed_columns(names: list[str]) -> list[Column]:
+    """The four feed columns picked by name from a file with this header.
 
-    Fails when the folder holds no CSV file.
+    Names are compared without surrounding white space; fails when one is missing.
     """
-    return (
-        spark.read.schema(RAW_FEED_SCHEMA)
+    found = {n.strip(): n for n in names}
+    missing = [f.name for f in RAW_FEED_SCHEMA.fields if f.name.strip() not in found]
+    if missing:
+        raise ValueError(f"feed header {names} lacks {missing}")
+    return [
+        F.col(f"`{found[f.name.strip()]}`").alias(f.name) for f in RAW_FEED_SCHEMA.fields
+    ]
+
+
+def read_feed(reader, names: list[str], paths) -> DataFrame:
+    """Feed files with this header, through ``reader`` (batch or stream).
+
+    The header of every file is compared with ``names``: another order or another
+    column fails the read instead of being bound by position.
+    """
+    columns = feed_columns(names)
+    rows = (
+        reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
-        .csv(f"{folder.rstrip('/')}/*.csv")
+        .csv(paths)
     )
+    return rows.select(*columns)
+
+
+def feed_headers(spark: SparkSession, pattern: str) -> dict[tuple[str, ...], list[str]]:
+    """Paths of the feed files by header.
+
+    Lists the files (no content) and reads one line of each, from a few driver
+    threads; headers are names, not data.
+    """
+    files = spark.read.format("binaryFile").load(pattern).select("path").collect()
+
+    def header(path: str) -> tuple[str, ...]:
+        first = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+        return tuple(c.removeprefix("\ufeff") for c in first.columns)
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        paths = sorted(unquote(r["path"]) for r in files)
+        for path, names in zip(paths, pool.map(header, paths), strict=True):
+            groups.setdefault(names, []).append(path)
+    return groups
+
+
+def read_raw_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every ``*.csv`` directly in ``folder`` (header, BOM tolerated), all text.
+
+    Columns are bound by each file's header: files whose columns come in another
+    order, or with more columns, are read right (one scan per distinct header).
+    Fails when the folder holds no CSV file or a header lacks a feed column.
+    """
+    groups = feed_headers(spark, f"{folder.rstrip('/')}/*.csv")
+    if not groups:
+        raise FileNotFoundError(f"no *.csv in {folder}")
+    parts = [read_feed(spark.read, list(names), paths) for names, paths in sorted(groups.items())]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_readings(
@@ -97,20 +154,28 @@ def read_table(spark: SparkSession, path: str, roles: Roles, keep: list[str] | N
     return as_readings(spark.read.parquet(path), roles, keep)
 
 
-def read_result(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """A written result: a directory of part files or a single CSV file.
+def read_result(
+    spark: SparkSession, path: str, schema: str | None = None, fmt: str = "csv"
+) -> DataFrame | None:
+    """A written result: a directory of part files or a single file.
 
-    The schema defaults to the known layout of the result named by the last
-    path segment.  Returns ``None`` when nothing is stored at ``path``.
+    A CSV result is read with ``schema``, by default the known layout of the
+    result named by the last path segment, and its header must agree with it;
+    other formats carry their schema.  Returns ``None`` when nothing is stored
+    at ``path``; any other error is raised.
     """
-    name = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")
-    schema = schema or RESULT_SCHEMAS.get(name)
-    reader = spark.read.option("header", True)
-    if schema:
-        reader = reader.schema(schema)
+    name = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(f".{fmt}")
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+        schema = schema or RESULT_SCHEMAS.get(name)
+        if schema:
+            reader = reader.schema(schema).option("enforceSchema", False)
     try:
-        df = reader.csv(path)
+        df = reader.load(path)
         df.schema  # resolves the path now
         return df
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:
+        if (exc.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+            return None
+        raise

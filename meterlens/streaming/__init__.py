@@ -6,6 +6,7 @@ from meterlens.streaming.ingest import (
     read_record_stream,
     stream_feed_to_records,
     stream_land_readings,
+    stream_rejected_messages,
 )
 
 __all__ = [
@@ -14,4 +15,5 @@ __all__ = [
     "read_record_stream",
     "stream_feed_to_records",
     "stream_land_readings",
+    "stream_rejected_messages",
 ]

@@ -133,11 +133,24 @@ def test_text_time_is_parsed_once_per_row(spark):
 def test_evaluate_once_keeps_filters_above_it(spark):
     from meterlens.operators.common import evaluate_once
 
-    df = spark.createDataFrame([("1.5",), ("x",), (None,)], "t string")
-    parsed = evaluate_once(df, [F.col("t").try_cast("double").alias("v")])
+    df = spark.createDataFrame([("1.5", 1), ("x", 2), (None, 3)], "v string, other int")
+    parsed = evaluate_once(df, "v", F.col("v").try_cast("double"))
     kept = parsed.filter(F.col("v").isNotNull())
-    assert [r.v for r in kept.collect()] == [1.5]
+    assert [tuple(r) for r in kept.collect()] == [(1.5, 1)]
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     # the filter sits above the generator; the cast appears once, inside it
     assert plan.index("Filter") < plan.index("Generate")
     assert plan.count("try_cast") == 1
+
+
+def test_text_time_table_is_pruned_and_pushed_down(spark, scratch):
+    import __spark_entry__ as E
+    from meterlens.functions.columns import ZONED_TIME
+    from meterlens.operators.rollups import hourly_consumption
+
+    E.feed_records(spark, "/root/testdata/sf0.001").write.parquet(f"{scratch}/stored")
+    hourly = hourly_consumption(clean_readings(spark.read.parquet(f"{scratch}/stored")))
+    plan = hourly._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<DateTime:string,energy_kwh:double>" in plan
+    assert "PushedFilters: [IsNotNull(energy_kwh)]" in plan
+    assert hourly._jdf.queryExecution().optimizedPlan().toString().count(ZONED_TIME) == 1

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from meterlens.operators.cleaning import normalize_feed
 from meterlens.operators.reports import result_status
 from meterlens.plans.ingest import feed_round_trip, write_feed_files
@@ -205,3 +207,89 @@ def test_missing_store_connector_explains(spark):
         assert "connector" in str(exc)
     else:
         pytest.skip("document-store connector available")
+
+
+# header binding, default checkpoints, rejected messages, result formats
+
+
+def _csv(path, header, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8-sig") as f:
+        f.write("\n".join([header, *rows]) + "\n")
+
+
+def test_feed_columns_are_bound_by_header(spark, scratch):
+    _csv(f"{scratch}/a.csv", "LCLid,stdorToU,DateTime,KWH/hh (per half hour) ", ["A,Std,2012-01-01 00:00:00,0.5"])
+    _csv(f"{scratch}/b.csv", "more,KWH/hh (per half hour) ,DateTime,LCLid,stdorToU",
+         ["x,0.25,2012-01-01 00:30:00,B,ToU"])
+    rows = sorted(tuple(r) for r in read_raw_feed(spark, scratch).collect())
+    assert rows == [("A", "Std", "2012-01-01 00:00:00", "0.5"), ("B", "ToU", "2012-01-01 00:30:00", "0.25")]
+    _csv(f"{scratch}/c.csv", "LCLid,DateTime", ["C,2012-01-01 00:00:00"])
+    with pytest.raises(ValueError, match="lacks"):
+        read_raw_feed(spark, scratch)
+
+
+def test_feed_stream_fails_on_another_header(spark, scratch):
+    _csv(f"{scratch}/feed/a.csv", "DateTime,LCLid,stdorToU,KWH/hh (per half hour) ", ["2012-01-01 00:00:00,A,Std,1"])
+    stream_feed_to_records(spark, f"{scratch}/feed", f"{scratch}/records").awaitTermination()
+    got = read_readings(spark, f"{scratch}/records", fmt="json").collect()
+    assert [(r.LCLid, r.energy_kwh) for r in got] == [("A", 1.0)]
+    _csv(f"{scratch}/feed/b.csv", "LCLid,stdorToU,DateTime,KWH/hh (per half hour) ", ["B,Std,2012-01-01 00:00:00,1"])
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
+        stream_feed_to_records(spark, f"{scratch}/feed", f"{scratch}/records").awaitTermination()
+
+
+def test_second_run_with_default_arguments_adds_the_new_files(spark, scratch):
+    for n, household in enumerate("AB"):
+        _csv(f"{scratch}/feed/{n}.csv", "LCLid,stdorToU,DateTime,KWH/hh (per half hour) ",
+             [f"{household},Std,2012-01-01 00:00:00,1"])
+        stream_feed_to_records(spark, f"{scratch}/feed", f"{scratch}/records").awaitTermination()
+        stream_land_readings(spark, f"{scratch}/records", f"{scratch}/landed").awaitTermination()
+    stored = spark.read.parquet(f"{scratch}/landed")
+    assert sorted(r.LCLid for r in stored.collect()) == ["A", "B"]
+    with pytest.raises(ValueError, match="checkpoint"):
+        stream_feed_to_records(spark, f"{scratch}/feed", None, sink_format="kafka")
+
+
+def test_messages_that_are_no_record_are_kept_aside(spark, scratch):
+    from meterlens.streaming import stream_rejected_messages
+
+    good = '{"LCLid": "A", "stdorToU": "Std", "DateTime": "2012-01-01 00:00:00", "energy_kwh": 1.5}'
+    bad = ["not json", "{}", '{"LCLid": "B", "energy_kwh": "x"}', "[1]"]
+    os.makedirs(f"{scratch}/records")
+    with open(f"{scratch}/records/part.json", "w") as f:
+        f.write("\n".join([good, *bad, '{"LCLid": "C"}']) + "\n")
+    land = stream_land_readings(spark, f"{scratch}/records", f"{scratch}/landed")
+    land.awaitTermination()
+    assert sorted(r.LCLid for r in spark.read.parquet(f"{scratch}/landed").collect()) == ["A", "C"]
+    counts = land.recentProgress[0]["observedMetrics"]["landing_counts"]
+    assert (counts["records_stored"], counts["records_rejected"]) == (2, 4)
+    stream_rejected_messages(spark, f"{scratch}/records", f"{scratch}/rejected").awaitTermination()
+    assert sorted(r.value for r in spark.read.text(f"{scratch}/rejected").collect()) == sorted(bad)
+
+
+def test_results_are_read_in_their_own_format(spark, scratch):
+    df = spark.createDataFrame([(1, 2.5), (2, None)], "hour int, total_energy_kwh double")
+    write_result(df, f"{scratch}/p/hourly_consumption", fmt="parquet")
+    assert read_result(spark, f"{scratch}/p/hourly_consumption", fmt="parquet").count() == 2
+    status = {r.result: r.status for r in result_status(spark, f"{scratch}/p", fmt="parquet").collect()}
+    assert status["hourly_consumption"] == "Available" and status["anomaly_summary"] == "Not found"
+    # a result with other columns is an error, not a wrong table
+    write_result(df.select("total_energy_kwh", "hour"), f"{scratch}/c/hourly_consumption")
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
+        read_result(spark, f"{scratch}/c/hourly_consumption").collect()
+
+
+def test_csv_results_keep_microseconds(spark, scratch):
+    df = spark.sql("select timestamp_ntz'2024-01-01 00:00:00.123456' as t")
+    write_result(df, f"{scratch}/times")
+    assert read_result(spark, f"{scratch}/times", "t timestamp_ntz").collect() == df.collect()
+
+
+def test_publish_returns_the_batch_counters(spark, scratch):
+    rows = [("A", "Std", "2012-01-01 00:00:00", 1.0), ("B", "Std", "2012-01-01 00:00:00", None)]
+    recs = spark.createDataFrame(rows, "LCLid string, stdorToU string, DateTime string, energy_kwh double")
+    counts = publish_readings(recs, f"{scratch}/out", fmt="text")
+    assert counts == {"records_sent": 2, "missing_energy_records": 1}
+    publish_readings(recs, f"{scratch}/out", mode="overwrite")
+    assert spark.read.json(f"{scratch}/out").count() == 2

@@ -1,5 +1,7 @@
 """Checkpoint-root rules: read from the session; own folder only for local mode."""
 
+import os
+
 import pytest
 
 from meterlens.session import ensure_checkpoint_dir, scratch_path
@@ -57,3 +59,21 @@ def test_connect_client_reads_conf():
 
 def test_real_session_has_a_root(spark):
     assert ensure_checkpoint_dir(spark)
+
+
+def test_session_leaves_the_shuffle_width_to_the_caller():
+    import inspect
+
+    from meterlens.session import build_session
+
+    defaults = inspect.signature(build_session).parameters
+    assert defaults["shuffle_partitions"].default is None
+    assert defaults["initial_partitions"].default is None
+
+
+def test_remove_path_deletes_a_folder(spark, scratch):
+    from meterlens.session import remove_path
+
+    spark.range(3).write.parquet(f"{scratch}/gone")
+    remove_path(spark, f"{scratch}/gone")
+    assert not os.path.exists(f"{scratch}/gone")
