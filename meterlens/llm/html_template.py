@@ -205,10 +205,19 @@ def page_blocks(page: str | None) -> list[Block]:
     return out
 
 
+def _name(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def token(block: Block) -> int:
     """Signed 64-bit name of an element path or of a text block at its path."""
-    text = block.path if block.text is None else f"{block.path}\0{block.text}"
-    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+    return _name(block.path if block.text is None else f"{block.path}\0{block.text}")
+
+
+def parent_token(block: Block) -> int:
+    """Name of the element that encloses a block; ``ROOT`` outside all elements."""
+    path = block.path.rpartition("/")[0] if block.text is None else block.path
+    return _name(path) if path else ROOT
 
 
 def host_key(url):
@@ -217,9 +226,9 @@ def host_key(url):
 
 
 TOKEN_SCHEMA = (
-    "host long, token long, v1 long, v2 long, pages long, total long, place double, is_text boolean"
+    "host long, token long, parent long, v1 long, v2 long, pages long, total long, place double, is_text boolean"
 )
-PAGE_TOKEN = 0  # counts the pages of a host
+PAGE_TOKEN = ROOT = 0  # stands for the page itself and counts the pages of a host
 
 
 def token_vectors(pages: DataFrame) -> DataFrame:
@@ -229,16 +238,16 @@ def token_vectors(pages: DataFrame) -> DataFrame:
         names = [f.split()[0] for f in TOKEN_SCHEMA.split(", ")]
         for whole in batches:
             for batch in slices(whole, "html"):
-                sums: dict[tuple[int, int], list] = {}
+                sums: dict[tuple[int, int, int], list] = {}
                 columns = (batch.column(c).to_pylist() for c in ("page_key", "host", "html"))
                 for key, host, page in zip(*columns, strict=True):
-                    counts: dict[int, list] = {PAGE_TOKEN: [1, 0, False]}
+                    counts: dict[int, list] = {PAGE_TOKEN: [1, 0, False, ROOT]}
                     for place, block in enumerate(page_blocks(page)):
-                        seen = counts.setdefault(token(block), [0, place, block.text is not None])
-                        seen[0] += 1
-                    for name, (count, place, is_text) in counts.items():
+                        first = [0, place, block.text is not None, parent_token(block)]
+                        counts.setdefault(token(block), first)[0] += 1
+                    for name, (count, place, is_text, parent) in counts.items():
                         h = xxhash.xxh64_intdigest(b"%d:%d" % (key, count))
-                        row = sums.setdefault((host, name), [0, 0, 0, 0, 0.0, is_text])
+                        row = sums.setdefault((host, name, parent), [0, 0, 0, 0, 0.0, is_text])
                         row[0] += h & 0x7FFFFFFF
                         row[1] += h >> 33
                         row[2] += 1
@@ -257,7 +266,7 @@ def token_vectors(pages: DataFrame) -> DataFrame:
         pages["html"].alias("html"),
     )
     rows = picked.mapInArrow(measure, TOKEN_SCHEMA)
-    return rows.groupBy("host", "token", "is_text").agg(
+    return rows.groupBy("host", "token", "parent", "is_text").agg(
         *(F.sum(c).alias(c) for c in ("v1", "v2", "pages", "total", "place"))
     )
 
@@ -279,6 +288,7 @@ def host_templates(
         .select(
             "host",
             "token",
+            "parent",
             F.xxhash64("v1", "v2", "pages", "total").alias("class"),  # equal vectors
             (F.col("total") == F.col("pages")).alias("once"),
             (F.col("place") / F.col("pages")).alias("place"),
@@ -286,20 +296,24 @@ def host_templates(
         )
     )
     return kept.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.struct("place", "token", "class", "once", "is_text"))).alias(
+        F.array_sort(F.collect_list(F.struct("place", "token", "parent", "class", "once", "is_text"))).alias(
             "template"
         )
     )
 
 
 def template_text(blocks: list[Block], names: list[int], template) -> set[int]:
-    """Numbers of the page's text blocks that belong to a valid class of the template."""
+    """Numbers of the page's text blocks that belong to a valid class of the template.
+
+    A class is valid on the page if its tokens come in the template's order and
+    each lies in an element of a valid class (or of none): classes nest.
+    """
     where: dict[int, list[int]] = {}
     for i, name in enumerate(names):
         where.setdefault(name, []).append(i)
     last: dict[int, int] = {}
     broken: set[int] = set()
-    for t in template:  # in template order: a class is valid if its tokens come in that order
+    for t in template:
         places = where.get(t["token"])
         if places is None or (t["once"] and len(places) != 1):
             broken.add(t["class"])
@@ -307,6 +321,15 @@ def template_text(blocks: list[Block], names: list[int], template) -> set[int]:
             if places[0] < last.get(t["class"], -1):
                 broken.add(t["class"])
             last[t["class"]] = places[0]
+    class_of = {t["token"]: t["class"] for t in template}
+    before = -1
+    while before != len(broken):  # a class in a broken one is broken, too
+        before = len(broken)
+        broken |= {
+            t["class"]
+            for t in template
+            if t["parent"] != ROOT and class_of.get(t["parent"]) in broken | {None}
+        }
     return {
         i
         for t in template
@@ -340,8 +363,9 @@ def extract_main_text(
         F.col("host").alias("__host"),
         F.transform(
             "template",
-            lambda t: F.struct(t["token"].alias("token"), t["class"].alias("class"),
-                               t["once"].alias("once"), t["is_text"].alias("is_text")),
+            lambda t: F.struct(
+                *(t[c].alias(c) for c in ("token", "parent", "class", "once", "is_text"))
+            ),
         ).alias("template"),
     )
     source = pages.select(

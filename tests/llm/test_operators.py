@@ -150,12 +150,17 @@ def test_template_text_is_deduced(spark):
     assert ht.extract_main_text(df.filter("false")).collect() == []
 
 
-def test_a_class_out_of_order_is_not_valid():
-    blocks = [ht.Block("p", t, False, False, False) for t in ("b", "a")]
-    names = [2, 1]
-    template = [{"token": t, "class": 9, "once": True, "is_text": True} for t in (1, 2)]
-    assert ht.template_text(blocks, names, template) == set()
-    assert ht.template_text(blocks, [1, 2], template) == {0, 1}
+def test_classes_out_of_order_or_outside_a_valid_class_are_not_valid():
+    blocks = [ht.Block("p", t, False, False, False) for t in (None, "b", "a")]
+
+    def template(parent, element_class=8):
+        element = {"token": 5, "parent": ht.ROOT, "class": element_class, "once": True, "is_text": False}
+        return [element, *({"token": t, "parent": parent, "class": 9, "once": True, "is_text": True} for t in (1, 2))]
+
+    assert ht.template_text(blocks, [5, 1, 2], template(5)) == {1, 2}
+    assert ht.template_text(blocks, [5, 2, 1], template(5)) == set()  # out of order
+    assert ht.template_text(blocks, [5, 1, 2], template(6)) == set()  # in an element that is no template
+    assert ht.template_text(blocks, [7, 1, 2], template(5)) == set()  # in a class that is broken here
 
 
 def test_html_query_equals_plain_cut(spark):
