@@ -2,8 +2,11 @@
 
   pipeline     read stored readings, write the twelve result datasets
   experiment   run the data-size scaling experiment, write its result table
-  feed         stream raw CSV feed files into normalised JSON records
-  land         stream JSON records into the Parquet readings table
+  feed         stream raw CSV feed files into normalised records (JSON files or a topic)
+  land         stream records (JSON files or a topic) into the Parquet readings table
+
+Options of a source or sink (topic, broker, document store) are given as
+``--option key=value``, once each.
 """
 
 from __future__ import annotations
@@ -14,13 +17,24 @@ import json
 from meterlens.session import build_session
 
 
+def _option(text: str) -> tuple[str, str]:
+    key, found, value = text.partition("=")
+    if not (key and found):
+        raise argparse.ArgumentTypeError(f"{text!r} is not key=value")
+    return key, value
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="meterlens", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
+    p.add_argument("--initial-partitions", type=int, default=None,
+                   help="shuffle partitions to start from (about shuffled bytes / 128 MB)")
+    source = argparse.ArgumentParser(add_help=False)
+    source.add_argument("--option", type=_option, action="append", default=[], metavar="KEY=VALUE")
     sub = p.add_subparsers(dest="command", required=True)
 
-    pipe = sub.add_parser("pipeline", help="full analytics job")
+    pipe = sub.add_parser("pipeline", parents=[source], help="full analytics job")
     pipe.add_argument("readings", help="stored readings (Parquet unless --format)")
     pipe.add_argument("out", help="results directory")
     pipe.add_argument("--format", default="parquet", help="input format")
@@ -29,25 +43,30 @@ def _parser() -> argparse.ArgumentParser:
     pipe.add_argument("--unsorted-anomalies", action="store_true",
                       help="skip the global sort of the anomaly records")
 
-    exp = sub.add_parser("experiment", help="scaling experiment")
+    exp = sub.add_parser("experiment", parents=[source], help="scaling experiment")
     exp.add_argument("readings")
     exp.add_argument("out")
     exp.add_argument("--format", default="parquet")
     exp.add_argument("--runs", type=int, default=3)
     exp.add_argument("--sizes", default="25,50,100")
+    exp.add_argument("--partitions", type=int, default=None,
+                     help="spread the cached input over so many partitions")
     exp.add_argument("--combined", action="store_true", help="one grouping-sets job")
 
-    feed = sub.add_parser("feed", help="raw CSV feed -> JSON records (streaming)")
+    feed = sub.add_parser("feed", parents=[source], help="raw CSV feed -> JSON records (streaming)")
     feed.add_argument("feed_dir")
-    feed.add_argument("records_dir")
+    feed.add_argument("records_dir", nargs="?", default=None, help="not for a topic")
+    feed.add_argument("--sink-format", default="json", choices=["json", "kafka"])
     feed.add_argument("--checkpoint", default=None)
     feed.add_argument("--max-files-per-trigger", type=int, default=None)
     feed.add_argument("--clean-source", default="off", choices=["off", "archive", "delete"])
     feed.add_argument("--archive-dir", default=None)
 
-    land = sub.add_parser("land", help="JSON records -> Parquet readings (streaming)")
-    land.add_argument("records_dir")
+    land = sub.add_parser("land", parents=[source], help="JSON records -> Parquet readings (streaming)")
+    land.add_argument("records_dir", help="'-' for a topic")
     land.add_argument("readings_dir")
+    land.add_argument("--source-format", default="json", choices=["json", "text", "kafka"])
+    land.add_argument("--rejects", default=None, help="folder for messages that are no record")
     land.add_argument("--checkpoint", default=None)
     land.add_argument("--max-files-per-trigger", type=int, default=None)
     land.add_argument("--clean-source", default="off", choices=["off", "archive", "delete"])
@@ -57,13 +76,14 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(master=args.master, shuffle_partitions=None)
+    spark = build_session(master=args.master, initial_partitions=args.initial_partitions)
+    options = dict(args.option)
     try:
         if args.command == "pipeline":
             from meterlens.plans.pipeline import run_pipeline
             from meterlens.sources import read_readings
 
-            records = read_readings(spark, args.readings, fmt=args.format)
+            records = read_readings(spark, args.readings, fmt=args.format, options=options)
             counts = run_pipeline(spark, records, args.out, fmt=args.result_format,
                                   method=args.quartiles,
                                   sort_anomalies=not args.unsorted_anomalies)
@@ -74,10 +94,10 @@ def main(argv: list[str] | None = None) -> None:
             from meterlens.sinks import write_result
             from meterlens.sources import read_readings
 
-            prepared = prepare_workload_input(read_readings(spark, args.readings, fmt=args.format))
+            prepared = prepare_workload_input(read_readings(spark, args.readings, fmt=args.format, options=options))
             sizes = tuple(int(x) for x in args.sizes.split(","))
             result = scalability_experiment(spark, prepared, sizes=sizes, runs=args.runs,
-                                            combined=args.combined)
+                                            combined=args.combined, partitions=args.partitions)
             write_result(result, args.out, single_file=True)
             result.show(truncate=False)
         elif args.command == "feed":
@@ -85,15 +105,22 @@ def main(argv: list[str] | None = None) -> None:
 
             stream_feed_to_records(spark, args.feed_dir, args.records_dir,
                                    checkpoint=args.checkpoint,
+                                   sink_format=args.sink_format, sink_options=options,
                                    max_files_per_trigger=args.max_files_per_trigger,
                                    clean_source=args.clean_source,
                                    archive_dir=args.archive_dir,
                                    ).awaitTermination()
         elif args.command == "land":
-            from meterlens.streaming import stream_land_readings
-
-            stream_land_readings(spark, args.records_dir, args.readings_dir,
+            from meterlens.streaming import stream_land_readings, stream_rejected_messages
+
+            source = None if args.records_dir == "-" else args.records_dir
+            if args.rejects:  # first: the landing query may archive or delete its files
+                stream_rejected_messages(spark, source, args.rejects,
+                                         source_format=args.source_format,
+                                         source_options=options).awaitTermination()
+            stream_land_readings(spark, source, args.readings_dir,
                                  checkpoint=args.checkpoint,
+                                 source_format=args.source_format, source_options=options,
                                  max_files_per_trigger=args.max_files_per_trigger,
                                  clean_source=args.clean_source,
                                  archive_dir=args.archive_dir,

@@ -178,3 +178,16 @@ def test_run_pipeline_parquet_results(spark, scratch):
     assert set(counts["phase_seconds"]) == {
         "clean_stage", "rollups_bounds_sample", "results_and_anomalies", "summary",
     }
+
+
+def test_cli_passes_source_and_sink_options():
+    from meterlens.__main__ import _parser
+
+    args = _parser().parse_args(["land", "-", "out", "--source-format", "kafka", "--rejects", "bad",
+                                 "--option", "subscribe=t", "--option", "kafka.bootstrap.servers=h:9=x"])
+    assert dict(args.option) == {"subscribe": "t", "kafka.bootstrap.servers": "h:9=x"}
+    assert (args.records_dir, args.rejects) == ("-", "bad")
+    args = _parser().parse_args(["feed", "in", "--sink-format", "kafka", "--checkpoint", "ck"])
+    assert args.records_dir is None and args.option == []
+    with pytest.raises(SystemExit):
+        _parser().parse_args(["pipeline", "a", "b", "--option", "novalue"])
