@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from meterlens.operators.sampling import hash_sample
 from meterlens.operators.workload import (
     workload_combined,
@@ -59,3 +61,16 @@ def test_workload_hour_from_text_time(spark):
     )
     got = {r.hour: r.total_energy_kwh for r in workload_hourly(df).collect()}
     assert got == {5: 1.0, None: 2.0}
+
+
+def test_sample_bucket_equals_an_independent_hash(spark):
+    """XXH64 with Spark's seed 42 over ``household || '||' || time text``, computed outside Spark."""
+    xxhash = pytest.importorskip("xxhash")
+    rows = [(f"MAC{i:06d}", f"2012-01-{i % 28 + 1:02d} {i % 24:02d}:30:00", 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "LCLid string, DateTime string, energy_kwh double")
+    kept = {(r.LCLid, r.DateTime) for r in hash_sample(df, 25).collect()}
+    assert 0 < len(kept) < 200
+    for household, time, _ in rows:
+        h = xxhash.xxh64_intdigest(f"{household}||{time}".encode(), 42)
+        signed = h - (1 << 64) if h >> 63 else h
+        assert (abs(signed) % 100 < 25) == ((household, time) in kept)
