@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut an Arrow batch into runs of rows holding about ``SLICE_BYTES`` of text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+    """Cut an Arrow batch into runs of rows holding about ``SLICE_BYTES`` of text.
+
+    For a list column, runs of rows with a fourth of that many elements.
+    """
+    column = batch.column(text)
+    if pa.types.is_list(column.type):
+        counts = pc.multiply(pc.list_value_length(column), 4)
+    else:
+        counts = pc.binary_length(column)
+    sizes = pc.fill_null(counts, 0).to_pylist()
     start = held = 0
     for i, n in enumerate(sizes):
         held += n
@@ -41,3 +50,61 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
             start, held = i + 1, 0
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+class _Numbers(dict):
+    """Numbers of parts in order of appearance; ``new`` holds those not coded yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        self[part] = n = len(self)
+        self.new.append(part)
+        return n
+
+
+class RecentIds:
+    """Ids of text parts: a part is coded when it is first seen, then remembered.
+
+    ``code`` gives the ids (little-endian unsigned 32-bit, as bytes) of new parts.
+    All is forgotten between two slices once more than ``parts`` are held.
+    """
+
+    def __init__(self, code: Callable[[list[str]], list[bytes]], parts: int):
+        self.code, self.parts = code, parts
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number = _Numbers()
+        self.ids = np.zeros(0, np.uint32)
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        coded = self.code(self.number.new)
+        self.number.new.clear()
+        length = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        start = len(self.ids) + np.cumsum(length) - length
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
+        self.start = np.concatenate([self.start, start])
+        self.length = np.concatenate([self.length, length])
+
+    def encode(self, texts: list[list[str]], tail: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (lists of parts), each with ``tail`` behind, and n + 1 bounds."""
+        if len(self.number) > self.parts:
+            self._forget()
+        look = self.number.__getitem__
+        rows = [np.fromiter(map(look, parts), np.int32, len(parts)) for parts in texts]
+        if self.number.new:
+            self._learn()
+        end = np.array([len(self.start)], np.int32)  # the tail stands behind all parts
+        ids = np.concatenate([self.ids, np.frombuffer(tail, "<u4")])
+        start = np.append(self.start, len(self.ids))
+        length = np.append(self.length, len(tail) // 4)
+        order = np.concatenate([x for r in rows for x in (r, end)]) if rows else end[:0]
+        n = length[order]
+        stop = np.cumsum(n)
+        out = ids[np.arange(stop[-1] if len(stop) else 0) + np.repeat(start[order] - stop + n, n)]
+        last = np.cumsum([len(parts) + 1 for parts in texts]).astype(np.int64) - 1
+        return out, np.r_[0, stop[last]]

@@ -20,9 +20,9 @@ table writes no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterlens.llm.common import slices
+from meterlens.llm.common import RecentIds, slices
 from meterlens.session import scratch_path
 
 END_ID = 2
@@ -94,7 +94,10 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
                 widest[2 * half] = _two(widest[half], half)
                 half *= 2
             widest[count] = _two(widest[half], count - half)
-        np.copyto(choice, selector, where=widest[count][: grid.size] <= WIDTHS[selector])
+        fits = widest[count][: grid.size] <= WIDTHS[selector]
+        np.copyto(choice, selector, where=fits)
+        if selector < 15 and np.count_nonzero(fits) < grid.size // 50 + blocks * reach:
+            break  # longer runs of smaller values are rarer still (blocks end in zeros)
     choice = choice.reshape(grid.shape)
     length = np.minimum(block, n - np.arange(blocks) * block)
     at = np.zeros(blocks, np.int64)
@@ -190,7 +193,7 @@ WORD_SUFFIX = "</w>"
 PLAIN = r"\x21-\x26\x28-\x7EÀ-ÖØ-öø-ÿ"
 NOT_PLAIN = re.compile(rf"[^\t\n\r\x20{PLAIN}]|<\|")
 PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-MEMORY = 250_000  # parts remembered per generation
+MEMORY = 400_000  # parts remembered before a worker starts anew
 
 
 class PartTokenizer:
@@ -207,8 +210,7 @@ class PartTokenizer:
         vocabulary = self.lib.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_SUFFIX)]] = True
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memory = RecentIds(self.code, MEMORY)
 
     def split(self, text: str) -> list[str]:
         if not NOT_PLAIN.search(text):
@@ -221,58 +223,43 @@ class PartTokenizer:
                 out.append(f" {word}")  # a blank marks a word that goes whole
         return out
 
-    def _learn(self, parts) -> None:
-        """Have the ids of all ``parts`` in the recent generation."""
-        if len(self.recent) > MEMORY:
-            self.older, self.recent = self.recent, {}
-        known = self.older.get
-        new = []
-        for part in parts:
-            if part in self.recent:
-                continue
-            ids = known(part)
-            if ids is None:
-                new.append(part)
-            else:
-                self.recent[part] = ids
-        simple = [p for p in new if p[0] != " "]
+    def code(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts; plain ones are encoded as one text and cut at word ends."""
+        coded: dict[str, bytes] = {}
+        simple = [p for p in parts if p[0] != " "]
         if simple:
-            ids = np.array(self.lib.encode(" ".join(simple), add_special_tokens=False).ids, "<u4")
+            # the fast form gives the same ids without their places in the text
+            joined = self.lib.encode_batch_fast([" ".join(simple)], add_special_tokens=False)[0]
+            ids = np.array(joined.ids, "<u4")
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) != len(simple):
                 raise ValueError("the vocabulary does not end every part with its suffix")
-            raw, last = ids.tobytes(), 0
-            for part, end in zip(simple, (cut * 4).tolist(), strict=True):
-                self.recent[part] = raw[last:end]
-                last = end
-        whole = [p for p in new if p[0] == " "]
-        for part, coded in zip(
-            whole, self.lib.encode_batch([p[1:] for p in whole], add_special_tokens=False), strict=True
-        ):
-            self.recent[part] = np.array(coded.ids, "<u4").tobytes()
+            raw, stops = ids.tobytes(), [0, *(4 * cut).tolist()]
+            for part, lo, hi in zip(simple, stops, stops[1:], strict=False):
+                coded[part] = raw[lo:hi]
+        whole = [p for p in parts if p[0] == " "]
+        found = self.lib.encode_batch_fast([p[1:] for p in whole], add_special_tokens=False)
+        for part, encoding in zip(whole, found, strict=True):
+            coded[part] = np.array(encoding.ids, "<u4").tobytes()
+        return [coded[p] for p in parts]
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and the number of ids per text."""
-        number: dict[str, int] = defaultdict()
-        number.default_factory = number.__len__  # a new part gets the next number
-        rows, sizes = [], []
-        for text in texts:
-            parts = self.split(text) if text else []
-            rows.append(np.fromiter(map(number.__getitem__, parts), np.int64, len(parts)))
-            sizes.append(len(parts))
-        self._learn(number)
-        coded = [self.recent[p] for p in number] + [np.array([end_id], "<u4").tobytes()]
-        ids = np.frombuffer(b"".join(coded), "<u4")
-        length = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        start = np.cumsum(length) - length
-        end = np.array([len(number)])
-        order = np.concatenate([x for r in rows for x in (r, end)])
-        n = length[order]
-        before = np.cumsum(n) - n
-        out = ids[np.arange(n.sum()) + np.repeat(start[order] - before, n)]
-        last = np.cumsum(np.array(sizes) + 1) - 1
-        stop = before[last] + n[last]
-        return out, np.diff(np.r_[0, stop])
+        parts = [self.split(t) if t else [] for t in texts]
+        ids, bounds = self.memory.encode(parts, np.array([end_id], "<u4").tobytes())
+        return ids, np.diff(bounds)
+
+
+_TOKENIZERS: dict[str, PartTokenizer] = {}
+
+
+def worker_tokenizer(spec: str) -> PartTokenizer:
+    """The Python worker's tokenizer, kept from task to task."""
+    name = hashlib.sha256(spec.encode()).hexdigest()
+    if name not in _TOKENIZERS:
+        _TOKENIZERS.clear()
+        _TOKENIZERS[name] = PartTokenizer(spec)
+    return _TOKENIZERS[name]
 
 
 # --------------------------------------------------------------------------
@@ -294,7 +281,7 @@ def write_token_files(
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = PartTokenizer(spec)
+        tokenizer = worker_tokenizer(spec)
         shard, seq = TaskContext.get().partitionId(), 0
         for whole in batches:
             for batch in slices(whole):
