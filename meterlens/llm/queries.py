@@ -17,7 +17,7 @@ from meterlens.llm.line_dedup import line_dedup
 from meterlens.llm.passage_chains import repeated_passages
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
-from meterlens.llm.sentence_pieces import decode_pieces, encode_pieces, load_model
+from meterlens.llm.sentence_pieces import encode_pieces, load_model
 from meterlens.llm.simhash_neardup import simhash_components
 from meterlens.llm.token_files import token_files, token_index
 from meterlens.llm.url_lists import evaluate_captures
@@ -123,8 +123,7 @@ def op9_line_dedup(spark, sf_dir):
 def op10_sentence_pieces(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = load_model(public_tokenizers.path(PIECE_MODEL))
-    coded = encode_pieces(docs, model).select("doc_id", "ids")
-    return decode_pieces(coded, model).select(
+    return encode_pieces(docs, model, decoded_col="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",

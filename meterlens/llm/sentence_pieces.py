@@ -22,28 +22,34 @@ replaces.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.llm.common import slices
+from meterlens.llm.common import RecentIds, slices
 
 SPACE = "▁"
 SEPARATOR = 0xFF  # not in any UTF-8 text
 #: Cached answers of "can piece b follow piece a", per Python worker.
 PAIR_SLOTS = 1 << 21
+#: Distinct chunk text indexed at a time, and chunks remembered before a worker starts anew.
+GROUP_CHARS = 1 << 19
+MEMORY = 300_000
 
 
 @dataclass
 class PieceModel:
     """A byte-fallback BPE vocabulary."""
 
+    name: str  # digest of the file
     pieces: list[str]  # as text, by id; byte pieces are empty here
     rank: dict[str, int]  # merge order of the pieces with more than one character
     usable: np.ndarray  # pieces that the merges can build from their own characters
@@ -100,7 +106,8 @@ def load_model(path: str) -> PieceModel:
     usable = np.zeros(n, bool)
     for i in normal:
         usable[i] = merge(list(pieces[i]), rank) == [pieces[i]]
-    return PieceModel(pieces, rank, usable, byte_ids, raw)
+    name = hashlib.sha256(Path(path).read_bytes()).hexdigest()
+    return PieceModel(name, pieces, rank, usable, byte_ids, raw)
 
 
 # --------------------------------------------------------------------------
@@ -200,13 +207,14 @@ class Encoder:
     def __init__(self, model: PieceModel):
         self.model = model
         ids = [i for i in range(model.size) if model.usable[i]]
-        self.ids = np.array(ids, np.int64)
+        self.ids = np.array(ids, np.int32)
         coded = [model.pieces[i].encode() for i in ids]
         self.wanted = Wanted(coded)
-        self.lengths = np.array([len(b) for b in coded], np.int64)
+        self.lengths = np.array([len(b) for b in coded], np.int32)
         self.single = np.array([len(model.pieces[i]) == 1 for i in ids])
         self.depth = int(self.lengths.max())
         self.cache = np.full(PAIR_SLOTS, -1, np.int64)  # pair * 2 + answer
+        self.memory = RecentIds(self.code, MEMORY)
         # a line feed that no piece holds is a chunk of its own
         alone = not any("\n" in model.pieces[i] and len(model.pieces[i]) > 1 for i in ids)
         self.chunk = re.compile(
@@ -215,7 +223,7 @@ class Encoder:
 
     def follows(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether piece b can stand directly behind piece a."""
-        pair = a * self.model.size + b
+        pair = a.astype(np.int64) * self.model.size + b
         slot = (pair * 0x9E3779B1 >> 7) & (PAIR_SLOTS - 1)
         known = self.cache[slot]
         miss = known >> 1 != pair
@@ -238,17 +246,17 @@ class Encoder:
         low, high = occurrence_ranges(order, keys, room, self.wanted)
         n = high - low
         before = np.cumsum(n) - n
-        start = order[np.arange(n.sum()) + np.repeat(low - before, n)]
-        which = np.repeat(np.arange(len(n)), n)
+        start = order[np.arange(n.sum()) + np.repeat(low - before, n)].astype(np.int32)
+        which = np.repeat(np.arange(len(n), dtype=np.int32), n)
         covered = np.zeros(len(text), bool)
         covered[start[self.single[which]]] = True
         lead = (room > 0) & (text & 0xC0 != 0x80) & ~covered
-        raw = np.flatnonzero(lead)
+        raw = np.flatnonzero(lead).astype(np.int32)
         size = 1 + (text[raw] >= 0xC0).astype(np.int64) + (text[raw] >= 0xE0) + (text[raw] >= 0xF0)
         return (
             np.concatenate([start, raw]),
-            np.concatenate([self.lengths[which], size]),
-            np.concatenate([self.ids[which], np.full(len(raw), self.model.size)]),
+            np.concatenate([self.lengths[which], size.astype(np.int32)]),
+            np.concatenate([self.ids[which], np.full(len(raw), self.model.size, np.int32)]),
         )
 
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -259,8 +267,8 @@ class Encoder:
         text = np.frombuffer(b"\xff".join(coded) + b"\xff", np.uint8)
         ends = np.cumsum([len(c) + 1 for c in coded]) - 1
         begins = np.r_[0, ends[:-1] + 1]
-        owner_begin = np.repeat(begins, ends + 1 - begins)
-        room = np.repeat(ends, ends + 1 - begins) - np.arange(len(text))
+        owner_begin = np.repeat(begins.astype(np.int32), ends + 1 - begins)
+        room = np.repeat(ends.astype(np.int32), ends + 1 - begins) - np.arange(len(text), dtype=np.int32)
         start, length, piece = self.edges(text, room)
         end = start + length
         # every chunk is relaxed at the same time, one end position after the other
@@ -269,8 +277,8 @@ class Encoder:
         start, end, piece, depth = start[by], end[by], piece[by], depth[by]
         step = np.flatnonzero(np.r_[True, depth[1:] != depth[:-1], True])
         size = self.model.size
-        last = np.full(len(text) + 1, -1, np.int64)  # piece that ends here
-        back = np.zeros(len(text) + 1, np.int64)  # where it starts
+        last = np.full(len(text) + 1, -1, np.int32)  # piece that ends here
+        back = np.zeros(len(text) + 1, np.int32)  # where it starts
         first = start == owner_begin[start]
         for lo, hi in zip(step, step[1:], strict=False):
             s, e, p = start[lo:hi], end[lo:hi], piece[lo:hi]
@@ -298,40 +306,87 @@ class Encoder:
         count = np.bincount(n_chunk, weights=width, minlength=len(chunks)).astype(np.int64)
         return out, np.r_[0, np.cumsum(count)]
 
+    def code(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, a bounded length of chunk text at a time."""
+        out: list[bytes] = []
+        size = np.cumsum([len(c) + 1 for c in chunks]) // GROUP_CHARS
+        cuts = np.flatnonzero(np.r_[True, size[1:] != size[:-1], True][: len(chunks) + 1])
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            ids, starts = self.encode_chunks(chunks[lo:hi])
+            raw, at = ids.astype("<u4").tobytes(), (4 * starts).tolist()
+            out += [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+        return out
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and where each text's ids start."""
-        number: dict[str, int] = defaultdict()
-        number.default_factory = number.__len__  # a new chunk gets the next number
-        rows, sizes = [], []
-        for text in texts:
-            parts = self.chunk.findall(SPACE + text.replace(" ", SPACE)) if text else []
-            rows.extend(map(number.__getitem__, parts))
-            sizes.append(len(parts))
-        ids, starts = self.encode_chunks(list(number))
-        rows = np.array(rows, np.int64)
-        n = (starts[1:] - starts[:-1])[rows]
-        before = np.r_[0, np.cumsum(n)]
-        out = ids[np.arange(before[-1]) + np.repeat(starts[rows] - before[:-1], n)]
-        return out, before[np.r_[0, np.cumsum(sizes)].astype(np.int64)]
+        findall = self.chunk.findall
+        return self.memory.encode(
+            [findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        )
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def worker_encoder(model: PieceModel) -> Encoder:
+    """The Python worker's encoder, kept from task to task."""
+    if model.name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[model.name] = Encoder(model)
+    return _ENCODERS[model.name]
+
+
+def decoder(model: PieceModel):
+    """A function from lists of ids to their texts."""
+    joined = np.frombuffer(b"".join(model.raw), np.uint8)
+    length = np.array([len(r) for r in model.raw], np.int64)
+    first = np.cumsum(length) - length
+
+    def texts(lists: pa.ListArray) -> pa.Array:
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        n = length[ids]
+        stop = np.r_[0, np.cumsum(n)]
+        raw = joined[np.arange(stop[-1]) + np.repeat(first[ids] - stop[:-1], n)].tobytes()
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        bounds = stop[np.r_[0, np.cumsum(counts)].astype(np.int64)].tolist()
+        out = []
+        for lo, hi in zip(bounds, bounds[1:], strict=False):
+            # the encoder puts one space before the text
+            lo += raw[lo : lo + 1] == b" " and lo < hi
+            out.append(raw[lo:hi].decode("utf-8", "replace"))
+        return pa.array(out, pa.string())
+
+    return texts
 
 
 def encode_pieces(
-    docs: DataFrame, model: PieceModel, text_col: str = "text", ids_col: str = "ids"
+    docs: DataFrame,
+    model: PieceModel,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    decoded_col: str | None = None,
 ) -> DataFrame:
-    """``docs`` plus ``ids`` (array of int); a map over the rows."""
-    others = [c for c in docs.columns if c != ids_col]
+    """``docs`` plus ``ids`` (array of int); a map over the rows.
+
+    With ``decoded_col`` also the text that the ids decode to, from the same pass.
+    """
+    others = [c for c in docs.columns if c not in (ids_col, decoded_col)]
     source = docs.select(*(docs[f"`{c}`"] for c in others))
     schema = source.withColumn(ids_col, F.array().cast("array<int>")).schema
+    names = [*others, ids_col]
+    if decoded_col:
+        schema, names = schema.add(decoded_col, "string"), [*names, decoded_col]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        encoder, texts = worker_encoder(model), decoder(model)
         for whole in batches:
             for batch in slices(whole, text_col):
                 ids, starts = encoder.encode(batch.column(text_col).to_pylist())
                 lists = pa.ListArray.from_arrays(
                     pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32))
                 )
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*others, ids_col])
+                more = [texts(lists)] if decoded_col else []
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists, *more], names=names)
 
     return source.mapInArrow(encode, schema)
 
@@ -343,18 +398,13 @@ def decode_pieces(
     others = [c for c in coded.columns if c != text_col]
     source = coded.select(*(coded[f"`{c}`"] for c in others))
     schema = source.withColumn(text_col, F.lit("")).schema
-    raw = model.raw
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for ids in batch.column(ids_col):
-                joined = b"".join([raw[i] for i in ids.values.tolist()]) if ids.is_valid else b""
-                # the encoder puts one space before the text
-                joined = joined[1:] if joined[:1] == b" " else joined
-                texts.append(joined.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names=[*others, text_col]
-            )
+        texts = decoder(model)
+        for whole in batches:
+            for batch in slices(whole, ids_col):
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, texts(batch.column(ids_col))], names=[*others, text_col]
+                )
 
     return source.mapInArrow(decode, schema)
