@@ -88,7 +88,8 @@ def line_bitmaps(
     that are absent keep all their lines.
     """
     lines = staged(line_occurrences(docs, id_col, text_col, min_chars), "line-hashes")
-    repeated = repeated_lines(lines, min_docs)
+    # written once: as a table of its own the join can split a hash that is in many documents
+    repeated = staged(repeated_lines(lines, min_docs), "repeated-lines")
     dropped = lines.join(repeated, ["h1", "h2"]).filter("doc_id <> keep_doc")
     bit = F.expr(f"shiftleft(1L, pos % {WORD_LINES})")
     words = (
