@@ -295,7 +295,8 @@ def host_templates(
             "is_text",
         )
     )
-    return kept.groupBy("host").agg(
+    # written once: the join can then split a host with many tokens below the share
+    return staged(kept, "html-template-tokens").groupBy("host").agg(
         F.array_sort(F.collect_list(F.struct("place", "token", "parent", "class", "once", "is_text"))).alias(
             "template"
         )
