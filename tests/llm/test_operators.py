@@ -251,6 +251,23 @@ def test_fenwick_chain_score_equals_quadratic(matches):
         assert pc.SEED_WORDS * len(path) - pc.GAP_COST * gap == pytest.approx(best[top])
 
 
+@pytest.mark.parametrize("gap", [pc.MAX_GAP + 1, 60, 200, 460])
+def test_matches_behind_a_long_chain_find_their_near_predecessor(gap):
+    first = list(range(0, 500, 8))
+    second = list(range(first[-1] + gap, first[-1] + gap + 80, 8))
+    found = pc.chains(first + second, first + second)
+    assert sorted(len(path) for path in found) == [len(second), len(first)]
+
+
+def test_passage_behind_a_long_one_is_found(spark):
+    rng = random.Random(11)
+    long, short = invented(rng, 500), invented(rng, 120)
+    texts = [long + invented(rng, 60 + 40 * n) + short + invented(rng, 30) for n in range(2)]
+    df = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    spans = sorted((r.a_start, r.a_end, r.b_start, r.b_end) for r in pc.repeated_passages(df).collect())
+    assert spans == [(0, 500, 0, 500), (560, 680, 600, 720)]
+
+
 # decontamination -----------------------------------------------------------
 
 ITEMS = [
