@@ -268,6 +268,22 @@ def test_passage_behind_a_long_one_is_found(spark):
     assert spans == [(0, 500, 0, 500), (560, 680, 600, 720)]
 
 
+@pytest.mark.parametrize("words", [50, 60])
+def test_shared_run_whose_parts_are_elsewhere_is_linked(spark, words):
+    rng = random.Random(words)
+    shared = invented(rng, words)
+    parts = [shared[:20], shared[20:40], shared[40:]]
+    if words == 50:
+        parts = [shared[:40], shared[10:]]  # pieces of their own, but no passages
+    # many copies of the parts, so that some have the smallest hash
+    texts = [invented(rng, 40) + part + invented(rng, 40) for part in parts for _ in range(20)]
+    texts += [invented(rng, 70) + shared + invented(rng, 30 + n) for n in range(2)]
+    n = len(texts)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    links = pc.repeated_passages(df).collect()
+    assert (n - 2, n - 1, 70, 70 + words, 70, 70 + words) in {tuple(r)[:6] for r in links}
+
+
 # decontamination -----------------------------------------------------------
 
 ITEMS = [
