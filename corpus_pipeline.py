@@ -35,14 +35,26 @@ def lines(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Of each component the document with the smallest id stays; rows without an id stay."""
+    """Of each component one document stays, the one with the smallest id (and text key); rows without an id stay.
+
+    Texts are compared under their own hash, as ids may repeat; rows that repeat
+    id and text are one document.
+    """
+    text_key = F.xxhash64(docs["text"])
+    keys = docs.select(docs["doc_id"].cast("long").alias("id"), text_key.alias("key"))
+    parts = simhash_components(docs.select(text_key.alias("doc_id"), docs["text"]))
+    # written once, so that the joins can split a text of many documents and a large component
+    parts = staged(parts.select(F.col("doc_id").alias("key"), "component_id").distinct(), "neardup-parts")
+    named = keys.filter("id is not null").join(parts, "key")
+    first = named.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("first"))
     gone = (
-        simhash_components(docs)
-        .filter("doc_id <> component_id")
-        .select(F.col("doc_id").alias("__gone_id"))
+        named.join(staged(first, "neardup-first"), "component_id")
+        .filter((F.col("id") != F.col("first.id")) | (F.col("key") != F.col("first.key")))
+        .select(F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key"))
         .distinct()
     )
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone_id"], "left_anti")
+    same = (docs["doc_id"].cast("long") == gone["__gone_id"]) & (text_key == gone["__gone_key"])
+    return docs.join(gone, same, "left_anti")
 
 
 def decontamination(spark, docs, sf_dir):

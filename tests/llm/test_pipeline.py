@@ -65,3 +65,13 @@ def test_stage_edges(spark, n):
     if n == 2:  # one of the empty texts and one of the alike ones stay, and rows without an id
         assert sorted(str(r.doc_id) for r in rows if r.text != "x " * 30_000) == ["1", "3", "3", "None"]
     assert stage(spark, docs.filter("false"), SMOKE_DIR).collect() == []
+
+
+def test_near_duplicates_with_repeated_ids(spark):
+    alike, other = (" ".join(f"{c}{i}" for i in range(400)) for c in "vw")
+    rows = [(3, alike), (7, alike + "\n"), (7, other), (3, alike.upper()), (8, other + " "), (9, None), (9, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SMOKE_DIR).collect()]
+    assert (7, other) in kept and (8, other + " ") not in kept and (7, alike + "\n") not in kept
+    assert len([i for i, t in kept if t and t.lower().strip() == alike]) == 1
+    assert (9, None) in kept and (9, "alone here") in kept and len(kept) == 4
