@@ -82,22 +82,34 @@ BOILER_NAMES = frozenset(
 )
 
 
+#: Kinds that often hold article elements of their own (each comment, each teaser).
+OWN_ARTICLES = frozenset("comment comments respond disqus related recommended".split())
+#: A name word right behind one of these tells of a kind and is not of it.
+MODIFIERS = frozenset("has no with without".split())
+
+
 class Block:
-    """A text block, or an element's start, at a path."""
+    """A text block, or an element's start, at a path.
 
-    __slots__ = ("path", "text", "dropped", "article", "main")
+    ``named`` numbers the enclosing elements that only their name, role or form tag
+    calls boilerplate; ``content`` marks the start of an article or main element.
+    """
 
-    def __init__(self, path, text, dropped, article, main):
+    __slots__ = ("path", "text", "dropped", "article", "main", "named", "content")
+
+    def __init__(self, path, text, dropped, article, main, named=(), content=False):
         self.path, self.text = path, text
         self.dropped, self.article, self.main = dropped, article, main
+        self.named, self.content = named, content
 
 
 class Element:
-    __slots__ = ("name", "path", "dropped", "article", "main")
+    __slots__ = ("name", "path", "dropped", "article", "main", "named")
 
-    def __init__(self, name, path, dropped, article, main):
+    def __init__(self, name, path, dropped, article, main, named=()):
         self.name, self.path = name, path
         self.dropped, self.article, self.main = dropped, article, main
+        self.named = named
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -106,12 +118,58 @@ def attributes(source: str) -> dict[str, str]:
     }
 
 
+def name_words(attrs: dict[str, str]) -> set[str]:
+    """Words of class and id, without those behind a modifier (has-sidebar, no-menu)."""
+    found = set()
+    for label in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        parts = LABEL_WORD.findall(label)
+        found.update(w for before, w in zip(["", *parts], parts, strict=False) if before not in MODIFIERS)
+    return found
+
+
+def only_named(name: str, attrs: dict[str, str]) -> bool:
+    """Whether a boilerplate element is one by its name, role or form tag alone."""
+    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or HIDDEN.search(attrs.get("style", "")):
+        return False
+    return name == "form" or (name not in BOILER_ELEMENTS and name != "header")
+
+
+def may_be_layout(name: str, attrs: dict[str, str]) -> bool:
+    """A compound name (main-menu-wrapper) or a form may be that of the page's layout."""
+    labels = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
+    return not (name_words(attrs) & OWN_ARTICLES or any(x in BOILER_NAMES for x in labels))
+
+
+def free_layout(blocks: list[Block], layout: set[int], own: set[int]) -> None:
+    """An element that encloses the page's only article or main element is no boilerplate.
+
+    If no such element stands outside boilerplate, layout elements around one are
+    freed; if no text is left at all, elements of any name are, the ``own`` ones
+    (comments, teasers) last.
+    """
+
+    def freed(which) -> None:
+        free = {n for b in blocks if b.content and not b.dropped for n in b.named if which(n)}
+        for b in blocks:
+            b.named = tuple(n for n in b.named if n not in free)
+
+    if not any(b.named for b in blocks):
+        return
+    if not any(b.content and not b.dropped and not b.named for b in blocks):
+        freed(layout.__contains__)
+    for which in (lambda n: n not in own, own.__contains__):
+        if not any(b.text is not None and not b.dropped and not b.named for b in blocks):
+            freed(which)
+    for b in blocks:
+        b.dropped = b.dropped or bool(b.named)
+
+
 def is_boiler(name: str, attrs: dict[str, str], inside_content: bool) -> bool:
     if name in BOILER_ELEMENTS or "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
     if name in CONTENT or name in ("html", "body"):
         return False
-    words = set(LABEL_WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}"))
+    words = name_words(attrs)
     if words & BOILER_NAMES or attrs.get("role") in BOILER_ROLES:
         return True
     if "style" in attrs and HIDDEN.search(attrs["style"]):
@@ -126,6 +184,8 @@ def page_blocks(page: str | None) -> list[Block]:
     root = Element("", "", False, False, False)
     stack = [root]
     held: list[str] = []
+    layout: set[int] = set()  # numbers of named elements that may be the page's layout
+    own: set[int] = set()  # numbers of those that often hold articles of their own
 
     def flush() -> None:
         if held:
@@ -133,7 +193,7 @@ def page_blocks(page: str | None) -> list[Block]:
             held.clear()
             if text:
                 top = stack[-1]
-                out.append(Block(top.path, text, top.dropped, top.article, top.main))
+                out.append(Block(top.path, text, top.dropped, top.article, top.main, top.named))
 
     def close(names, stops) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -198,10 +258,20 @@ def page_blocks(page: str | None) -> list[Block]:
         ) if attrs else name
         main = top.main or name == "main" or attrs.get("role") == "main"
         path = f"{top.path}/{label}" if len(stack) < 64 else top.path
-        element = Element(name, path, top.dropped or boiler, top.article or name == "article", main)
+        named = top.named
+        if boiler and only_named(name, attrs):
+            boiler, named = False, (*named, len(out))
+            if may_be_layout(name, attrs):
+                layout.add(len(out))
+            elif name_words(attrs) & OWN_ARTICLES:
+                own.add(len(out))
+        article = top.article or name == "article"
+        element = Element(name, path, top.dropped or boiler, article, main, named)
         stack.append(element)
-        out.append(Block(path, None, element.dropped, element.article, element.main))
+        content = (article, main) != (top.article, top.main)
+        out.append(Block(path, None, element.dropped, article, main, named, content))
     flush()
+    free_layout(out, layout, own)
     return out
 
 

@@ -133,6 +133,21 @@ def test_main_text_of_messy_page():
     assert ht.main_text("<article><b>x<p>y</article>") == "x y"
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<div class='layout has-sidebar'>", "</div>"), ("<div class='content no-sidebar'>", "</div>"),
+    ("<div id='main-menu-wrapper'>", "</div>"), ("<div class='social-page'>", "</div>"),
+    ("<form id='aspnet'>", "</form>"), ("<div class='sidebar'>", "</div>"),
+    ("<main><div class='social-page'>", "</div></main>"),
+])
+def test_names_around_the_article_do_not_drop_it(start, end):
+    page = f"<body><nav>Menu</nav>{start}<article><p>Text</p><div class=ad>Buy</div></article>"
+    page += f"<div class='comments'><article>Me too</article></div>{end}<footer>F</footer>"
+    assert ht.main_text(page) == "Text"
+    assert ht.main_text("<article>a</article><div class='related-box'><article>b</article></div>") == "a"
+    assert ht.main_text("<p>a</p><div id='comment-list'><article>b</article></div>") == "a"
+    assert ht.main_text("<form>Mail</form><div class='social-bar'>x</div>") == ""
+
+
 def test_template_text_is_deduced(spark):
     same = "<p>Read more on our site</p>"
     pages = [
