@@ -419,8 +419,11 @@ def main_text(page: str | None, template=None) -> str:
         if inside:
             break
     slots = [b.text for i, b in inside if i not in fixed]
-    # a page whose whole article is on every page of its host has no slots: it is kept whole
-    return " ".join(slots or [b.text for _, b in inside])
+    # an article of which half the blocks or more are on the host's other pages is one
+    # of many copies: what they share is its text, and it is kept whole
+    if not slots or (part == "article" and 2 * len(slots) <= len(inside)):
+        slots = [b.text for _, b in inside]
+    return " ".join(slots)
 
 
 def extract_main_text(

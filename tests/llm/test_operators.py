@@ -165,6 +165,16 @@ def test_template_text_is_deduced(spark):
     assert ht.extract_main_text(df.filter("false")).collect() == []
 
 
+def test_copies_of_an_article_on_one_host_keep_its_text(spark):
+    body = "".join(f"<p>Paragraph {i} of the story</p>" for i in range(4))
+    pages = [(n, "http://a.example/x", f"<article><p>Day {n}</p>{body}</article>") for n in range(20)]
+    pages.append((20, "http://a.example/y", "<article><p>Another</p></article>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    story = " ".join(f"Paragraph {i} of the story" for i in range(4))
+    got = {r.page_id: r.text for r in ht.extract_main_text(df).collect()}
+    assert got == {n: f"Day {n} {story}" for n in range(20)} | {20: "Another"}
+
+
 def test_classes_out_of_order_or_outside_a_valid_class_are_not_valid():
     blocks = [ht.Block("p", t, False, False, False) for t in (None, "b", "a")]
 
