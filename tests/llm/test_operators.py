@@ -22,7 +22,7 @@ from meterlens.llm import sentence_pieces as sp
 from meterlens.llm import url_lists as ul
 from meterlens.llm.components import connected_components
 from meterlens.llm.line_dedup import line_dedup
-from meterlens.llm.queries import QUERIES
+from meterlens.llm.queries import ORACLE, QUERIES
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i * 7919 % 4001}" for i in range(30_000))
@@ -648,3 +648,20 @@ def test_suffix_array_ranges():
     low, high = sp.occurrence_ranges(order, keys, room, sp.Wanted([b"an", b"ana", b"bandana", b"x", b"bananax"]))
     found = [sorted(order[a:b].tolist()) for a, b in zip(low, high, strict=True)]
     assert found == [[1, 3, 8, 11, 15], [1, 3, 11], [7], [], []]
+
+
+# oracles -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE_DIR}/{t}.parquet')")
+    found = con.execute(ORACLE[name])
+    columns = [d[0] for d in found.description]
+    got = QUERIES[name](spark, SMOKE_DIR)
+    assert sorted(got.columns) == sorted(columns)
+    assert by_text(map(tuple, got.select(*columns).collect())) == by_text(found.fetchall())
