@@ -537,22 +537,16 @@ def q_scalability_written(spark, d):
     )
 
 
-_PIPELINE_RUNS: dict[tuple, str] = {}
-
-
 def _pipeline_result(name):
-    """One dataset of the full job, read from the files that it wrote."""
+    """One dataset of the full job, which runs anew, read from the files that it wrote."""
 
     def query(spark, d):
         from meterlens.plans.pipeline import run_pipeline
         from meterlens.sources import read_result
 
-        key = (spark.sparkContext.applicationId, str(d))
-        if key not in _PIPELINE_RUNS:
-            out = _scratch(spark, "pipeline-results")
-            run_pipeline(spark, feed_records(spark, d), out, method="exact")
-            _PIPELINE_RUNS[key] = out
-        return _rounded(read_result(spark, f"{_PIPELINE_RUNS[key]}/{name}"))
+        out = _scratch(spark, "pipeline-results")
+        run_pipeline(spark, feed_records(spark, d), out, method="exact")
+        return _rounded(read_result(spark, f"{out}/{name}"))
 
     return query
 

@@ -102,3 +102,13 @@ def test_no_joins_or_broadcasts_in_rows_only_queries(spark, name):
     df.write.format("noop").mode("overwrite").save()
     plan = plan_of(df)
     assert not [n for n in JOIN_NODES if n in plan], name
+
+
+def test_full_job_runs_anew_on_every_call(spark, monkeypatch):
+    from meterlens.plans import pipeline
+
+    runs, run = [], pipeline.run_pipeline
+    monkeypatch.setattr(pipeline, "run_pipeline", lambda *a, **b: runs.append(a) or run(*a, **b))
+    for name in ("pipeline_peak_hour", "pipeline_peak_day"):
+        assert E.queries()[name](spark, SMOKE_DIR).count() > 0
+    assert len(runs) == 2
