@@ -15,6 +15,7 @@ from meterlens.llm.decontamination import contamination
 from meterlens.llm.html_template import extract_main_text
 from meterlens.llm.line_dedup import line_dedup
 from meterlens.llm.passage_chains import repeated_passages
+from meterlens.llm.periodic_runs import periodic_runs
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
 from meterlens.llm.sentence_pieces import encode_pieces, load_model
@@ -131,6 +132,48 @@ def op10_sentence_pieces(spark, sf_dir):
     )
 
 
+def with_waves(docs):
+    """Texts made periodic by rule: in every tenth document (by CRC-32 of its id), the
+    words from some place on repeat a first stretch of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")))
+    docs = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("w"))
+    n = F.when(F.size("w") > 0, F.size("w"))
+    docs = docs.select("*", n.alias("n"), (F.col("g") % n).cast("int").alias("a"))
+    left = F.col("n") - F.col("a")
+    period = (F.floor(left / (3 + F.col("g") % 8)) + 1).cast("int")
+    docs = docs.select("*", left.alias("left"), period.alias("p"))
+    wave = F.slice("w", F.col("a") + 1, F.col("p"))
+    times = F.ceil(F.col("left") / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(wave, times)), F.lit(1), F.col("left"))
+    planted = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return docs.select("doc_id", F.coalesce(planted, "text").alias("text"))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(with_waves(docs))
+    # runs come by start, then period: of equal exponents the first one stays
+    def steeper(a, r):
+        return F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a)
+
+    def line(r):
+        return F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+
+    best = F.aggregate("runs", F.try_element_at("runs", F.lit(1)), steeper)
+    picked = found.select("doc_id", "runs", best.alias("best"), "collapsed")
+    return picked.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_template": op2_html_template,
@@ -142,6 +185,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_line_dedup": op9_line_dedup,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
