@@ -10,6 +10,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from meterlens.llm.best_fit_packing import pack_documents
 from meterlens.llm.common import table
 from meterlens.llm.decontamination import contamination
 from meterlens.llm.html_template import extract_main_text
@@ -25,6 +26,7 @@ from meterlens.llm.url_lists import evaluate_captures
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_MODEL = "word_bpe_49k.json"
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
 def op1_secret_scan(spark, sf_dir):
@@ -174,6 +176,11 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+def op13_best_fit_packing(spark, sf_dir):
+    spec = Path(public_tokenizers.path(BYTE_MODEL)).read_text(encoding="utf-8")
+    return pack_documents(table(spark, sf_dir, "documents"), spec)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_html_template": op2_html_template,
@@ -186,6 +193,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sentence_pieces": op10_sentence_pieces,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
