@@ -17,6 +17,7 @@ from meterlens.llm.html_template import extract_main_text
 from meterlens.llm.line_dedup import line_dedup
 from meterlens.llm.passage_chains import repeated_passages
 from meterlens.llm.periodic_runs import periodic_runs
+from meterlens.llm.phrase_mining import collocations
 from meterlens.llm.quality_rules import quality_verdicts
 from meterlens.llm.secret_scan import secret_spans
 from meterlens.llm.sentence_pieces import encode_pieces, load_model
@@ -176,6 +177,10 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+def op12_phrase_mining(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_best_fit_packing(spark, sf_dir):
     spec = Path(public_tokenizers.path(BYTE_MODEL)).read_text(encoding="utf-8")
     return pack_documents(table(spark, sf_dir, "documents"), spec)
@@ -193,6 +198,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sentence_pieces": op10_sentence_pieces,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
 
@@ -240,6 +246,49 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
        coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
        coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named i USING (doc_id)""",
+    "op12_phrase_mining": f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM worded),
+sized AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
+lengths AS (SELECT unnest(range(1, 6)) AS size),
+found AS (
+  SELECT lang, size, array_to_string(list_slice(w, p, p + size - 1), ' ') AS phrase
+  FROM places, lengths WHERE p + size - 1 <= len(w)
+),
+f AS (SELECT lang, size, phrase, count(*) AS n FROM found GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size >= 2),
+cuts AS (
+  SELECT lang, phrase, n AS a, k, array_to_string(list_slice(w, 1, k), ' ') AS first,
+         array_to_string(list_slice(w, k + 1, size), ' ') AS rest
+  FROM candidates, (SELECT unnest(range(1, 5)) AS k) WHERE k < size
+),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.n AS l, y.n AS r, s.n AS n,
+         CAST((1000::HUGEINT * c.a * s.n) // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first
+  JOIN f y ON y.lang = c.lang AND y.phrase = c.rest JOIN sized s ON s.lang = c.lang
+),
+worst AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+  SELECT c.lang, array_to_string(list_slice(w, p, p + m - 1), ' ') AS phrase, max(c.n) AS longer
+  FROM candidates c, (SELECT unnest(range(2, 5)) AS m), (SELECT unnest(range(1, 5)) AS p)
+  WHERE m < size AND p + m - 1 <= size GROUP BY ALL
+),
+kept AS (
+  SELECT w.* FROM worst w LEFT JOIN inside i USING (lang, phrase)
+  WHERE i.longer IS NULL OR 100 * i.longer < 100 * w.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000""",
     "op9_line_dedup": f"""
 WITH docs AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
