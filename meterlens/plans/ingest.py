@@ -13,6 +13,7 @@ def write_feed_files(feed: DataFrame, folder: str) -> None:
     (
         feed.write.mode("overwrite")
         .option("header", True)
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(folder)

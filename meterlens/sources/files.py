@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-from urllib.parse import unquote
+import csv
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,38 +85,96 @@ def read_feed(reader, names: list[str], paths) -> DataFrame:
     return rows.select(*columns)
 
 
-def feed_headers(spark: SparkSession, pattern: str) -> dict[tuple[str, ...], list[str]]:
-    """Paths of the feed files by header.
+def feed_lines(reader, paths) -> DataFrame:
+    """Lines of feed files, each with its file and the place of its block there.
 
-    Lists the files (no content) and reads one line of each, from a few driver
-    threads; headers are names, not data.
+    Through ``reader``: batch or stream.
     """
-    files = spark.read.format("binaryFile").load(pattern).select("path").collect()
+    at = F.col("_metadata")
+    return reader.text(paths).select(
+        F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"),
+        at["file_path"].alias("path"),
+        at["file_block_start"].alias("block"),
+    )
+
+
+def line_headers(lines: DataFrame) -> DataFrame:
+    """``(path, header)``: the first line of every file that has one, by one aggregate."""
+    first = lines.filter("block = 0").withColumn("at", F.monotonically_increasing_id())
+    return first.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+
 
-    def header(path: str) -> tuple[str, ...]:
-        first = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
-        return tuple(c.removeprefix("\ufeff") for c in first.columns)
+def header_names(header: str) -> list[str]:
+    return next(csv.reader([header]))
 
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        paths = sorted(unquote(r["path"]) for r in files)
-        for path, names in zip(paths, pool.map(header, paths), strict=True):
-            groups.setdefault(names, []).append(path)
-    return groups
+
+def bind_feed_lines(lines: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """The four feed columns of :func:`feed_lines`, bound by the header of each line's file.
+
+    Only the distinct headers come to the driver.  Where all files share one, no
+    join is needed; else each line meets its file's header (a table of one row
+    per file; Spark broadcasts it as long as its measured size allows).  A line
+    equal to its file's header is a header, wherever it stands; empty lines are left
+    out; a line with fewer fields has nulls.  Fails when a header lacks a feed
+    column.
+    """
+    if headers is None:
+        headers = line_headers(lines)
+    distinct = sorted(r["header"] for r in headers.select("header").distinct().collect())
+    names = [header_names(h) for h in distinct]
+    width = max(map(len, names), default=1)
+    wanted = [f.name for f in RAW_FEED_SCHEMA.fields]
+    places = []
+    for found in names:
+        at = {n.strip(): i for i, n in enumerate(found)}
+        missing = [w for w in wanted if w.strip() not in at]
+        if missing:
+            raise ValueError(f"feed header {found} lacks {missing}")
+        places.append([at[w.strip()] for w in wanted])
+    fields = ", ".join(f"c{i} string" for i in range(width))
+    rows = lines.filter(F.trim("value") != "")
+    parsed = F.from_csv("value", F.lit(fields), {"escape": '"'}).alias("c")  # "" is a quote within quotes
+    if len(distinct) <= 1:
+        rows = rows.filter(F.col("value") != F.lit(distinct[0])) if distinct else rows.filter("false")
+        places = places or [[0] * len(wanted)]
+        return rows.select(parsed).select(
+            *(F.col(f"c.c{at}").alias(w) for w, at in zip(wanted, places[0], strict=True))
+        )
+    rows = rows.join(headers, "path").filter(F.col("value") != F.col("header"))
+    kinds = [F.when(F.col("header") == F.lit(h), F.lit(k)) for k, h in enumerate(distinct)]
+    rows = rows.select(parsed, F.coalesce(*kinds).alias("kind"))
+    columns = []
+    for i, name in enumerate(wanted):
+        by_place: dict[int, list[int]] = {}
+        for kind, place in enumerate(places):
+            by_place.setdefault(place[i], []).append(kind)
+        # one branch per place that the column has in any header
+        picks = [F.when(F.col("kind").isin(kinds), F.col(f"c.c{place}")) for place, kinds in by_place.items()]
+        columns.append((F.coalesce(*picks) if len(picks) > 1 else F.col(f"c.c{places[0][i]}")).alias(name))
+    return rows.select(*columns)
+
+
+def feed_headers(spark: SparkSession, pattern: str) -> list[tuple[str, ...]]:
+    """The distinct headers of the feed files; none when there are no files."""
+    try:
+        headers = line_headers(feed_lines(spark.read, pattern))
+    except AnalysisException as exc:
+        if (exc.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            return []
+        raise
+    return sorted(tuple(header_names(r["header"])) for r in headers.select("header").distinct().collect())
 
 
 def read_raw_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``*.csv`` directly in ``folder`` (header, BOM tolerated), all text.
 
     Columns are bound by each file's header: files whose columns come in another
-    order, or with more columns, are read right (one scan per distinct header).
-    Fails when the folder holds no CSV file or a header lacks a feed column.
+    order, or with more columns, are read right.  Two scans of the lines, however
+    many files there are: one for the headers (nothing is parsed there), one for
+    the rows.  Fails when the folder holds no CSV file or a header lacks a feed
+    column.
     """
-    groups = feed_headers(spark, f"{folder.rstrip('/')}/*.csv")
-    if not groups:
-        raise FileNotFoundError(f"no *.csv in {folder}")
-    parts = [read_feed(spark.read, list(names), paths) for names, paths in sorted(groups.items())]
-    return reduce(DataFrame.unionByName, parts)
+    return bind_feed_lines(feed_lines(spark.read, f"{folder.rstrip('/')}/*.csv"))
 
 
 def read_readings(

@@ -293,3 +293,67 @@ def test_publish_returns_the_batch_counters(spark, scratch):
     assert counts == {"records_sent": 2, "missing_energy_records": 1}
     publish_readings(recs, f"{scratch}/out", mode="overwrite")
     assert spark.read.json(f"{scratch}/out").count() == 2
+
+
+# headers by file
+
+
+def test_many_small_files_take_two_scans(spark, scratch):
+    """No read per file: the jobs and scans are those of two files."""
+    names = ["LCLid", "stdorToU", "DateTime", RAW_ENERGY]
+    feed = f"{scratch}/feed"
+    os.makedirs(feed)
+    for n in range(10_000):
+        turned = [*names[n % 3:], *names[:n % 3]]
+        values = dict(zip(names, [f"M{n}", "Std", "2012-01-01 00:00:00", str(n)], strict=True))
+        with open(f"{feed}/{n}.csv", "w", encoding="utf-8-sig" if n % 2 else "utf-8") as f:
+            f.write(",".join(turned) + "\n" + ",".join(values[t] for t in turned) + "\n\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "many files")
+    rows = read_raw_feed(spark, feed).collect()
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("", "")
+    assert sorted((r.LCLid, r.stdorToU, r.DateTime, r[RAW_ENERGY]) for r in rows) == sorted(
+        (f"M{n}", "Std", "2012-01-01 00:00:00", str(n)) for n in range(10_000)
+    )
+    assert jobs < 12
+    plan = read_raw_feed(spark, feed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 2  # the lines, and the headers that are joined to them
+
+
+def test_one_header_needs_no_join(spark, scratch):
+    for n in range(3):
+        _csv(f"{scratch}/{n}.csv", "DateTime,LCLid,stdorToU,KWH/hh (per half hour) ", [f"2012-01-01 00:00:00,M{n},Std,1"])
+    raw = read_raw_feed(spark, scratch)
+    assert "Join" not in raw._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.LCLid for r in raw.collect()) == ["M0", "M1", "M2"]
+
+
+def test_odd_lines_of_a_feed(spark, scratch):
+    header = 'stdorToU,"KWH/hh (per half hour) ",LCLid,DateTime'
+    with open(f"{scratch}/a.csv", "w", newline="") as f:
+        f.write(f'{header}\r\n"S,td",0.5,"A ""x""",t1\r\n  \r\nStd,1\r\n{header}\r\nStd,,B,t2,more\r\n')
+    with open(f"{scratch}/empty.csv", "w"):
+        pass
+    rows = [tuple(r) for r in read_raw_feed(spark, scratch).orderBy("DateTime", "LCLid").collect()]
+    assert rows == [(None, "Std", None, "1"), ('A "x"', "S,td", "t1", "0.5"), ("B", "Std", "t2", None)]
+
+
+def test_split_files_keep_their_header(spark, scratch):
+    """Blocks of a file that do not hold its first line are bound by it too."""
+    names = ["LCLid", "stdorToU", "DateTime", RAW_ENERGY]
+    for n, turned in enumerate((names, names[::-1])):
+        with open(f"{scratch}/{n}.csv", "w") as f:
+            f.write(",".join(turned) + "\n")
+            for i in range(20_000):
+                values = dict(zip(names, [f"M{n}", "Std", f"t{i}", str(i)], strict=True))
+                f.write(",".join(values[t] for t in turned) + "\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+        raw = read_raw_feed(spark, scratch)
+        assert raw.rdd.getNumPartitions() > 4
+        got = {tuple(r) for r in raw.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == {(f"M{n}", "Std", f"t{i}", str(i)) for n in (0, 1) for i in range(20_000)}
