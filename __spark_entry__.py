@@ -472,6 +472,88 @@ def q_ingest_counts(spark, d):
     )
 
 
+def _mixed_feed(spark, d, base, parts=2):
+    """The feed as files whose columns come in other orders, some with one more column."""
+    from meterlens.plans.ingest import write_feed_files
+
+    feed = events_text_feed(spark, d)
+    names = [F.col(f"`{c}`") for c in feed.columns]
+    part = F.pmod(F.xxhash64(*names), F.lit(parts))
+    for n in range(parts):
+        turned = [*names[n % 4:], *([F.lit("x").alias("extra")] if n % 2 else []), *names[:n % 4]]
+        write_feed_files(feed.filter(part == n).select(*turned), f"{base}/feed/part{n}")
+        yield f"{base}/feed/*"
+
+
+def q_stream_feed_mixed_headers(spark, d):
+    """Feed files of three headers, arriving in three runs of the batch stream."""
+    from meterlens.schema import RECORD_SCHEMA
+    from meterlens.sinks import read_batches
+    from meterlens.streaming import stream_feed_batches
+
+    base = _scratch(spark, "mixed-feed")
+    for folder in _mixed_feed(spark, d, base, 3):
+        stream_feed_batches(spark, folder, f"{base}/records").awaitTermination()
+    return read_batches(spark, f"{base}/records", RECORD_SCHEMA, "json")
+
+
+def q_ingest_totals(spark, d):
+    """Stored counters of both batch streams, over small batches and a restart between them."""
+    from meterlens.sinks import ingest_totals
+    from meterlens.streaming import FEED_COUNTS, LANDING_COUNTS, REJECT_COUNTS, stream_feed_batches, stream_land_batches
+
+    base = _scratch(spark, "ingest-totals")
+    for folder in _mixed_feed(spark, d, base):
+        stream_feed_batches(spark, folder, f"{base}/records", max_files_per_trigger=1).awaitTermination()
+        stream_land_batches(spark, f"{base}/records", f"{base}/landed", f"{base}/rejected").awaitTermination()
+    sent = ingest_totals(spark, f"{base}/records", FEED_COUNTS)
+    landed = ingest_totals(spark, f"{base}/landed", LANDING_COUNTS).select("records_stored")
+    rejected = ingest_totals(spark, f"{base}/rejected", REJECT_COUNTS)
+    return sent.select(
+        "*",
+        landed.scalar().alias("records_stored"),
+        rejected.scalar().alias("records_rejected"),
+    )
+
+
+def _replayed_landing(spark, d):
+    """Messages landed in one pass; the rejects and the checkpoint are lost, and it runs again."""
+    from meterlens.session import remove_path
+    from meterlens.streaming import stream_land_batches
+
+    base, source = _scratch(spark, "replay"), _messages(spark, d)
+    stream_land_batches(spark, source, f"{base}/landed", f"{base}/rejected").awaitTermination()
+    remove_path(spark, f"{base}/rejected")
+    remove_path(spark, f"{base}/landed/_checkpoint")
+    stream_land_batches(spark, source, f"{base}/landed", f"{base}/rejected").awaitTermination()
+    return base
+
+
+def q_land_batches_replayed(spark, d):
+    from meterlens.schema import RECORD_SCHEMA
+    from meterlens.sinks import read_batches
+
+    return read_batches(spark, f"{_replayed_landing(spark, d)}/landed", RECORD_SCHEMA)
+
+
+def q_land_batches_rejected(spark, d):
+    from meterlens.sinks import read_batches
+
+    rows = read_batches(spark, f"{_replayed_landing(spark, d)}/rejected", "value string", "text")
+    return rows.withColumnRenamed("value", "message")
+
+
+def q_publish_batch_twice(spark, d):
+    from meterlens.schema import RECORD_SCHEMA
+    from meterlens.sinks import read_batches
+    from meterlens.streaming import publish_batch
+
+    target = _scratch(spark, "published-batch")
+    for _ in range(2):
+        publish_batch(feed_records(spark, d), target, 0)
+    return read_batches(spark, target, RECORD_SCHEMA, "json")
+
+
 def q_result_status(spark, d):
     """Availability of results written as CSV and as Parquet, one of them empty, others missing."""
     from meterlens.sinks import write_result
@@ -607,6 +689,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_land_good_messages": q_stream_land_good_messages,
     "stream_rejected_messages": q_stream_rejected_messages,
     "ingest_counts": q_ingest_counts,
+    "stream_feed_mixed_headers": q_stream_feed_mixed_headers,
+    "ingest_totals": q_ingest_totals,
+    "land_batches_replayed": q_land_batches_replayed,
+    "land_batches_rejected": q_land_batches_rejected,
+    "publish_batch_twice": q_publish_batch_twice,
     "result_status": q_result_status,
     "hash_sample_checks": q_hash_sample_checks,
     "workload_run": q_workload_run,
@@ -967,6 +1054,20 @@ WITH {_FEED}
 SELECT count(*) AS records_sent, {_MISSING} AS missing_energy_records FROM records""",
         "ingest_counts": f"""
 WITH {_FEED}
+SELECT count(*) AS records_sent, {_MISSING} AS missing_energy_records,
+       count(*) AS records_stored, CAST(0 AS BIGINT) AS records_rejected FROM records""",
+        "stream_feed_mixed_headers": ORACLE["normalize_feed"],
+        "publish_batch_twice": ORACLE["normalize_feed"],
+        "land_batches_replayed": """
+SELECT CAST(user_id AS VARCHAR) AS LCLid, event_type AS stdorToU,
+       CAST(NULL AS VARCHAR) AS DateTime, value AS energy_kwh
+FROM events WHERE event_id % 17 <> 0""",
+        "land_batches_rejected": """
+SELECT CASE WHEN event_id % 2 = 0 THEN 'not json ' || event_id
+            ELSE '{"other": ' || event_id || '}' END AS message
+FROM events WHERE event_id % 17 = 0""",
+        "ingest_totals": f"""
+WITH {_FEED}
 SELECT count(*) AS records_sent, {_MISSING} AS missing_energy_records,
        count(*) AS records_stored, CAST(0 AS BIGINT) AS records_rejected FROM records""",
         "drop_store_id": ORACLE["clean_readings"],

@@ -57,6 +57,8 @@ def _parser() -> argparse.ArgumentParser:
     feed.add_argument("feed_dir")
     feed.add_argument("records_dir", nargs="?", default=None, help="not for a topic")
     feed.add_argument("--sink-format", default="json", choices=["json", "kafka"])
+    feed.add_argument("--batches", action="store_true",
+                      help="replayable batches with stored counters; each file bound by its own header")
     feed.add_argument("--checkpoint", default=None)
     feed.add_argument("--max-files-per-trigger", type=int, default=None)
     feed.add_argument("--clean-source", default="off", choices=["off", "archive", "delete"])
@@ -67,6 +69,8 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("readings_dir")
     land.add_argument("--source-format", default="json", choices=["json", "text", "kafka"])
     land.add_argument("--rejects", default=None, help="folder for messages that are no record")
+    land.add_argument("--batches", action="store_true",
+                      help="replayable batches with stored counters; readings and --rejects in one pass")
     land.add_argument("--checkpoint", default=None)
     land.add_argument("--max-files-per-trigger", type=int, default=None)
     land.add_argument("--clean-source", default="off", choices=["off", "archive", "delete"])
@@ -100,6 +104,24 @@ def main(argv: list[str] | None = None) -> None:
                                             combined=args.combined, partitions=args.partitions)
             write_result(result, args.out, single_file=True)
             result.show(truncate=False)
+        elif args.command in ("feed", "land") and args.batches:
+            from meterlens.streaming import stream_feed_batches, stream_land_batches
+
+            common = {
+                "checkpoint": args.checkpoint,
+                "max_files_per_trigger": args.max_files_per_trigger,
+                "clean_source": args.clean_source,
+                "archive_dir": args.archive_dir,
+            }
+            if args.command == "feed":
+                query = stream_feed_batches(spark, args.feed_dir, args.records_dir, **common)
+            else:
+                source = None if args.records_dir == "-" else args.records_dir
+                rejects = args.rejects or f"{args.readings_dir.rstrip('/')}_rejected"
+                query = stream_land_batches(spark, source, args.readings_dir, rejects,
+                                            source_format=args.source_format,
+                                            source_options=options, **common)
+            query.awaitTermination()
         elif args.command == "feed":
             from meterlens.streaming import stream_feed_to_records
 

@@ -100,6 +100,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _store(spark: SparkSession, path: str):
+    """(file system, path) of a path, through Spark; not on a Spark Connect client."""
+    sc = _context(spark)
+    if sc is None:
+        raise RuntimeError("a Spark Connect client has no access to the file system")
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _store(spark, path)
+    return store.exists(target)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none when there is no such folder."""
+    store, target = _store(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(target)) if store.exists(target) else []
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder that the library made itself; fails when ``to`` is there."""
+    store, source = _store(spark, path)
+    _, target = _store(spark, to)
+    store.mkdirs(target.getParent())
+    if store.exists(target) or not store.rename(source, target):
+        raise FileExistsError(f"cannot move {path} to {to}")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that the library made itself, through Spark's file system.
 

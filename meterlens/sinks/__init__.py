@@ -1,5 +1,13 @@
-"""Batch sinks: result tables and published records."""
+"""Batch sinks: result tables, published records, batch-keyed tables."""
 
+from meterlens.sinks.batches import batch_counts, ingest_totals, read_batches, write_batch
 from meterlens.sinks.files import publish_readings, write_result
 
-__all__ = ["publish_readings", "write_result"]
+__all__ = [
+    "batch_counts",
+    "ingest_totals",
+    "publish_readings",
+    "read_batches",
+    "write_batch",
+    "write_result",
+]

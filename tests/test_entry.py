@@ -58,7 +58,8 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     srows = sdf.collect()
-    if name != "hash_sample_checks":  # compares two samples
+    # one compares two samples; in the other, lines meet the header of their file
+    if name not in ("hash_sample_checks", "read_raw_feed"):
         assert not [n for n in JOIN_NODES if n in plan_of(sdf)], name  # no joins / broadcasts
     assert sorted(sdf.columns) == sorted(ocols)
     order = sorted(ocols)
