@@ -543,6 +543,47 @@ def q_land_batches_rejected(spark, d):
     return rows.withColumnRenamed("value", "message")
 
 
+def _landed_in_batches(spark, d, n=5):
+    """The feed's records landed in ``n`` batches, with rollup cells and day sketches."""
+    from meterlens.streaming import stream_land_batches
+
+    base = _scratch(spark, "incremental-rollups")
+    feed_records(spark, d).select(F.to_json(F.struct("*"))).repartition(n).write.text(f"{base}/in")
+    stream_land_batches(
+        spark, f"{base}/in", f"{base}/landed", f"{base}/rejected", max_files_per_trigger=1,
+        cells=f"{base}/cells", sketches=f"{base}/sketches",
+    ).awaitTermination()
+    return base
+
+
+def q_incremental_rollups(spark, d):
+    """All six rollups, from the cells of the landed batches."""
+    from meterlens.operators.incremental import stored_rollups
+
+    return _rounded(stored_rollups(spark, f"{_landed_in_batches(spark, d)}/cells"))
+
+
+def q_sketch_bounds_checks(spark, d):
+    """One row: readings in the stored sketches, and whether their quartiles' ranks are within the error."""
+    from meterlens.operators.incremental import SKETCH_K, SKETCHES, stored_bounds
+    from meterlens.sinks import read_batches
+
+    base = _landed_in_batches(spark, d)
+    bounds = stored_bounds(spark, f"{base}/sketches").select(F.struct("q1_kwh", "q3_kwh").alias("b")).scalar()
+    held = read_batches(spark, f"{base}/sketches", SKETCHES).agg(F.sum("n").alias("n")).scalar()
+    e, n, error = F.col(ENERGY), F.count(F.lit(1)), 2.3 / SKETCH_K**0.9
+
+    def close(q, level):
+        return (F.count_if(e < q) / n - error <= level) & (F.count_if(e <= q) / n + error >= level)
+
+    # the feed gives the readings anew, as they have not been read for the bounds
+    return cl.clean_readings(feed_records(spark, d)).agg(
+        n.alias("valid_records"),
+        close(bounds["q1_kwh"], 0.25).alias("q1_close"),
+        close(bounds["q3_kwh"], 0.75).alias("q3_close"),
+    ).select("valid_records", held.alias("sketched_records"), "q1_close", "q3_close")
+
+
 def q_publish_batch_twice(spark, d):
     from meterlens.schema import RECORD_SCHEMA
     from meterlens.sinks import read_batches
@@ -694,6 +735,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_batches_replayed": q_land_batches_replayed,
     "land_batches_rejected": q_land_batches_rejected,
     "publish_batch_twice": q_publish_batch_twice,
+    "incremental_rollups": q_incremental_rollups,
+    "sketch_bounds_checks": q_sketch_bounds_checks,
     "result_status": q_result_status,
     "hash_sample_checks": q_hash_sample_checks,
     "workload_run": q_workload_run,
@@ -1057,6 +1100,13 @@ WITH {_FEED}
 SELECT count(*) AS records_sent, {_MISSING} AS missing_energy_records,
        count(*) AS records_stored, CAST(0 AS BIGINT) AS records_rejected FROM records""",
         "stream_feed_mixed_headers": ORACLE["normalize_feed"],
+        "incremental_rollups": ORACLE["calendar_rollups"]
+        .replace(_EV, f"{_FEED},{_FEED_CLEANED}")
+        .replace("NULL::BIGINT AS LCLid", "NULL::VARCHAR AS LCLid"),
+        "sketch_bounds_checks": f"""
+WITH {_FEED},{_FEED_CLEANED}
+SELECT count(*) AS valid_records, count(*) AS sketched_records, true AS q1_close, true AS q3_close
+FROM cleaned""",
         "publish_batch_twice": ORACLE["normalize_feed"],
         "land_batches_replayed": """
 SELECT CAST(user_id AS VARCHAR) AS LCLid, event_type AS stdorToU,

@@ -52,6 +52,11 @@ def iqr_bounds(cleaned: DataFrame, method: str = "approx", accuracy: int = 1000)
         )
     else:
         raise ValueError("method must be 'approx' or 'exact'")
+    return bounds_from_quartiles(quart)
+
+
+def bounds_from_quartiles(quart: DataFrame) -> DataFrame:
+    """The bounds' row from one of ``q1_kwh, q3_kwh``."""
     iqr = F.col("q3_kwh") - F.col("q1_kwh")
     return quart.select(
         "q1_kwh",

@@ -9,7 +9,7 @@ the calendar rollups follow from the small date-and-hour table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.functions import day_name
@@ -139,18 +139,37 @@ def calendar_cells(cleaned: DataFrame, *more: str) -> DataFrame:
     ).agg(*measures, (gid < F.lit(1 << len(more))).alias("is_cell"))
 
 
-def _merged(count_name: str) -> list[Column]:
-    """:func:`_profile` measures from cells."""
-    n, total = F.sum("n"), F.sum(TOTAL)
-    # deviations around the cells' own means, plus those of the means
-    within = F.sum("squares") + F.sum(F.col(TOTAL) * F.col(TOTAL) / F.col("n")) - total * total / n
+CELL_COLUMNS = (TOTAL, "n", "lo", "hi", "squares")
+
+
+def merge_cells(cells: DataFrame, *keys: str) -> DataFrame:
+    """Cells with the same keys as one: their sums, extremes and squared deviations.
+
+    Deviations are taken around the merged mean, not as a difference of large
+    squares, so a mean that is large against the spread costs no digits.
+    """
+    group = Window.partitionBy(*keys)
+    n = F.nullif(F.col("n"), F.lit(0))
+    mean = F.sum(TOTAL).over(group) / F.nullif(F.sum("n").over(group), F.lit(0))
+    off = F.col(TOTAL) / n - F.col("_mean")
+    return cells.withColumn("_mean", mean).groupBy(*keys).agg(
+        F.sum(TOTAL).alias(TOTAL),
+        F.sum("n").alias("n"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        (F.sum("squares") + F.coalesce(F.sum(n * off * off), F.lit(0.0))).alias("squares"),
+    )
+
+
+def _cell_profile(count_name: str) -> list[Column]:
+    """:func:`_profile` measures of a merged cell."""
+    n = F.col("n")
     return [
-        total.alias(TOTAL),
-        (total / n).alias("average_half_hour_kwh"),
-        F.min("lo").alias("minimum_half_hour_kwh"),
-        F.max("hi").alias("maximum_half_hour_kwh"),
-        F.when(n > 1, F.sqrt(F.greatest(within, F.lit(0.0)) / (n - 1)))
-        .alias("stddev_half_hour_kwh"),
+        F.col(TOTAL),
+        (F.col(TOTAL) / F.nullif(n, F.lit(0))).alias("average_half_hour_kwh"),
+        F.col("lo").alias("minimum_half_hour_kwh"),
+        F.col("hi").alias("maximum_half_hour_kwh"),
+        F.when(n > 1, F.sqrt(F.col("squares") / (n - 1))).alias("stddev_half_hour_kwh"),
         n.alias(count_name),
     ]
 
@@ -163,8 +182,13 @@ def calendar_rollups(cleaned: DataFrame) -> DataFrame:
     households + days + 24 + 7 + months + 1 rows), so callers persist or write
     it once and split it with :func:`split_rollup`.
     """
+    return rollups_from_cells(calendar_cells(cleaned, HOUSEHOLD))
+
+
+def rollups_from_cells(cells: DataFrame) -> DataFrame:
+    """:func:`calendar_rollups` from the cells of ``calendar_cells(cleaned, HOUSEHOLD)``."""
     date = F.col("date")
-    types = {**_KEYS, HOUSEHOLD: cleaned.schema[HOUSEHOLD].dataType}
+    types = {**_KEYS, HOUSEHOLD: cells.schema[HOUSEHOLD].dataType}
     values = {
         "hour": F.col("hour"),
         "date": date,
@@ -183,11 +207,10 @@ def calendar_rollups(cleaned: DataFrame) -> DataFrame:
 
     calendar = [row(name) for name in ROLLUP_SETS if name != "household"]
     sets = F.when(F.col("is_cell"), F.array(*calendar)).otherwise(F.array(row("household")))
-    cells = calendar_cells(cleaned, HOUSEHOLD)
-    rows = cells.select(TOTAL, "n", "lo", "hi", "squares", F.explode(sets).alias("s"))
-    return rows.groupBy(*(F.col(f"s.{k}").alias(k) for k in (*_KEYS, "rollup"))).agg(
-        *_merged("readings")
-    ).select(*_KEYS, *(c for c in PROFILE_COLUMNS), "readings", "rollup")
+    rows = cells.select(*CELL_COLUMNS, F.explode(sets).alias("s"))
+    keys = (*_KEYS, "rollup")
+    rows = rows.select(*(F.col(f"s.{k}").alias(k) for k in keys), *CELL_COLUMNS)
+    return merge_cells(rows, *keys).select(*_KEYS, *_cell_profile("readings"), "rollup")
 
 
 def split_rollup(rollups: DataFrame, name: str) -> DataFrame:

@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterlens.operators.cleaning import normalize_feed
+from meterlens.operators.cleaning import clean_readings, normalize_feed
+from meterlens.operators.incremental import CELL_COUNT, DAY_COUNT, day_sketches, reading_cells
 from meterlens.sinks.batches import BATCH, COUNTS, store_counts, stored_counts, write_batch
 from meterlens.sinks.files import publish_readings
 from meterlens.sources.files import bind_feed_lines, feed_lines, line_headers
@@ -90,13 +91,21 @@ def stream_land_batches(
     available_now: bool = True,
     clean_source: str = "off",
     archive_dir: str | None = None,
+    cells: str | None = None,
+    sketches: str | None = None,
 ) -> StreamingQuery:
     """Messages -> batches of readings (Parquet) and of rejected messages (text), from one pass.
 
-    The messages of a micro-batch are read and parsed once; both tables are
-    written from what was kept of that.  A replay writes the table that is missing, so
-    neither holds a message twice; only then the batch is done, so the source may
+    The messages of a micro-batch are read and parsed once; all tables are
+    written from what was kept of that.  A replay writes the tables that are missing, so
+    none holds a message twice; only then the batch is done, so the source may
     archive or delete its files.
+
+    ``cells`` and ``sketches`` are folders of two more tables: the batch's rollup cells
+    and its quantile sketches by day
+    (:func:`~meterlens.operators.incremental.stored_rollups`,
+    :func:`~meterlens.operators.incremental.stored_bounds`), from which rollups and
+    anomaly bounds follow without reading the readings again.
     """
     options = dict(source_options or {})
     if source_format != "kafka":
@@ -107,7 +116,8 @@ def stream_land_batches(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        if all(stored_counts(session, t, batch_id) is not None for t in (target, rejects)):
+        tables = [t for t in (target, rejects, cells, sketches) if t]
+        if all(stored_counts(session, t, batch_id) is not None for t in tables):
             return
         # kept for the second table; what a lost executor held is read again
         tagged = split_messages(batch)[0].persist(StorageLevel.MEMORY_AND_DISK)
@@ -118,6 +128,12 @@ def stream_land_batches(
             refused = tagged.filter("bad").select("value")
             counter = {REJECT_COUNTS[0]: F.count(F.lit(1))}
             write_batch(refused, rejects, batch_id, counter, fmt="text")
+            if cells or sketches:
+                cleaned = clean_readings(records)
+            if cells:
+                write_batch(reading_cells(cleaned), cells, batch_id, {CELL_COUNT: F.count(F.lit(1))})
+            if sketches:
+                write_batch(day_sketches(cleaned), sketches, batch_id, {DAY_COUNT: F.count(F.lit(1))})
         finally:
             tagged.unpersist()
 
