@@ -584,6 +584,27 @@ def q_sketch_bounds_checks(spark, d):
     ).select("valid_records", held.alias("sketched_records"), "q1_close", "q3_close")
 
 
+def _store(spark, d):
+    """The feed's cleaned readings as a typed table."""
+    from meterlens.sinks import read_store, store_readings
+
+    path = _scratch(spark, "store")
+    store_readings(cl.clean_readings(feed_records(spark, d)), path, files=8)
+    return read_store(spark, path)
+
+
+def q_store_household(spark, d):
+    return cl.select_household(_store(spark, d), "42")
+
+
+def q_store_hourly(spark, d):
+    """Hourly consumption of ten days, from the typed table."""
+    from meterlens.sinks import between_days
+
+    days = _store(spark, d).filter(between_days("2024-01-05", "2024-01-14"))
+    return _rounded(ru.hourly_consumption(days))
+
+
 def q_publish_batch_twice(spark, d):
     from meterlens.schema import RECORD_SCHEMA
     from meterlens.sinks import read_batches
@@ -735,6 +756,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_batches_replayed": q_land_batches_replayed,
     "land_batches_rejected": q_land_batches_rejected,
     "publish_batch_twice": q_publish_batch_twice,
+    "store_household": q_store_household,
+    "store_hourly": q_store_hourly,
     "incremental_rollups": q_incremental_rollups,
     "sketch_bounds_checks": q_sketch_bounds_checks,
     "result_status": q_result_status,
@@ -1100,6 +1123,13 @@ WITH {_FEED}
 SELECT count(*) AS records_sent, {_MISSING} AS missing_energy_records,
        count(*) AS records_stored, CAST(0 AS BIGINT) AS records_rejected FROM records""",
         "stream_feed_mixed_headers": ORACLE["normalize_feed"],
+        "store_household": f"""
+WITH {_FEED},{_FEED_CLEANED}
+SELECT * FROM cleaned WHERE LCLid = '42'""",
+        "store_hourly": f"""
+WITH {_FEED},{_FEED_CLEANED}
+SELECT hour, round(sum(energy_kwh), 6) AS total_energy_kwh FROM cleaned
+WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-14' GROUP BY hour""",
         "incremental_rollups": ORACLE["calendar_rollups"]
         .replace(_EV, f"{_FEED},{_FEED_CLEANED}")
         .replace("NULL::BIGINT AS LCLid", "NULL::VARCHAR AS LCLid"),

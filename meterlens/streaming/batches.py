@@ -24,6 +24,7 @@ from meterlens.operators.cleaning import clean_readings, normalize_feed
 from meterlens.operators.incremental import CELL_COUNT, DAY_COUNT, day_sketches, reading_cells
 from meterlens.sinks.batches import BATCH, COUNTS, store_counts, stored_counts, write_batch
 from meterlens.sinks.files import publish_readings
+from meterlens.sinks.readings import layout, layout_options
 from meterlens.sources.files import bind_feed_lines, feed_lines, line_headers
 from meterlens.streaming.ingest import (
     MESSAGE,
@@ -38,6 +39,7 @@ from meterlens.streaming.ingest import (
 FEED_COUNTS = ["records_sent", "missing_energy_records"]
 LANDING_COUNTS = ["records_stored", "missing_energy_records"]
 REJECT_COUNTS = ["records_rejected"]
+STORE_COUNTS = ["valid_records"]
 
 
 def _feed_measures() -> dict[str, Column]:
@@ -91,6 +93,7 @@ def stream_land_batches(
     available_now: bool = True,
     clean_source: str = "off",
     archive_dir: str | None = None,
+    store: str | None = None,
     cells: str | None = None,
     sketches: str | None = None,
 ) -> StreamingQuery:
@@ -101,8 +104,9 @@ def stream_land_batches(
     none holds a message twice; only then the batch is done, so the source may
     archive or delete its files.
 
-    ``cells`` and ``sketches`` are folders of two more tables: the batch's rollup cells
-    and its quantile sketches by day
+    ``store``, ``cells`` and ``sketches`` are folders of three more tables: the batch's
+    cleaned readings, typed and laid out for lookups
+    (:mod:`meterlens.sinks.readings`), its rollup cells and its quantile sketches by day
     (:func:`~meterlens.operators.incremental.stored_rollups`,
     :func:`~meterlens.operators.incremental.stored_bounds`), from which rollups and
     anomaly bounds follow without reading the readings again.
@@ -114,9 +118,9 @@ def stream_land_batches(
         options["maxFilesPerTrigger"] = str(max_files_per_trigger)
     messages = read_messages(spark, source, source_format, options)
 
-    def store(batch: DataFrame, batch_id: int) -> None:
+    def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        tables = [t for t in (target, rejects, cells, sketches) if t]
+        tables = [t for t in (target, rejects, store, cells, sketches) if t]
         if all(stored_counts(session, t, batch_id) is not None for t in tables):
             return
         # kept for the second table; what a lost executor held is read again
@@ -128,8 +132,10 @@ def stream_land_batches(
             refused = tagged.filter("bad").select("value")
             counter = {REJECT_COUNTS[0]: F.count(F.lit(1))}
             write_batch(refused, rejects, batch_id, counter, fmt="text")
-            if cells or sketches:
-                cleaned = clean_readings(records)
+            cleaned = clean_readings(records)
+            if store:
+                measure = {STORE_COUNTS[0]: F.count(F.lit(1))}
+                write_batch(layout(cleaned), store, batch_id, measure, options=layout_options())
             if cells:
                 write_batch(reading_cells(cleaned), cells, batch_id, {CELL_COUNT: F.count(F.lit(1))})
             if sketches:
@@ -137,7 +143,7 @@ def stream_land_batches(
         finally:
             tagged.unpersist()
 
-    return _stream(messages, store, sink_checkpoint(target, checkpoint), available_now)
+    return _stream(messages, land, sink_checkpoint(target, checkpoint), available_now)
 
 
 def publish_batch(
