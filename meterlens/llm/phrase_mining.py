@@ -48,7 +48,10 @@ RANKED, MERGED = 100_000, 32
 NO_LANGUAGE = "und"
 
 TOKENS = "shard int, lang string, n_words long, vocabulary array<string>, words array<int>"
-COUNTED = "lang string, size int, phrase string, hash long, active int, n long"
+#: A key is the language, a tab and the phrase (which holds none): one string to compare.
+COUNTED = "key string, active int, n long"
+#: Text of one language numbered together.
+RUN_BYTES = 2 * SLICE_BYTES
 #: Characters that end a piece, and blanks besides 20.
 ENDS, TAB = b".,;:!?\n\x0b\x0c\r", b"\t"
 _ONE_END = bytes.maketrans(ENDS + TAB, b"." * len(ENDS) + b" ")
@@ -105,7 +108,7 @@ def token_rows(docs: DataFrame, text_col: str, lang_col: str, shards: int) -> Da
                     if text:
                         held.setdefault(lang, []).append(text)
                         size[lang] = size.get(lang, 0) + len(text)
-                for lang in [name for name, n in size.items() if n >= SLICE_BYTES]:
+                for lang in [name for name, n in size.items() if n >= RUN_BYTES]:
                     yield row(lang)
         for lang in list(held):
             yield row(lang)
@@ -119,6 +122,11 @@ def token_rows(docs: DataFrame, text_col: str, lang_col: str, shards: int) -> Da
 # --------------------------------------------------------------------------
 
 
+def word_hash(lang: str, words: list[str]) -> np.ndarray:
+    seed = xxhash.xxh64_intdigest(lang.encode())
+    return np.array([xxhash.xxh64_intdigest(w.encode(), seed) for w in words], np.uint64)
+
+
 def mix(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of a phrase and one more word."""
     h = (h ^ (word + np.uint64(0x9E3779B97F4A7C15) + (h << np.uint64(6)) + (h >> np.uint64(2))))
@@ -141,10 +149,8 @@ def groups(ids: np.ndarray, at: np.ndarray, size: int, h: np.ndarray) -> tuple[n
 
 
 def scan_row(lang: str, vocabulary: pa.Array, ids: np.ndarray, reached: np.ndarray, stop: int, cycle: int):
-    """(size, phrases, hashes, active since, counts) of what this stop counts in one row."""
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    words = np.array([xxhash.xxh64_intdigest(w.encode(), seed) for w in vocabulary.to_pylist()], np.uint64)
-    words = np.append(words, np.uint64(0))  # for place -1
+    """(keys, active since, counts) of what this stop counts in one row, for each length."""
+    words = np.append(word_hash(lang, vocabulary.to_pylist()), np.uint64(0))  # 0: place -1
     mask = np.uint64(len(reached) - 1)
     at = np.flatnonzero(ids >= 0)  # beginnings of phrases
     h = words[ids[at]]
@@ -153,11 +159,9 @@ def scan_row(lang: str, vocabulary: pa.Array, ids: np.ndarray, reached: np.ndarr
         counted = np.flatnonzero((active < stop) & (stop <= active.astype(np.int64) + cycle))
         if len(counted):
             rep, n = groups(ids, at[counted], size, h[counted])
-            phrase = vocabulary.take(pa.array(ids[rep]))
-            for k in range(1, size):
-                phrase = pc.binary_join_element_wise(phrase, vocabulary.take(pa.array(ids[rep + k])), " ")
-            where = np.searchsorted(at, rep)
-            yield size, phrase, h[where], active[where], n
+            parts = [vocabulary.take(pa.array(ids[rep + k])) for k in range(size)]
+            phrase = pc.binary_join_element_wise(*parts, " ")
+            yield pc.binary_join_element_wise(lang, phrase, "\t"), active[np.searchsorted(at, rep)], n
         if size == LONGEST or not len(at):
             return
         # a longer phrase begins where this one reached and the next place's one did too
@@ -181,22 +185,32 @@ def scan(tokens: DataFrame, used: np.ndarray, stops: np.ndarray, stop: int, cycl
                 lang = batch.column("lang")[i].as_py()
                 vocabulary = batch.column("vocabulary")[i].values
                 ids = batch.column("words")[i].values.to_numpy()
-                for size, phrase, h, active, n in scan_row(lang, vocabulary, ids, reached, stop, cycle):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang]).take(pa.array(np.zeros(len(n), np.int32))),
-                            pa.array(np.full(len(n), size, np.int32)),
-                            phrase,
-                            pa.array(h.view(np.int64)),
-                            pa.array(active.astype(np.int32)),
-                            pa.array(n.astype(np.int64)),
-                        ],
-                        names=[f.split()[0] for f in COUNTED.split(", ")],
-                    )
+                for key, active, n in scan_row(lang, vocabulary, ids, reached, stop, cycle):
+                    columns = [key, pa.array(active.astype(np.int32)), pa.array(n.astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "active", "n"])
 
     return tokens.select("lang", "vocabulary", "words").mapInArrow(count, COUNTED)
 
 
+def slots_of(frequent: DataFrame, slots: int) -> DataFrame:
+    """The slots of phrases that a longer one can be made of (column ``key``)."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_size: dict[int, list[np.ndarray]] = {}
+            for key in batch.column("key").to_pylist():
+                lang, phrase = key.rsplit("\t", 1)
+                words = word_hash(lang, phrase.split(" "))
+                by_size.setdefault(len(words), []).append(words)
+            for size, rows in by_size.items():
+                if size < LONGEST:
+                    h = reduce(mix, np.stack(rows, axis=1))
+                    at = (h & np.uint64(slots - 1)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(at)], names=["slot"])
+
+    return frequent.select("key").mapInArrow(find, "slot int").distinct()
+
+
 # --------------------------------------------------------------------------
 # dynamic itemset counting
 # --------------------------------------------------------------------------
@@ -225,31 +239,32 @@ def frequent_phrases(
     while stop < last + shards:
         stop += 1
         found = scan(tokens.filter(F.col("shard") == stop % shards), used, stops, stop, shards, slots)
-        found = found.withColumn("reached", F.lit(None).cast("int"))
         if totals is not None:
             found = found.unionByName(totals)
-        found = found.groupBy("lang", "size", "phrase", "hash", "active").agg(
-            F.sum("n").alias("n"), F.min("reached").alias("reached")
-        )
-        enough = F.col("n") >= least
-        found = found.withColumn("reached", F.coalesce("reached", F.when(enough, F.lit(stop))))
+        found = found.groupBy("key", "active").agg(F.sum("n").alias("n"))
         # a phrase that completed its cycle below the threshold is done with
+        enough = F.col("n") >= least
         found = found.filter(enough | (F.col("active") + shards > stop))
         before, stored = stored, scratch_path(spark, "phrase-counts")
         found.write.parquet(stored)
-        totals = spark.read.schema(found.schema).parquet(stored)
+        totals = spark.read.schema(COUNTED).parquet(stored)
         if before:
             remove_path(spark, before)
-        slot = F.col("hash").bitwiseAND(F.lit(slots - 1)).alias("slot")
-        new = totals.filter((F.col("reached") == stop) & (F.col("size") < LONGEST))
-        new = np.sort(new.select(slot).distinct().toArrow().column("slot").to_numpy())
-        new = np.setdiff1d(new, used, assume_unique=True)
+        new = slots_of(totals.filter(enough), slots).toArrow().column("slot").to_numpy()
+        new = np.setdiff1d(new, used)
         if len(new):
             used = np.concatenate([used, new])
             stops = np.concatenate([stops, np.full(len(new), stop, np.uint8)])
             last = stop
     remove_path(spark, path)
-    return totals.filter(F.col("n") >= least).select("lang", "size", "phrase", "n"), sizes
+    phrase = F.substring_index("key", "\t", -1)
+    frequent = totals.filter(F.col("n") >= least).select("key", phrase.alias("phrase"), "n")
+    return frequent.select(
+        F.expr("left(key, length(key) - length(phrase) - 1)").alias("lang"),
+        F.size(F.split("phrase", " ")).alias("size"),
+        "phrase",
+        "n",
+    ), sizes
 
 
 def exact_score(a: Column, n: Column, left: Column, right: Column) -> Column:
