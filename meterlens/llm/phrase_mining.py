@@ -24,7 +24,7 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -47,7 +47,9 @@ NEVER = 255
 RANKED, MERGED = 100_000, 32
 NO_LANGUAGE = "und"
 
-TOKENS = "shard int, lang string, n_words long, vocabulary array<string>, words array<int>"
+TOKENS = (
+    "shard int, lang string, n_words long, vocabulary array<string>, hashes array<long>, words array<int>"
+)
 #: A key is the language, a tab and the phrase (which holds none): one string to compare.
 COUNTED = "key string, active int, n long"
 #: Text of one language numbered together.
@@ -62,6 +64,11 @@ _ONE_END = bytes.maketrans(ENDS + TAB, b"." * len(ENDS) + b" ")
 # --------------------------------------------------------------------------
 
 
+def word_hash(lang: str, words: Iterable[bytes]) -> np.ndarray:
+    seed = xxhash.xxh64_intdigest(lang.encode())
+    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
+
+
 def split_pieces(texts: list[str]) -> list[bytes]:
     """Words of all texts in lower case (A-Z), with ``.`` between pieces and texts."""
     joined = "\n".join(texts).encode().lower().translate(_ONE_END)
@@ -88,6 +95,7 @@ def token_rows(docs: DataFrame, text_col: str, lang_col: str, shards: int) -> Da
             place.pop(b".", None)
             place = {w: i for i, w in enumerate(place)}
             vocabulary = pa.array([w.decode() for w in place], pa.string())
+            hashes = word_hash(lang, place)
             place[b"."] = -1
             ids = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
             made += 1
@@ -97,6 +105,7 @@ def token_rows(docs: DataFrame, text_col: str, lang_col: str, shards: int) -> Da
                     pa.array([lang]),
                     pa.array([int(np.count_nonzero(ids >= 0))], pa.int64()),
                     pa.ListArray.from_arrays([0, len(vocabulary)], vocabulary),
+                    pa.ListArray.from_arrays([0, len(vocabulary)], pa.array(hashes.view(np.int64))),
                     pa.ListArray.from_arrays([0, len(ids)], pa.array(ids)),
                 ],
                 names=[f.split()[0] for f in TOKENS.split(", ")],
@@ -122,11 +131,6 @@ def token_rows(docs: DataFrame, text_col: str, lang_col: str, shards: int) -> Da
 # --------------------------------------------------------------------------
 
 
-def word_hash(lang: str, words: list[str]) -> np.ndarray:
-    seed = xxhash.xxh64_intdigest(lang.encode())
-    return np.array([xxhash.xxh64_intdigest(w.encode(), seed) for w in words], np.uint64)
-
-
 def mix(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of a phrase and one more word."""
     h = (h ^ (word + np.uint64(0x9E3779B97F4A7C15) + (h << np.uint64(6)) + (h >> np.uint64(2))))
@@ -139,18 +143,24 @@ def groups(ids: np.ndarray, at: np.ndarray, size: int, h: np.ndarray) -> tuple[n
 
     Phrases are told apart by their words; their hashes bring equal ones together.
     """
-    _, first, inverse, counts = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-    rep = at[first]
-    if all((ids[at + k] == ids[rep[inverse] + k]).all() for k in range(size)):
-        return rep, counts
+    order = np.argsort(h)
+    at, h = at[order], h[order]
+    starts = np.r_[True, h[1:] != h[:-1]]
+    inner = ~starts[1:]  # the same hash as the one before
+    words = (ids[at + k] for k in range(size))
+    if all((w[1:] == w[:-1])[inner].all() for w in words):
+        first = np.flatnonzero(starts)
+        return at[first], np.diff(np.r_[first, len(at)])
     rows = np.stack([ids[at + k] for k in range(size)], axis=1)
     _, first, counts = np.unique(rows, axis=0, return_index=True, return_counts=True)
     return at[first], counts
 
 
-def scan_row(lang: str, vocabulary: pa.Array, ids: np.ndarray, reached: np.ndarray, stop: int, cycle: int):
-    """(keys, active since, counts) of what this stop counts in one row, for each length."""
-    words = np.append(word_hash(lang, vocabulary.to_pylist()), np.uint64(0))  # 0: place -1
+def scan_row(lang: str, vocabulary: pa.Array, words: np.ndarray, ids: np.ndarray, reached: np.ndarray, stop: int, cycle: int):
+    """(keys, active since, counts) of what this stop counts in one row, for each length.
+
+    ``words`` are the hashes of the vocabulary.
+    """
     mask = np.uint64(len(reached) - 1)
     at = np.flatnonzero(ids >= 0)  # beginnings of phrases
     h = words[ids[at]]
@@ -166,7 +176,10 @@ def scan_row(lang: str, vocabulary: pa.Array, ids: np.ndarray, reached: np.ndarr
             return
         # a longer phrase begins where this one reached and the next place's one did too
         # (its slot may be set earlier, by another phrase, than it is active itself)
-        since = np.maximum(reached[(h & mask).astype(np.int64)], active)
+        if size == 1:
+            since = reached[(words & mask).astype(np.int64)][ids[at]]
+        else:
+            since = np.maximum(reached[(h & mask).astype(np.int64)], active)
         both = (at[1:] == at[:-1] + 1) & (since[:-1] != NEVER) & (since[1:] != NEVER)
         follows = np.flatnonzero(both)
         active = np.maximum(since[follows], since[follows + 1])
@@ -184,12 +197,13 @@ def scan(tokens: DataFrame, used: np.ndarray, stops: np.ndarray, stop: int, cycl
             for i in range(batch.num_rows):
                 lang = batch.column("lang")[i].as_py()
                 vocabulary = batch.column("vocabulary")[i].values
+                words = batch.column("hashes")[i].values.to_numpy().view(np.uint64)
                 ids = batch.column("words")[i].values.to_numpy()
-                for key, active, n in scan_row(lang, vocabulary, ids, reached, stop, cycle):
+                for key, active, n in scan_row(lang, vocabulary, words, ids, reached, stop, cycle):
                     columns = [key, pa.array(active.astype(np.int32)), pa.array(n.astype(np.int64))]
                     yield pa.RecordBatch.from_arrays(columns, names=["key", "active", "n"])
 
-    return tokens.select("lang", "vocabulary", "words").mapInArrow(count, COUNTED)
+    return tokens.select("lang", "vocabulary", "hashes", "words").mapInArrow(count, COUNTED)
 
 
 def slots_of(frequent: DataFrame, slots: int) -> DataFrame:
@@ -200,7 +214,7 @@ def slots_of(frequent: DataFrame, slots: int) -> DataFrame:
             by_size: dict[int, list[np.ndarray]] = {}
             for key in batch.column("key").to_pylist():
                 lang, phrase = key.rsplit("\t", 1)
-                words = word_hash(lang, phrase.split(" "))
+                words = word_hash(lang, phrase.encode().split(b" "))
                 by_size.setdefault(len(words), []).append(words)
             for size, rows in by_size.items():
                 if size < LONGEST:

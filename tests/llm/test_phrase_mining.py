@@ -116,7 +116,7 @@ def test_phrases_of_one_hash_are_told_apart():
     at = np.array([0, 2, 4])
     rep, n = pm.groups(ids, at, 2, np.zeros(3, np.uint64))
     assert sorted(zip(ids[rep + 1].tolist(), n.tolist(), strict=True)) == [(1, 2), (2, 1)]
-    rows = list(pm.scan_row("en", pa.array(["a", "b", "c"]), ids, np.full(64, pm.NEVER, np.uint8), 1, 4))
+    rows = list(pm.scan_row("en", pa.array(["a", "b", "c"]), pm.word_hash("en", [b"a", b"b", b"c"]), ids, np.full(64, pm.NEVER, np.uint8), 1, 4))
     assert [dict(zip(keys.to_pylist(), n.tolist(), strict=True)) for keys, _, n in rows] == [
         {"en\ta": 3, "en\tb": 2, "en\tc": 1}
     ]
