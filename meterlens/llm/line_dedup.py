@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.llm.common import staged
@@ -67,8 +67,10 @@ def repeated_lines(occurrences: DataFrame, min_docs: int) -> DataFrame:
     """``(h1, h2, keep_doc)`` of the hashes found in at least ``min_docs`` documents."""
     ranged = occurrences.select("h1", "h2", "doc_id", "pos").repartitionByRange("h1", "h2", "doc_id")
     ordered = ranged.sortWithinPartitions("h1", "h2", "doc_id", "pos")
-    # the range keeps a hash's document together: no exchange for the first occurrence
-    first = ordered.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("pos"))
+    # the range keeps a hash's document together and the sort serves the window: first
+    # occurrences stream by, with neither an exchange nor a sort of their own
+    in_line = Window.partitionBy("h1", "h2", "doc_id").orderBy("pos")
+    first = ordered.withColumn("before", F.lag("pos").over(in_line)).filter("before is null")
     totals = first.groupBy("h1", "h2").agg(
         F.count("*").alias("docs"), F.max("doc_id").alias("keep_doc")
     )
