@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import namedtuple
 from collections.abc import Iterator
+from itertools import accumulate
 from math import log2
 
 import pyarrow as pa
@@ -89,6 +91,18 @@ def entropy_windows(run: str, window: int, bits: float) -> list[tuple[int, int]]
     return found
 
 
+class Cover:
+    """Spans in order of their starts; tells by one bisection whether one of them holds a span."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts = [s for s, _ in spans]
+        self.reach = list(accumulate((e for _, e in spans), max))
+
+    def holds(self, start: int, end: int) -> bool:
+        i = bisect_right(self.starts, start)
+        return i > 0 and self.reach[i - 1] >= end
+
+
 class Scanner:
     """Compiled parameters; ``scan`` gives (base spans, entropy spans) of one text."""
 
@@ -108,23 +122,25 @@ class Scanner:
             base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text, *run.span())]
             base += [(m.start(), 2, m.end()) for m in HEX.finditer(text, *run.span())]
         base.sort()
+        cover = Cover([(s, e) for s, _, e in base])
         added = []
         for run in runs:
             if self.allow.fullmatch(run[0]):
                 continue
-            seen: list[tuple[int, int]] = []
+            seen: list[Cover] = []  # the spans of each class before, in order
             for order, (kind, pattern) in enumerate(self.classes):
+                found: list[tuple[int, int]] = []
                 for m in pattern.finditer(run[0]):
                     if self.allow.fullmatch(m[0]):
                         continue
                     for a, b in entropy_windows(m[0], kind.window, kind.bits):
                         a, b = run.start() + m.start() + a, run.start() + m.start() + b
-                        if any(s <= a and b <= e for s, _, e in base) or any(
-                            s <= a and b <= e for s, e in seen
-                        ):
+                        # spans of one class don't touch, so only other classes can hold them
+                        if cover.holds(a, b) or any(c.holds(a, b) for c in seen):
                             continue
-                        seen.append((a, b))
+                        found.append((a, b))
                         added.append((a, len(BASE_KINDS) + order, b))
+                seen.append(Cover(found))
         return base, added
 
     def kind(self, order: int) -> str:
