@@ -284,7 +284,7 @@ def item_blocks(items: DataFrame, id_col="item_id", text_col="text", window: int
     """Blocks of items, each collected under the size bound."""
     items = items.select(
         items[id_col].cast("string").alias("item_id"), items[text_col].cast("string").alias("text")
-    ).filter("item_id is not null and text is not null")
+    ).filter("item_id is not null and text is not null").distinct()
     chars = items.agg(F.sum(F.length("text") + F.length("item_id"))).first()[0] or 0
     n = -(-int(chars) // BLOCK_CHARS) or 1
     slot = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))

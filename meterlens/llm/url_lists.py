@@ -124,6 +124,8 @@ def evaluate_captures(
         F.max(F.when(~F.col("allows"), weight)).alias("block"),
         F.max(F.when(F.col("allows"), weight)).alias("allow"),
     )
+    # a table of its own, so that the join can split a url with many captures on one day
+    verdicts = staged(verdicts, "url-verdicts")
     return rows.join(verdicts, ["url", "fetched"], "left").select(
         "page_id",
         "url",
