@@ -11,10 +11,13 @@ third of all pages is no hot key.
 
 The second pass walks each page beside its host's template.  A class is valid
 on a page if its tokens come in the template's order there.  Text blocks of
-valid classes are template; the others are slots.  Slots inside menus, headers,
+valid classes are template; the others are slots.  Blocks inside menus, headers,
 footers, side bars, notices, adverts, forms, scripts and reader comments go, by
-element, role and class name; of the rest, those in the article (else the main
-element, else all) are the text.
+element, role and whole class name.  Of the rest, those in the article (else the
+main element) are the text.  On a page without such an element the container of
+all slots is the article: template text outside it is the host's frame and
+goes, template text beside the slots stays, as it is an article's own when
+many pages of a host are copies of one.
 
 Defined results: a null or empty page has an empty text; a null url is a host
 of its own; unclosed and cut-off markup is closed where HTML closes it; repeated
@@ -34,8 +37,9 @@ from pyspark.sql import functions as F
 
 from meterlens.llm.common import slices, staged
 
-#: A template needs this many pages of a host, and a class this share of them.
-MIN_PAGES = 8
+#: A class needs this share of a host's pages.  Two pages are the least to compare: the
+#: template of a single one is all of it, which leaves no slot and so drops nothing.
+MIN_PAGES = 2
 MIN_SHARE = 0.9
 
 TAG = re.compile(
@@ -84,32 +88,44 @@ BOILER_NAMES = frozenset(
 
 #: Kinds that often hold article elements of their own (each comment, each teaser).
 OWN_ARTICLES = frozenset("comment comments respond disqus related recommended".split())
-#: A name word right behind one of these tells of a kind and is not of it.
-MODIFIERS = frozenset("has no with without".split())
+HEADER_NAMES = frozenset(("header", "page"))
+#: Words for a part of a page, which leave a name's kind as it is (ad-box, comment-list).
+PART_WORDS = frozenset(
+    "area articles bar block body bottom box button buttons container content form global group inner left "
+    "links list main outer panel posts primary right secondary section site slot top unit wrap wrapper".split()
+)
+#: Elements inside a text's flow; what encloses them is a container.
+FLOW = frozenset(
+    "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure "
+    "figcaption".split()
+)
 
 
 class Block:
     """A text block, or an element's start, at a path.
 
-    ``named`` numbers the enclosing elements that only their name, role or form tag
-    calls boilerplate; ``content`` marks the start of an article or main element.
+    ``named`` is the number of the innermost enclosing element that only its name,
+    role or form tag calls boilerplate (-1: none); ``content`` marks the start of an
+    article or main element.
     """
 
-    __slots__ = ("path", "text", "dropped", "article", "main", "named", "content")
+    __slots__ = ("path", "text", "dropped", "article", "main", "named", "content", "element")
 
-    def __init__(self, path, text, dropped, article, main, named=(), content=False):
+    def __init__(self, path, text, dropped, article, main, named=-1, content=False, element=None):
         self.path, self.text = path, text
         self.dropped, self.article, self.main = dropped, article, main
-        self.named, self.content = named, content
+        self.named, self.content, self.element = named, content, element
 
 
 class Element:
-    __slots__ = ("name", "path", "dropped", "article", "main", "named")
+    """An element of a page, with the numbers of its first block and of the one behind it."""
+
+    __slots__ = ("name", "path", "dropped", "article", "main", "named", "parent", "start", "end")
 
-    def __init__(self, name, path, dropped, article, main, named=()):
+    def __init__(self, name, path, dropped, article, main, named=-1, parent=None, start=0):
         self.name, self.path = name, path
         self.dropped, self.article, self.main = dropped, article, main
-        self.named = named
+        self.named, self.parent, self.start, self.end = named, parent, start, start
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -118,12 +134,20 @@ def attributes(source: str) -> dict[str, str]:
     }
 
 
-def name_words(attrs: dict[str, str]) -> set[str]:
-    """Words of class and id, without those behind a modifier (has-sidebar, no-menu)."""
+def names(attrs: dict[str, str]) -> list[list[str]]:
+    """Words of each class name and of the id."""
+    return [LABEL_WORD.findall(x) for x in f"{attrs.get('class', '')} {attrs.get('id', '')}".split()]
+
+
+def name_words(attrs: dict[str, str], kinds=BOILER_NAMES) -> set[str]:
+    """The ``kinds`` named by whole class names and ids, alone or with words for parts of a page.
+
+    So ad-box is an advert, but share-price, related-work and has-sidebar name no kind.
+    """
     found = set()
-    for label in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
-        parts = LABEL_WORD.findall(label)
-        found.update(w for before, w in zip(["", *parts], parts, strict=False) if before not in MODIFIERS)
+    for words in names(attrs):
+        if all(w in kinds or w in PART_WORDS for w in words):
+            found.update(w for w in words if w in kinds)
     return found
 
 
@@ -136,32 +160,46 @@ def only_named(name: str, attrs: dict[str, str]) -> bool:
 
 def may_be_layout(name: str, attrs: dict[str, str]) -> bool:
     """A compound name (main-menu-wrapper) or a form may be that of the page's layout."""
-    labels = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
-    return not (name_words(attrs) & OWN_ARTICLES or any(x in BOILER_NAMES for x in labels))
+    single = any(len(words) == 1 and words[0] in BOILER_NAMES for words in names(attrs))
+    return not (name_words(attrs) & OWN_ARTICLES or single)
 
 
-def free_layout(blocks: list[Block], layout: set[int], own: set[int]) -> None:
+def free_layout(blocks: list[Block], parents: dict[int, int], layout: set[int], own: set[int]) -> None:
     """An element that encloses the page's only article or main element is no boilerplate.
 
     If no such element stands outside boilerplate, layout elements around one are
     freed; if no text is left at all, elements of any name are, the ``own`` ones
-    (comments, teasers) last.
+    (comments, teasers) last.  ``parents`` leads from each named element to the next one out.
     """
+    free: set[int] = set()
+    held = dict.fromkeys([-1], False)  # whether an element or one around it is still boilerplate
+
+    def hold() -> None:
+        for n, parent in parents.items():  # in page order, so the outer ones come first
+            held[n] = n not in free or held[parent]
 
     def freed(which) -> None:
-        free = {n for b in blocks if b.content and not b.dropped for n in b.named if which(n)}
+        seen = {-1}
         for b in blocks:
-            b.named = tuple(n for n in b.named if n not in free)
-
-    if not any(b.named for b in blocks):
+            if b.content and not b.dropped:
+                n = b.named
+                while n not in seen:
+                    seen.add(n)
+                    if which(n):
+                        free.add(n)
+                    n = parents[n]
+        hold()
+
+    if not parents:
         return
-    if not any(b.content and not b.dropped and not b.named for b in blocks):
+    hold()
+    if not any(b.content and not b.dropped and not held[b.named] for b in blocks):
         freed(layout.__contains__)
     for which in (lambda n: n not in own, own.__contains__):
-        if not any(b.text is not None and not b.dropped and not b.named for b in blocks):
+        if not any(b.text is not None and not b.dropped and not held[b.named] for b in blocks):
             freed(which)
     for b in blocks:
-        b.dropped = b.dropped or bool(b.named)
+        b.dropped = b.dropped or held[b.named]
 
 
 def is_boiler(name: str, attrs: dict[str, str], inside_content: bool) -> bool:
@@ -169,13 +207,12 @@ def is_boiler(name: str, attrs: dict[str, str], inside_content: bool) -> bool:
         return True
     if name in CONTENT or name in ("html", "body"):
         return False
-    words = name_words(attrs)
-    if words & BOILER_NAMES or attrs.get("role") in BOILER_ROLES:
+    if name_words(attrs) or attrs.get("role") in BOILER_ROLES:
         return True
     if "style" in attrs and HIDDEN.search(attrs["style"]):
         return True
     # a page's header is not an article's
-    return (name == "header" or "header" in words) and not inside_content
+    return not inside_content and (name == "header" or bool(name_words(attrs, HEADER_NAMES) & {"header"}))
 
 
 def page_blocks(page: str | None) -> list[Block]:
@@ -184,6 +221,8 @@ def page_blocks(page: str | None) -> list[Block]:
     root = Element("", "", False, False, False)
     stack = [root]
     held: list[str] = []
+    open_at: dict[str, list[int]] = {}  # depths of the open elements by name
+    parents: dict[int, int] = {}  # named elements, each with the next one out
     layout: set[int] = set()  # numbers of named elements that may be the page's layout
     own: set[int] = set()  # numbers of those that often hold articles of their own
 
@@ -193,16 +232,22 @@ def page_blocks(page: str | None) -> list[Block]:
             held.clear()
             if text:
                 top = stack[-1]
-                out.append(Block(top.path, text, top.dropped, top.article, top.main, top.named))
+                out.append(Block(top.path, text, top.dropped, top.article, top.main, top.named, element=top))
 
-    def close(names, stops) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].name in names:
-                flush()
-                del stack[depth:]
-                return
-            if stack[depth].name in stops:
-                return
+    def cut(depth: int) -> None:
+        flush()
+        for element in stack[depth:]:
+            element.end = len(out)
+            open_at[element.name].pop()
+        del stack[depth:]
+
+    def innermost(which) -> int:
+        return max((open_at[x][-1] for x in which if open_at.get(x)), default=0)
+
+    def close(ended, stops) -> None:
+        depth = innermost(ended)
+        if depth > innermost(stops):
+            cut(depth)
 
     page = page or ""
     at, n = 0, len(page)
@@ -221,8 +266,7 @@ def page_blocks(page: str | None) -> list[Block]:
             if name in INLINE:
                 # only an inline element that hides its text was put on the stack
                 if stack[-1].name == name:
-                    flush()
-                    stack.pop()
+                    cut(len(stack) - 1)
             elif name not in VOID:
                 flush()
                 close((name,), ())
@@ -260,18 +304,21 @@ def page_blocks(page: str | None) -> list[Block]:
         path = f"{top.path}/{label}" if len(stack) < 64 else top.path
         named = top.named
         if boiler and only_named(name, attrs):
-            boiler, named = False, (*named, len(out))
+            boiler, named = False, len(out)
+            parents[named] = top.named
             if may_be_layout(name, attrs):
                 layout.add(len(out))
             elif name_words(attrs) & OWN_ARTICLES:
                 own.add(len(out))
         article = top.article or name == "article"
-        element = Element(name, path, top.dropped or boiler, article, main, named)
+        element = Element(name, path, top.dropped or boiler, article, main, named, top, len(out))
+        open_at.setdefault(name, []).append(len(stack))
         stack.append(element)
         content = (article, main) != (top.article, top.main)
         out.append(Block(path, None, element.dropped, article, main, named, content))
-    flush()
-    free_layout(out, layout, own)
+    cut(1)
+    root.end = len(out)
+    free_layout(out, parents, layout, own)
     return out
 
 
@@ -410,20 +457,30 @@ def template_text(blocks: list[Block], names: list[int], template) -> set[int]:
 
 
 def main_text(page: str | None, template=None) -> str:
-    """Slots of the page that are article text, joined by one space."""
+    """Article text of the page, its blocks joined by one space."""
     blocks = page_blocks(page)
-    fixed = template_text(blocks, [token(b) for b in blocks], template) if template else set()
     texts = [(i, b) for i, b in enumerate(blocks) if b.text is not None and not b.dropped]
-    for part in ("article", "main", None):
-        inside = [(i, b) for i, b in texts if part is None or getattr(b, part)]
+    for part in ("article", "main"):
+        inside = [b.text for _, b in texts if getattr(b, part)]
         if inside:
-            break
-    slots = [b.text for i, b in inside if i not in fixed]
-    # an article of which half the blocks or more are on the host's other pages is one
-    # of many copies: what they share is its text, and it is kept whole
-    if not slots or (part == "article" and 2 * len(slots) <= len(inside)):
-        slots = [b.text for _, b in inside]
-    return " ".join(slots)
+            return " ".join(inside)
+    fixed = template_text(blocks, [token(b) for b in blocks], template) if template else set()
+    lo, hi = container([(i, b) for i, b in texts if i not in fixed])
+    return " ".join(b.text for i, b in texts if lo <= i < hi or not hi)
+
+
+def container(slots: list[tuple[int, Block]]) -> tuple[int, int]:
+    """Numbers of the first and behind the last block of the container of all slots.
+
+    (0, 0) without slots.  Elements inside a text's flow are no containers.
+    """
+    if not slots:
+        return 0, 0
+    last = slots[-1][0]
+    element = slots[0][1].element
+    while element.parent is not None and (element.end <= last or element.name in FLOW):
+        element = element.parent
+    return element.start, element.end
 
 
 def extract_main_text(

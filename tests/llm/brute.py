@@ -22,6 +22,59 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+# html ----------------------------------------------------------------------
+
+
+def framed_texts(pages, page_blocks, flow, share):
+    """{page_id: text} of unmarked pages: template tokens by explicit occurrence vectors per host."""
+    hosts = defaultdict(list)
+    for i, url, page in pages:
+        hosts[url.split("/")[2]].append((i, page_blocks(page)))
+    out = {}
+    for rows in hosts.values():
+        vectors = defaultdict(lambda: [0] * len(rows))
+        where = defaultdict(list)
+        for n, (_, blocks) in enumerate(rows):
+            for place, b in enumerate(blocks):
+                vectors[b.path, b.text][n] += 1
+                where[b.path, b.text].append(place)
+        classes = defaultdict(list)
+        for t, v in vectors.items():
+            present = sum(1 for x in v if x)
+            if present >= share * len(rows):
+                classes[tuple(v)].append((sum(where[t]) / present, t))
+        template = {t: v for v, ts in classes.items() for _, t in ts}
+        for n, (i, blocks) in enumerate(rows):
+            at = defaultdict(list)
+            for place, b in enumerate(blocks):
+                at[b.path, b.text].append(place)
+            valid = set()
+            for v, ts in classes.items():
+                once = sum(v) == sum(1 for x in v if x)
+                places = [at[t] for _, t in sorted(ts, key=lambda x: x[0])]
+                if all(places) and (not once or (all(len(p) == 1 for p in places) and places == sorted(places))):
+                    valid.add(v)
+            while True:  # classes nest: every token lies in a valid class or outside all elements
+                up = {
+                    v for v in valid
+                    if all(not p or template.get((p, None)) in valid
+                           for _, (path, text) in classes[v] for p in [path if text is not None else path.rpartition("/")[0]])
+                }
+                if up == valid:
+                    break
+                valid = up
+            texts = [(k, b) for k, b in enumerate(blocks) if b.text is not None and not b.dropped]
+            slots = [k for k, b in texts if template.get((b.path, b.text)) not in valid]
+            inside = texts
+            if slots:
+                element = blocks[slots[0]].element
+                while element.parent and (element.name in flow or not all(element.start <= k < element.end for k in slots)):
+                    element = element.parent
+                inside = [(k, b) for k, b in texts if element.start <= k < element.end]
+            out[i] = " ".join(b.text for _, b in inside)
+    return out
+
+
 # secret scan ---------------------------------------------------------------
 
 ASSIGN = re.compile(

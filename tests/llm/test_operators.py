@@ -197,13 +197,61 @@ def test_template_text_is_deduced(spark):
     pages += [(60, None, None, 1), (61, "http://a.example/x", "", 1), (62, "not a url", "<p>z", 1), (62, "not a url", "<p>z", 1)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string, host long")
     got = {r.page_id: r.text for r in ht.extract_main_text(df).collect()}
-    assert all(got[n] == f"T{n} Text {n}" for n in range(12))
+    assert all(got[n] == f"T{n} Read more on our site Text {n}" for n in range(12))
     assert all(got[50 + n] == f"Read more on our site B{n}" for n in range(3))
     assert (got[60], got[61], got[62]) == ("", "", "z")
     assert ht.extract_main_text(df).count() == len(pages)
     assert ht.extract_main_text(df.filter("false")).collect() == []
 
 
+@pytest.mark.parametrize("start, end", [("<article>", "</article>"), ("<main>", "</main>"), ("<div id=x>", "</div>")])
+def test_text_does_not_depend_on_the_number_of_pages(spark, start, end):
+    shared = "".join(f"<p>Shared paragraph {i}</p>" for i in range(3))
+    pages = [
+        (1000 * of + n, f"http://h{of}.example/{n}", f"<div><p>Home</p></div>{start}<h1>T{n}</h1>{shared}<p>Own {n}</p>{end}<div>End</div>")
+        for of in (2, 7, 8, 100) for n in range(of)
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    story = " ".join(f"Shared paragraph {i}" for i in range(3))
+    got = {r.page_id: r.text for r in ht.extract_main_text(df).collect()}
+    assert got == {i: f"T{i % 1000} {story} Own {i % 1000}" for i, _, _ in pages}
+
+
+def test_compound_names_are_not_kinds():
+    kept = ["<div class='share-price'>a</div>", "<section id='related-work'>b</section>", "<h2 class='copyright-law'>c</h2>",
+            "<ul class='menu-items'><li>d</ul>", "<p class='has-notice'>e"]
+    gone = ["<div class='ad'>x</div>", "<div class='ad-box wide'>x</div>", "<div id=comment-list>x</div>",
+            "<ul class='share-buttons'><li>x</ul>", "<div role=navigation>x</div>", "<p class=newsletter-signup>x"]
+    assert ht.main_text(f"<article>{''.join(kept + gone)}</article>") == "a b c d e"
+
+
+def test_template_equals_plain_vectors(spark):
+    """The frame by occurrence vectors held as lists, on pages without an article element."""
+    rng = random.Random(11)
+    pages = []
+    for host in range(12):
+        frame = [f"<div><p>frame {i}</p></div>" for i in range(rng.randint(0, 3))]
+        shared = [f"<p>shared {i}</p>" for i in range(rng.randint(0, 2))]
+        for n in range(rng.choice([1, 2, 5, 12])):
+            own = [f"<p>own {rng.randint(0, 6)}</p>" for _ in range(rng.randint(0, 3))]
+            cut = rng.randint(0, len(frame)) if rng.random() < 0.1 else len(frame) // 2
+            page = "".join([*frame[:cut], "<div id=c>", *shared, *own, "</div>", *frame[cut:]])
+            pages.append((len(pages), f"http://h{host}.example/{n}", page))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in ht.extract_main_text(df).collect()}
+    assert got == brute.framed_texts(pages, ht.page_blocks, ht.FLOW, ht.MIN_SHARE)
+    assert any("frame" in p and "frame" not in got[i] for i, _, p in pages)
+
+
+@pytest.mark.parametrize("unit", [
+    "<div>", "<div class='ad'><article>", "<div><span>", "<div></li>", "<p></x>", "<ul><li>", "<div class='main-menu-wrapper'>",
+])
+def test_deep_and_stray_tags_take_linear_time(unit):
+    start = time.perf_counter()
+    ht.page_blocks((unit + "t") * 40_000)
+    assert time.perf_counter() - start < 10
+
+
 def test_copies_of_an_article_on_one_host_keep_its_text(spark):
     body = "".join(f"<p>Paragraph {i} of the story</p>" for i in range(4))
     pages = [(n, "http://a.example/x", f"<article><p>Day {n}</p>{body}</article>") for n in range(20)]
