@@ -238,24 +238,29 @@ def quality(rows):
         d = np.where(high & (d < 0), 0, d)
         return np.maximum(np.einsum("ni,ij,nj->n", d, precision, d), 0)
 
+    def estimate(near):
+        cov = np.cov(near.T, bias=True).reshape(len(least), -1) * q.CONSISTENCY
+        variance = np.maximum(np.diag(cov), least**2)
+        cov *= 1 - q.SHRINK
+        cov[np.diag_indices(len(least))] = variance
+        return near.mean(axis=0), np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+
     fits = {}
     for group, x in groups.items():
         x = np.array(x)
         coarse = np.minimum(np.floor(np.round(x * q.UNIT) / (q.UNIT // q.START_BINS)), q.START_CLIP * q.START_BINS)
         center = np.array([statistics.median(c) for c in coarse.T]) / q.START_BINS
-        precision = np.diag(1 / least**2)
-        for _ in range(q.STEPS):
-            d = distances(x, center, precision)
-            bins = np.floor(np.log2(d + 1e-6) * q.BINS_PER_OCTAVE)
-            before = {b: (bins < b).sum() for b in set(bins)}
-            near = x[[before[b] < len(x) * q.SUPPORT for b in bins]]
-            center = near.mean(axis=0)
-            cov = np.cov(near.T, bias=True).reshape(len(least), -1) * q.CONSISTENCY
-            variance = np.maximum(np.diag(cov), least**2)
-            cov *= 1 - q.SHRINK
-            cov[np.diag_indices(len(least))] = variance
-            precision = np.linalg.inv(cov)
-        fits[group] = (len(x), center, precision)
+        best = None
+        for center, precision in ((center, np.diag(1 / least**2)), estimate(x)[:2]):
+            for _ in range(q.MAX_STEPS):  # a run that stands still stays there
+                d = distances(x, center, precision)
+                bins = np.floor(np.log2(d + 1e-6) * q.BINS_PER_OCTAVE)
+                before = {b: (bins < b).sum() for b in set(bins)}
+                near = x[[before[b] < len(x) * q.SUPPORT for b in bins]]
+                center, precision, log_det = estimate(near)
+                if best is None or round(log_det, 9) < round(best[0], 9):
+                    best = log_det, center, precision
+        fits[group] = (len(x), *best[1:])
     out = {}
     for key, (s, lang, source) in stats.items():
         d2 = None

@@ -594,8 +594,29 @@ def test_quality_edges(odd, none):
     assert qr.quality_verdicts(none).collect() == []
 
 
-def test_labelled_junk_goes_and_clean_stays(spark):
-    sf = "/root/testdata/sf0.01"
+def test_gross_outliers_of_alike_documents_go(spark):
+    rng = random.Random(3)
+
+    def words(n):
+        return [f"{rng.choice('abcdefgh')}{rng.randrange(10**5):05d}" for _ in range(n)]
+
+    def lines(ws):
+        return "\n".join(" ".join(ws[i : i + 8]) for i in range(0, len(ws), 8))
+
+    rows = [(i, lines(words(240)), "en", "s") for i in range(200)]
+    short = [w[:1] for w in words(40)]
+    rows.append((1000, "\n".join([lines(words(240)), *short, *short]), "en", "s"))  # many equal short lines
+    once, twice = words(127), words(56)
+    rows.append((1001, lines(once + twice + ["x"] + twice), "en", "s"))  # 47 % of the words in repeats
+    rows.append((1002, lines(words(48_000)), "en", "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in qr.quality_verdicts(docs).collect()}
+    assert not any(got[i].base_failed or got[i].kept for i in (1000, 1001, 1002))
+    assert all(got[i].kept for i in range(200))
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_labelled_junk_goes_and_clean_stays(spark, sf):
     labels = common.table(spark, sf, "labels")
     rows = qr.quality_verdicts(common.table(spark, sf, "documents")).filter("not base_failed").join(labels, "doc_id")
     count = {(r.quality, r.kept): r["count"] for r in rows.groupBy("quality", "kept").count().collect()}
