@@ -62,8 +62,8 @@ def test_stage_edges(spark, n):
         assert sorted(str(r.doc_id) for r in rows) == ["3", "3", "4", "None"]
     if n in (1, 3, 4):
         assert len(rows) == 7
-    if n == 2:  # one of the empty texts and one of the alike ones stay, and rows without an id
-        assert sorted(str(r.doc_id) for r in rows if r.text != "x " * 30_000) == ["1", "3", "3", "None"]
+    if n == 2:  # one of the empty texts and one row of the alike ones stay
+        assert sorted(str(r.doc_id) for r in rows if r.text != "x " * 30_000) == ["1", "3"]
     assert stage(spark, docs.filter("false"), SMOKE_DIR).collect() == []
 
 
@@ -75,3 +75,14 @@ def test_near_duplicates_with_repeated_ids(spark):
     assert (7, other) in kept and (8, other + " ") not in kept and (7, alike + "\n") not in kept
     assert len([i for i, t in kept if t and t.lower().strip() == alike]) == 1
     assert (9, None) in kept and (9, "alone here") in kept and len(kept) == 4
+
+
+def test_near_duplicates_keep_one_row_of_each_component(spark):
+    alike, other = (" ".join(f"{c}{i}" for i in range(400)) for c in "vw")
+    rows = [(None, alike), (None, alike), (None, alike + " x"), (5, other), (5, other), (5, other), (None, other), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("extra", F.create_map(F.lit("a"), F.lit(1)))
+    out = corpus_pipeline.near_duplicates(spark, docs, SMOKE_DIR)
+    assert out.columns == docs.columns
+    kept = [(r.doc_id, r.text or "") for r in out.collect()]
+    assert len(kept) == 3 and (5, other) in kept
+    assert len([t for i, t in kept if i is None and t.startswith(alike)]) == 1 and (None, "") in kept
