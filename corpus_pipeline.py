@@ -21,12 +21,15 @@ PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def quality(spark, docs, sf_dir):
-    """Rejected documents go."""
+    """Rejected documents go; a null or empty text is rejected, repeated rows share their verdict."""
     return keep_passing(docs, quality_verdicts(docs))
 
 
 def lines(spark, docs, sf_dir):
-    """Repeated lines go; every document stays, with its remaining lines."""
+    """Repeated lines go; every row stays, with its remaining lines (a null text becomes empty).
+
+    Rows that repeat an id count as one document; rows without an id keep their lines.
+    """
     return (
         line_dedup(docs)
         .withColumn("n_chars", F.char_length("text").cast("long"))
@@ -35,30 +38,31 @@ def lines(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Of each component one document stays, the one with the smallest id (and text key); rows without an id stay.
+    """Of each component exactly one row stays.
 
-    Texts are compared under their own hash, as ids may repeat; rows that repeat
-    id and text are one document.
+    It is the one with the smallest id (null behind all others) and text key; of rows
+    equal in both any one.  Texts are compared under their own hash, as ids may
+    repeat; null and empty texts are one component.
     """
     text_key = F.xxhash64(docs["text"])
     keys = docs.select(docs["doc_id"].cast("long").alias("id"), text_key.alias("key"))
     parts = simhash_components(docs.select(text_key.alias("doc_id"), docs["text"]))
     # written once, so that the joins can split a text of many documents and a large component
     parts = staged(parts.select(F.col("doc_id").alias("key"), "component_id").distinct(), "neardup-parts")
-    named = keys.filter("id is not null").join(parts, "key")
-    first = named.groupBy("component_id").agg(F.min(F.struct("id", "key")).alias("first"))
-    gone = (
-        named.join(staged(first, "neardup-first"), "component_id")
-        .filter((F.col("id") != F.col("first.id")) | (F.col("key") != F.col("first.key")))
-        .select(F.col("id").alias("__gone_id"), F.col("key").alias("__gone_key"))
-        .distinct()
+    rows = keys.groupBy("id", "key").agg(F.count("*").alias("rows"))
+    first = rows.join(parts, "key").groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key", "rows")).alias("first")
     )
-    same = (docs["doc_id"].cast("long") == gone["__gone_id"]) & (text_key == gone["__gone_key"])
-    return docs.join(gone, same, "left_anti")
+    first = staged(first.select(*(F.col(f"first.{c}").alias(f"__{c}") for c in ("id", "key", "rows"))), "neardup-first")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (text_key == F.col("__key"))
+    single = docs.join(first.filter("__rows = 1"), same, "left_semi")
+    # equal rows combine before they meet
+    several = docs.join(first.filter("__rows > 1"), same).dropDuplicates(["__id", "__key"])
+    return single.unionByName(several.select(*(docs[f"`{c}`"] for c in docs.columns)))
 
 
 def decontamination(spark, docs, sf_dir):
-    """Documents with a benchmark phrase go."""
+    """Documents with a benchmark phrase go, repeated rows and rows without an id alike; null texts stay."""
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
     gone = found.filter(F.size("hits") > 0).select(
         F.col("doc_id").alias("__gone_id"), F.col("doc_key").alias("__gone_key")
@@ -70,7 +74,7 @@ def decontamination(spark, docs, sf_dir):
 
 
 def sentence_pieces(spark, docs, sf_dir):
-    """Adds the ids of the piece vocabulary."""
+    """Adds the ids of the piece vocabulary to every row; a null or empty text has none."""
     model = load_model(public_tokenizers.path(PIECE_MODEL))
     return encode_pieces(docs, model).withColumn("n_tokens", F.size("ids").cast("long"))
 
