@@ -15,7 +15,7 @@ from meterlens.llm.common import table
 from meterlens.llm.decontamination import contamination
 from meterlens.llm.html_template import extract_main_text
 from meterlens.llm.line_dedup import line_dedup
-from meterlens.llm.passage_chains import repeated_passages
+from meterlens.llm.passage_chains import passage_members, repeated_passages
 from meterlens.llm.periodic_runs import periodic_runs
 from meterlens.llm.phrase_mining import collocations
 from meterlens.llm.quality_rules import quality_verdicts
@@ -40,7 +40,7 @@ def op2_html_template(spark, sf_dir):
 
 
 def op3_passage_chains(spark, sf_dir):
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return passage_members(repeated_passages(table(spark, sf_dir, "documents")))
 
 
 def op4_decontamination(spark, sf_dir):

@@ -328,7 +328,9 @@ def test_planted_passages_are_found_and_clean_texts_left(spark):
 def test_passage_query_links_all_exact_runs(spark, smoke):
     classes = {}
     for r in query(spark, "op3_passage_chains"):
-        classes[r.doc_a] = classes[r.doc_b] = r.class_id
+        assert r.doc_id not in classes and r.n_links > 0 and r.passages
+        assert all(p.end - p.start >= 50 for p in r.passages)
+        classes[r.doc_id] = r.class_id
     holders = {}
     for i, text in smoke:
         words = brute.FOLDED.findall(brute.lower(text))
@@ -396,6 +398,86 @@ def test_shared_run_whose_parts_are_elsewhere_is_linked(spark, words):
     assert (n - 2, n - 1, 70, 70 + words, 70, 70 + words) in {tuple(r)[:6] for r in links}
 
 
+def passage_frame(spark, texts):
+    return spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+
+
+@pytest.mark.parametrize(("words", "changes"), [(120, 3), (96, 1)])
+def test_fuzzy_passages_whose_parts_stand_elsewhere_are_linked(spark, words, changes):
+    texts, pairs = [], []
+    for case in range(10):
+        rng = random.Random(1000 * words + case)
+        shared = invented(rng, words)
+        copy = list(shared)
+        for i in rng.sample(range(5, words - 5), changes):
+            copy[i] = f"changed{i}"
+        for k in range(0, words, 24):
+            texts += [invented(rng, 40) + shared[k : k + 24] + invented(rng, 40) for _ in range(20)]
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [invented(rng, 70) + x + invented(rng, 50) for x in (shared, copy)]
+    links = {(r.doc_a, r.doc_b): r for r in pc.repeated_passages(passage_frame(spark, texts)).collect()}
+    assert set(links) == set(pairs)
+    for r in links.values():
+        for start, end in ((r.a_start, r.a_end), (r.b_start, r.b_end)):
+            assert 70 <= start and end <= 70 + words and end - start >= 50
+
+
+def test_fuzzy_links_equal_all_pairs(spark):
+    """Every pair with an alike window of 60 words is linked or in one class, no other is, spans are alike."""
+    rng = random.Random(77)
+    pool = [invented(rng, 90) for _ in range(8)]
+    texts = []
+    for _ in range(90):
+        text = invented(rng, rng.randint(10, 60))
+        for passage in rng.sample(pool, rng.randint(0, 2)):
+            cut = rng.randint(0, 20)
+            part = [w if rng.random() > 0.015 else f"x{rng.randint(0, 10**9)}" for w in passage[cut : cut + rng.randint(40, 90)]]
+            text += part + invented(rng, rng.randint(10, 60))
+        texts.append(text)
+    hashed = [np.array([hash(w) % 2**64 for w in t], np.uint64) for t in texts]
+    alike = {}
+    for i in range(len(texts)):
+        where = {w: k for k, w in enumerate(texts[i])}
+        for j in range(i + 1, len(texts)):
+            for k, w in enumerate(texts[j]):
+                if w in where and where[w] + 60 <= len(texts[i]) and k + 60 <= len(texts[j]):
+                    got = pc.similarity(hashed[i][where[w] : where[w] + 60], hashed[j][k : k + 60])
+                    alike[i, j] = max(alike.get((i, j), 0), got)
+    wanted = {p for p, s in alike.items() if s >= 0.8}
+    links = pc.repeated_passages(passage_frame(spark, texts)).collect()
+    classes = {d: r.class_id for r in links for d in (r.doc_a, r.doc_b)}
+    found = {p for p in wanted if classes.get(p[0], -1) == classes.get(p[1], -2)}
+    assert len(found) >= 0.98 * len(wanted) > 30
+    for r in links:
+        x, y = hashed[r.doc_a][r.a_start : r.a_end], hashed[r.doc_b][r.b_start : r.b_end]
+        assert min(len(x), len(y)) >= 50 and pc.similarity(x, y) >= 0.8
+        assert r.similarity == pytest.approx(pc.similarity(x, y))
+
+
+def test_near_copies_keep_a_cover_of_their_exact_runs(spark):
+    rng = random.Random(3)
+    base = invented(rng, 400)
+    texts = [[w if rng.random() > 0.02 else f"x{rng.randint(0, 10**9)}" for w in base] for _ in range(60)]
+    links = pc.repeated_passages(passage_frame(spark, texts)).collect()
+    assert {r.class_id for r in links} == {0}
+    assert {d for r in links for d in (r.doc_a, r.doc_b)} == set(range(60))
+    assert len(links) <= 60 * 16
+    rows = pc.passage_members(pc.repeated_passages(passage_frame(spark, texts))).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(60))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 9), st.integers(1, 9)), max_size=12))
+def test_cover_keeps_all_words(steps):
+    pieces, s, e = [], 0, 5
+    for a, b in steps:
+        s, e = s + a, max(e + b, s + a + 1)
+        pieces.append((s, e))
+    got = pc.cover(pieces)
+    words = lambda at: {w for i in at for w in range(*pieces[i])}
+    assert words(got) == words(range(len(pieces)))
+
+
 # decontamination -----------------------------------------------------------
 
 ITEMS = [
