@@ -422,6 +422,29 @@ def test_fuzzy_passages_whose_parts_stand_elsewhere_are_linked(spark, words, cha
             assert 70 <= start and end <= 70 + words and end - start >= 50
 
 
+def test_fuzzy_passage_is_linked_when_all_near_seeds_stand_together_elsewhere(spark):
+    """No run of 50 words is equal, and pieces of 49 words in other documents hold the near seeds."""
+    texts, pairs = [], []
+    for case in range(4):
+        rng = random.Random(500 + case)
+        shared = invented(rng, 96)
+        copy = [*shared[:47], "changed", *shared[48:]]
+        for k in range(0, 48, 3):
+            texts += [invented(rng, 10) + shared[k : k + 49] + invented(rng, 10) for _ in range(20)]
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [invented(rng, 70) + x + invented(rng, 50) for x in (shared, copy)]
+    links = {(r.doc_a, r.doc_b): r for r in pc.repeated_passages(passage_frame(spark, texts)).collect()}
+    assert set(links) == set(pairs)
+    assert all((r.a_start, r.a_end, r.b_start, r.b_end) == (70, 166, 70, 166) for r in links.values())
+
+
+def test_runs_of_one_word_are_passages(spark):
+    rng = random.Random(8)
+    texts = [invented(rng, 60) + ["again"] * n + invented(rng, 60) for n in (50, 49, 120)]
+    links = pc.repeated_passages(passage_frame(spark, texts)).collect()
+    assert {(r.doc_a, r.doc_b) for r in links} == {(0, 2)}
+
+
 def test_fuzzy_links_equal_all_pairs(spark):
     """Every pair with an alike window of 60 words is linked or in one class, no other is, spans are alike."""
     rng = random.Random(77)
