@@ -113,9 +113,10 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
         open_ = open_[at[open_] < length[open_]]
         step += 1
     row, place = np.concatenate(rows), np.concatenate(places)
-    order = np.lexsort((place, row))
-    row, place = row[order], place[order]
-    selector = choice[row, place].astype(np.int64)
+    across = grid.shape[1]
+    at_word = np.sort(row * across + place)  # places in the flat grid, a block behind the other
+    flat = grid.ravel()
+    selector = choice.ravel()[at_word].astype(np.int64)
     size = 1 + (selector == 0)
     offset = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
@@ -125,12 +126,13 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
             continue
         word = np.full(len(mine), s << 60, np.uint64)
         if WIDTHS[s]:
+            first = at_word[mine]
             for k in range(COUNTS[s]):
-                word |= grid[row[mine], place[mine] + k] << np.uint64(k * WIDTHS[s])
+                word |= flat[first + k] << np.uint64(k * WIDTHS[s])
         words[offset[mine]] = word
     escaped = np.flatnonzero(selector == 0)
-    words[offset[escaped] + 1] = grid[row[escaped], place[escaped]]
-    first = np.searchsorted(row, np.arange(blocks))
+    words[offset[escaped] + 1] = flat[at_word[escaped]]
+    first = np.searchsorted(at_word, np.arange(blocks) * across)
     return words, offset[first]
 
 
@@ -192,8 +194,23 @@ WORD_SUFFIX = "</w>"
 #: vocabulary's own first split, whatever stands around it.
 PLAIN = r"\x21-\x26\x28-\x7EÀ-ÖØ-öø-ÿ"
 NOT_PLAIN = re.compile(rf"[^\t\n\r\x20{PLAIN}]|<\|")
+PLAIN_BYTES = re.sub(rf"[^\t\n\r\x20{PLAIN}]", "", bytes(range(256)).decode("latin-1")).encode("latin-1")
 PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-MEMORY = 400_000  # parts remembered before a worker starts anew
+ASCII_PARTS = re.compile(r"[a-z]+|[0-9]|[^\t-\r\x20a-z0-9]+")
+MEMORY = 600_000  # parts remembered before a worker starts anew
+
+
+def is_plain(text: str) -> bool:
+    """Whether ``NOT_PLAIN`` finds nothing; all plain characters are Latin-1 ones."""
+    try:
+        left = text.encode("latin-1").translate(None, PLAIN_BYTES)
+    except UnicodeEncodeError:
+        return False
+    return not left and "<|" not in text
+
+
+def plain_parts(text: str) -> list[str]:
+    return (ASCII_PARTS if text.isascii() else PARTS).findall(text.lower())
 
 
 class PartTokenizer:
@@ -213,12 +230,12 @@ class PartTokenizer:
         self.memory = RecentIds(self.code, MEMORY)
 
     def split(self, text: str) -> list[str]:
-        if not NOT_PLAIN.search(text):
-            return PARTS.findall(text.lower())
+        if is_plain(text):
+            return plain_parts(text)
         out = []
         for word in text.split(" "):
-            if not NOT_PLAIN.search(word):
-                out += PARTS.findall(word.lower())
+            if is_plain(word):
+                out += plain_parts(word)
             elif word:
                 out.append(f" {word}")  # a blank marks a word that goes whole
         return out

@@ -760,6 +760,14 @@ def test_token_query_equals_library(spark, smoke):
         start += len(ids)
 
 
+def test_plain_texts_are_known_by_their_bytes():
+    odd = [chr(c) for c in range(0x180)] + ["\u2028", "\u4e2d", "\U0001f600", "<|", "< |", "a<|b", ""]
+    for text in [*odd, *(f"ab {x} cd" for x in odd)]:
+        assert token_files.is_plain(text) == (not token_files.NOT_PLAIN.search(text))
+        if token_files.is_plain(text):
+            assert token_files.plain_parts(text) == token_files.PARTS.findall(text.lower())
+
+
 def test_token_files_edges(spark, odd, none):
     spec = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
     assert json.loads(spec)["model"]
