@@ -37,7 +37,10 @@ from meterlens.llm.common import slices
 RUN = "struct<start:long,length:long,period:long>"
 SCHEMA = f"doc_id long, n_words long, runs array<{RUN}>, collapsed string"
 #: Pairs of (suffix, interval) looked at together.
-PAIRS = 1 << 20
+PAIRS = 1 << 18
+#: Bytes of text whose suffixes are sorted at once: a word takes some hundred bytes
+#: meanwhile, and smaller arrays stay in the processor's caches.
+SORTED_BYTES = 1 << 18
 
 
 def suffix_arrays(codes: np.ndarray, bounds: np.ndarray, shared: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,10 +203,9 @@ def find_runs(texts: list[str | None], least: int, exponent: int):
     """For each text: its number of words, its runs, its collapsed text."""
     split = [split_words(t) for t in texts]
     number: dict[bytes, int] = {}
-    ids = [[number.setdefault(w, len(number)) for w in ws] for ws in split]
     length = np.array([len(ws) for ws in split], np.int64)
     bounds = np.r_[0, np.cumsum(length)]
-    flat = np.fromiter((i for ws in ids for i in ws), np.int64, bounds[-1])
+    flat = np.fromiter((number.setdefault(w, len(number)) for ws in split for w in ws), np.int64, bounds[-1])
     runs: dict[int, list[tuple[int, int, int]]] = {}
     if len(flat):
         codes = np.repeat(np.arange(len(texts)), length) * len(number) + flat
@@ -237,7 +239,7 @@ def periodic_runs(
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, limit=SORTED_BYTES):
                 rows = list(find_runs(batch.column("text").to_pylist(), least, exponent))
                 runs = [[dict(zip(("start", "length", "period"), r, strict=True)) for r in row[1]] for row in rows]
                 kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "length", "period")]))

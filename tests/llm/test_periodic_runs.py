@@ -2,10 +2,12 @@
 
 import random
 import time
+import tracemalloc
 import zlib
 from fractions import Fraction
 
 import brute
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -126,3 +128,20 @@ def test_edges(spark):
         + [f"Row(doc_id=4, {last})"]
     )
     assert periodic_runs(docs.filter("false")).count() == 0
+
+
+def test_memory_does_not_follow_the_batch(spark, monkeypatch):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, find, schema: find)
+    find = periodic_runs(docs)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(4000)]  # 7 MB in one Arrow batch
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts))), "text": texts})
+    tracemalloc.start()
+    try:
+        assert sum(out.num_rows for out in find(iter([batch]))) == len(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 25e6
