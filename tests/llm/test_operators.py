@@ -489,6 +489,43 @@ def test_near_copies_keep_a_cover_of_their_exact_runs(spark):
     assert sorted(r.doc_id for r in rows) == list(range(60))
 
 
+def test_pairs_of_one_large_group_are_not_all_compared(spark, monkeypatch):
+    """A copy that misses the ends of the list of groups meets some of the large group before all of it."""
+    rng = random.Random(21)
+    base = invented(rng, 130)
+    texts = [[w if rng.random() > 0.015 else f"x{rng.randint(0, 10**9)}" for w in base] for _ in range(150)]
+    texts += [[w if rng.random() > 0.05 else f"x{rng.randint(0, 10**9)}" for w in base] for _ in range(100)]
+    sizes, keep = {}, pc.staged
+
+    def counted(df, name):
+        done = keep(df, name)
+        if name.endswith("-pairs"):
+            sizes[name] = done.count()
+        return done
+
+    monkeypatch.setattr(pc, "staged", counted)
+    links = pc.repeated_passages(passage_frame(spark, texts)).collect()
+    assert {r.class_id for r in links} == {0} and len({d for r in links for d in (r.doc_a, r.doc_b)}) > 200
+    assert sizes["last-pairs"] < 800  # 1530 if all stretches of two groups are compared at once
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(3, 200), st.integers(0, 9))
+def test_runs_without_alike_pieces_are_known(seed, words, changes):
+    """Runs of few words repeat shingles; what is put off as hopeless holds no alike piece."""
+    rng = random.Random(seed)
+    x = [rng.randrange(words) for _ in range(40)]
+    y = [rng.randrange(words) if rng.random() < changes / 60 else w for w in x]
+    x, y = (np.array(r, np.uint64) * pc.FACTOR for r in (x, y))
+    held_b, held_a, _ = pc.counts_held(pc.shingles(x), pc.shingles(y))
+    least = 16
+    alike = any(
+        pc.similarity(x[b0:b1], y[a0:a1]) >= 0.8
+        for b0, a0 in ((0, 0), (3, 3), (7, 5), (12, 12)) for b1, a1 in ((b0 + 20, a0 + 20), (b0 + 25, a0 + 24), (40, 40))
+    )
+    assert not (alike and pc.alone(held_b, held_a, least))
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 9), st.integers(1, 9)), max_size=12))
 def test_cover_keeps_all_words(steps):
