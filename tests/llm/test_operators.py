@@ -489,24 +489,13 @@ def test_near_copies_keep_a_cover_of_their_exact_runs(spark):
     assert sorted(r.doc_id for r in rows) == list(range(60))
 
 
-def test_pairs_of_one_large_group_are_not_all_compared(spark, monkeypatch):
-    """A copy that misses the ends of the list of groups meets some of the large group before all of it."""
-    rng = random.Random(21)
-    base = invented(rng, 130)
-    texts = [[w if rng.random() > 0.015 else f"x{rng.randint(0, 10**9)}" for w in base] for _ in range(150)]
-    texts += [[w if rng.random() > 0.05 else f"x{rng.randint(0, 10**9)}" for w in base] for _ in range(100)]
-    sizes, keep = {}, pc.staged
-
-    def counted(df, name):
-        done = keep(df, name)
-        if name.endswith("-pairs"):
-            sizes[name] = done.count()
-        return done
-
-    monkeypatch.setattr(pc, "staged", counted)
-    links = pc.repeated_passages(passage_frame(spark, texts)).collect()
-    assert {r.class_id for r in links} == {0} and len({d for r in links for d in (r.doc_a, r.doc_b)}) > 200
-    assert sizes["last-pairs"] < 800  # 1530 if all stretches of two groups are compared at once
+def test_pair_of_many_shared_shingles_comes_once(spark):
+    rows = [(k, sid, sid, sid % 3) for sid in range(9) for k in range(sid % 2, 6)]
+    holders = spark.createDataFrame(rows, "shingle long, sid long, doc long, grp long")
+    x, y = (pc.first_shared(holders, "shingle").alias(c) for c in "xy")
+    both = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.doc") > F.col("y.doc")) & pc.unlinked_once("x", "y")
+    got = sorted(tuple(r) for r in x.join(y, both).select("x.sid", "y.sid").collect())
+    assert got == sorted((b, a) for b in range(9) for a in range(b) if a % 3 != b % 3)
 
 
 @settings(max_examples=60, deadline=None)
