@@ -41,7 +41,7 @@ SEPARATOR = 0xFF  # not in any UTF-8 text
 #: Cached answers of "can piece b follow piece a", per Python worker.
 PAIR_SLOTS = 1 << 21
 #: Distinct chunk text indexed at a time, and chunks remembered before a worker starts anew.
-GROUP_CHARS = 1 << 19
+GROUP_CHARS = 1 << 18
 MEMORY = 300_000
 
 
@@ -174,28 +174,36 @@ class Wanted:
 
 
 def occurrence_ranges(order, keys, room, wanted: Wanted) -> tuple[np.ndarray, np.ndarray]:
-    """[low, high) in the suffix array for each wanted string, by one vectorised binary search."""
-    total = len(wanted.word)
+    """[low, high) in the suffix array for each wanted string.
+
+    The first 8 bytes are looked up in the ordered keys; a vectorised binary search in what is
+    left finds the strings that are longer.
+    """
+    first = keys[order]
+    low = np.searchsorted(first, wanted.word[:, 0], "left")
+    high = np.searchsorted(first, wanted.word[:, 0] | ~wanted.mask[:, 0], "right")
+    longer = np.flatnonzero(wanted.mask[:, 1:].any(axis=1) & (low < high))
 
     def bound(upper: bool) -> np.ndarray:
-        lo, hi = np.zeros(total, np.int64), np.full(total, len(order))
+        lo, hi, total = low[longer], high[longer], len(longer)
         while (lo < hi).any():
             mid = (lo + hi) // 2
             place = order[np.minimum(mid, len(order) - 1)]
             less, equal = np.zeros(total, bool), np.ones(total, bool)
-            for d in range(wanted.depth):
+            for d in range(1, wanted.depth):
                 here = room[place] > 8 * d
                 k = np.where(here, keys[np.minimum(place + 8 * d, len(keys) - 1)], np.uint64(0))
-                k &= wanted.mask[:, d]
-                less |= equal & (k < wanted.word[:, d])
-                equal &= k == wanted.word[:, d]
+                k &= wanted.mask[longer, d]
+                less |= equal & (k < wanted.word[longer, d])
+                equal &= k == wanted.word[longer, d]
                 if not equal.any():
                     break
             right = (less | equal if upper else less) & (lo < hi)
             lo, hi = np.where(right, mid + 1, lo), np.where(right | (lo >= hi), hi, mid)
         return lo
 
-    return bound(False), bound(True)
+    low[longer], high[longer] = bound(False), bound(True)
+    return low, high
 
 
 # --------------------------------------------------------------------------
@@ -306,22 +314,23 @@ class Encoder:
         count = np.bincount(n_chunk, weights=width, minlength=len(chunks)).astype(np.int64)
         return out, np.r_[0, np.cumsum(count)]
 
-    def code(self, chunks: list[str]) -> list[bytes]:
-        """Ids of distinct chunks, a bounded length of chunk text at a time."""
-        out: list[bytes] = []
+    def code(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, their starts and numbers; a bounded length of chunk text at a time."""
+        coded, counts = [], []
         size = np.cumsum([len(c) + 1 for c in chunks]) // GROUP_CHARS
         cuts = np.flatnonzero(np.r_[True, size[1:] != size[:-1], True][: len(chunks) + 1])
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             ids, starts = self.encode_chunks(chunks[lo:hi])
-            raw, at = ids.astype("<u4").tobytes(), (4 * starts).tolist()
-            out += [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
-        return out
+            coded.append(ids.astype(np.uint32))
+            counts.append(np.diff(starts))
+        length = np.concatenate(counts)
+        return np.concatenate(coded), np.cumsum(length) - length, length
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and where each text's ids start."""
         findall = self.chunk.findall
         return self.memory.encode(
-            [findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+            findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts
         )
 
 
@@ -387,6 +396,9 @@ def encode_pieces(
                 )
                 more = [texts(lists)] if decoded_col else []
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists, *more], names=names)
+        # the worker lives on: what the batches took goes back
+        whole = batch = lists = more = None
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(encode, schema)
 

@@ -240,29 +240,35 @@ class PartTokenizer:
                 out.append(f" {word}")  # a blank marks a word that goes whole
         return out
 
-    def code(self, parts: list[str]) -> list[bytes]:
-        """Ids of distinct parts; plain ones are encoded as one text and cut at word ends."""
-        coded: dict[str, bytes] = {}
-        simple = [p for p in parts if p[0] != " "]
+    def code(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts, their starts and numbers; plain ones are encoded as one text and cut at word ends."""
+        goes_whole = np.fromiter((p[0] == " " for p in parts), bool, len(parts))
+        length = np.zeros(len(parts), np.int64)
+        coded = []
+        simple = parts if not goes_whole.any() else [p for p in parts if p[0] != " "]
         if simple:
             # the fast form gives the same ids without their places in the text
             joined = self.lib.encode_batch_fast([" ".join(simple)], add_special_tokens=False)[0]
-            ids = np.array(joined.ids, "<u4")
+            ids = np.array(joined.ids, np.uint32)
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) != len(simple):
                 raise ValueError("the vocabulary does not end every part with its suffix")
-            raw, stops = ids.tobytes(), [0, *(4 * cut).tolist()]
-            for part, lo, hi in zip(simple, stops, stops[1:], strict=False):
-                coded[part] = raw[lo:hi]
-        whole = [p for p in parts if p[0] == " "]
-        found = self.lib.encode_batch_fast([p[1:] for p in whole], add_special_tokens=False)
-        for part, encoding in zip(whole, found, strict=True):
-            coded[part] = np.array(encoding.ids, "<u4").tobytes()
-        return [coded[p] for p in parts]
+            length[~goes_whole] = np.diff(cut, prepend=0)
+            coded.append(ids)
+        whole = [p[1:] for p in parts if p[0] == " "] if goes_whole.any() else []
+        if whole:
+            found = [e.ids for e in self.lib.encode_batch_fast(whole, add_special_tokens=False)]
+            length[goes_whole] = list(map(len, found))
+            coded += [np.array(ids, np.uint32) for ids in found]
+        # the plain parts' ids lie before those of the others
+        order = np.argsort(goes_whole, kind="stable")
+        start = np.empty(len(parts), np.int64)
+        start[order] = np.cumsum(length[order]) - length[order]
+        return np.concatenate(coded), start, length
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and the number of ids per text."""
-        parts = [self.split(t) if t else [] for t in texts]
+        parts = (self.split(t) if t else [] for t in texts)
         ids, bounds = self.memory.encode(parts, np.array([end_id], "<u4").tobytes())
         return ids, np.diff(bounds)
 

@@ -881,6 +881,57 @@ def test_pieces_equal_library(pieces, smoke):
         assert ids[starts[n] : starts[n + 1]].tolist() == lib.encode(text)
 
 
+def test_parts_of_one_text_are_held_at_a_time(pieces):
+    class Parts(list):
+        alive = most = 0
+
+        def __init__(self, parts):
+            super().__init__(parts)
+            Parts.alive += 1
+            Parts.most = max(Parts.most, Parts.alive)
+
+        def __del__(self):
+            Parts.alive -= 1
+
+    class Pattern:
+        def findall(self, text):
+            return Parts(found(text))
+
+    encoder = sp.Encoder(pieces)
+    found = encoder.chunk.findall
+    texts = [f"some words of text {n}, as many as there are" for n in range(50)]
+    want = [x.tolist() for x in encoder.encode(texts)]
+    encoder = sp.Encoder(pieces)
+    encoder.chunk = Pattern()
+    assert [x.tolist() for x in encoder.encode(texts)] == want
+    assert Parts.most <= 2
+
+
+def test_ids_are_gathered_in_groups(monkeypatch, pieces):
+    texts = ["", None, "one", "two words " * 30, "", *(f"text {n}" * (n % 7) for n in range(40))]
+    want = [x.tolist() for x in sp.Encoder(pieces).encode(texts)]
+    for size in (1, 7):
+        monkeypatch.setattr(common, "GATHER_PARTS", size)
+        assert [x.tolist() for x in sp.Encoder(pieces).encode(texts)] == want
+    assert [x.tolist() for x in sp.Encoder(pieces).encode([])] == [[], [0]]
+
+
+def test_occurrence_ranges_equal_plain_search():
+    rng = random.Random(5)
+    chunks = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 40))) for _ in range(60)]
+    raw = b"\xff".join(chunks) + b"\xff"
+    text = np.frombuffer(raw, np.uint8)
+    ends = np.flatnonzero(text == 0xFF)
+    room = ends[np.searchsorted(ends, np.arange(len(text)))] - np.arange(len(text))
+    strings = sorted({raw[i : i + n].split(b"\xff")[0] or b"a" for i in range(0, 400, 3) for n in (1, 3, 8, 9, 16, 17, 20)} | {b"c", b"ab" * 12})
+    wanted = sp.Wanted(strings)
+    keys = sp.eight_bytes(text, room)
+    order = sp.suffix_array(keys, room, 8 * wanted.depth)
+    low, high = sp.occurrence_ranges(order, keys, room, wanted)
+    for lo, hi, x in zip(low, high, strings, strict=True):
+        assert sorted(order[lo:hi].tolist()) == [i for i in range(len(raw)) if raw.startswith(x, i)]
+
+
 def test_pieces_edges(odd, none, pieces):
     coded = sp.encode_pieces(odd, pieces)
     assert coded.columns == [c for c in odd.columns if c != "ids"] + ["ids"]
