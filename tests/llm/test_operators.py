@@ -794,6 +794,17 @@ def test_plain_texts_are_known_by_their_bytes():
             assert token_files.plain_parts(text) == token_files.PARTS.findall(text.lower())
 
 
+def test_long_plain_texts_are_split_without_a_pattern(monkeypatch):
+    rng = random.Random(3)
+    plain = [c for c in map(chr, range(256)) if token_files.is_plain(c)]
+    texts = ["".join(rng.choice(chars) for _ in range(n)) for n in (256, 257, 3000) for chars in (plain, "aZé 1.,\n") for _ in range(40)]
+    texts = [t for t in texts if token_files.is_plain(t)]
+    want = [token_files.PARTS.findall(t.lower()) for t in texts]
+    monkeypatch.setattr(token_files, "PARTS", None)
+    monkeypatch.setattr(token_files, "ASCII_PARTS", None)
+    assert len(texts) > 100 and [token_files.plain_parts(t) for t in texts] == want
+
+
 def test_token_files_edges(spark, odd, none):
     spec = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
     assert json.loads(spec)["model"]
