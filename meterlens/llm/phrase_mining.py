@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlens.llm.common import SLICE_BYTES, slices, staged
-from meterlens.session import remove_path, scratch_path
+from meterlens.session import remove_path, scratch_path, short_shuffles
 
 LONGEST = 5
 SHARDS = 4
@@ -244,32 +244,33 @@ def frequent_phrases(
         raise ValueError("the slots are a power of two, and the stops must fit a byte")
     spark = docs.sparkSession
     path = scratch_path(spark, "phrase-words")
-    token_rows(docs, text_col, lang_col, shards).write.partitionBy("shard").parquet(path)
-    tokens = spark.read.schema(TOKENS).parquet(path)
-    sizes = staged(tokens.groupBy("lang").agg(F.sum("n_words").alias("n_words")), "phrase-languages")
-    used, stops = np.zeros(0, np.int64), np.zeros(0, np.uint8)
-    totals, stored = None, None
-    last = stop = 0  # the last stop at which something new was reached
-    while stop < last + shards:
-        stop += 1
-        found = scan(tokens.filter(F.col("shard") == stop % shards), used, stops, stop, shards, slots)
-        if totals is not None:
-            found = found.unionByName(totals)
-        found = found.groupBy("key", "active").agg(F.sum("n").alias("n"))
-        # a phrase that completed its cycle below the threshold is done with
-        enough = F.col("n") >= least
-        found = found.filter(enough | (F.col("active") + shards > stop))
-        before, stored = stored, scratch_path(spark, "phrase-counts")
-        found.write.parquet(stored)
-        totals = spark.read.schema(COUNTED).parquet(stored)
-        if before:
-            remove_path(spark, before)
-        new = slots_of(totals.filter(enough), slots).toArrow().column("slot").to_numpy()
-        new = np.setdiff1d(new, used)
-        if len(new):
-            used = np.concatenate([used, new])
-            stops = np.concatenate([stops, np.full(len(new), stop, np.uint8)])
-            last = stop
+    with short_shuffles(spark):  # else those of all stops are on disk together
+        token_rows(docs, text_col, lang_col, shards).write.partitionBy("shard").parquet(path)
+        tokens = spark.read.schema(TOKENS).parquet(path)
+        sizes = staged(tokens.groupBy("lang").agg(F.sum("n_words").alias("n_words")), "phrase-languages")
+        used, stops = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        totals, stored = None, None
+        last = stop = 0  # the last stop at which something new was reached
+        while stop < last + shards:
+            stop += 1
+            found = scan(tokens.filter(F.col("shard") == stop % shards), used, stops, stop, shards, slots)
+            if totals is not None:
+                found = found.unionByName(totals)
+            found = found.groupBy("key", "active").agg(F.sum("n").alias("n"))
+            # a phrase that completed its cycle below the threshold is done with
+            enough = F.col("n") >= least
+            found = found.filter(enough | (F.col("active") + shards > stop))
+            before, stored = stored, scratch_path(spark, "phrase-counts")
+            found.write.parquet(stored)
+            totals = spark.read.schema(COUNTED).parquet(stored)
+            if before:
+                remove_path(spark, before)
+            new = slots_of(totals.filter(enough), slots).toArrow().column("slot").to_numpy()
+            new = np.setdiff1d(new, used)
+            if len(new):
+                used = np.concatenate([used, new])
+                stops = np.concatenate([stops, np.full(len(new), stop, np.uint8)])
+                last = stop
     remove_path(spark, path)
     phrase = F.substring_index("key", "\t", -1)
     frequent = totals.filter(F.col("n") >= least).select("key", phrase.alias("phrase"), "n")

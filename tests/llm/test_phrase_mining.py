@@ -1,7 +1,10 @@
 """Phrase mining against plain counts of all phrases, and its defined edge cases."""
 
+import glob
 import random
 import re
+import tempfile
+import time
 from collections import Counter, defaultdict
 
 import brute
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meterlens.llm import phrase_mining as pm
 from meterlens.llm.queries import ORACLE, QUERIES
+from meterlens.session import SHUFFLE_CLEANUP
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -94,6 +98,32 @@ def test_counts_are_exact_and_complete(spark):
     assert {r.lang: r.n_words for r in sizes.collect() if r.n_words} == {lang: k for lang, k in n.items() if k}
 
 
+def test_shuffle_files_of_a_stop_go_before_the_next(spark, monkeypatch):
+    """And the setting by which they go is as before afterwards, also after a failure."""
+
+    def held():
+        return set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+
+    before, setting, left, scan = held(), spark.conf.get(SHUFFLE_CLEANUP, None), [], pm.scan
+
+    def seen(*args):
+        for _ in range(100):  # they are deleted by a thread
+            if held() <= before:
+                break
+            time.sleep(0.05)
+        left.append(held() - before)
+        return scan(*args)
+
+    monkeypatch.setattr(pm, "scan", seen)
+    table = spark.createDataFrame(random_docs(8), "lang string, text string").repartition(3)
+    pm.frequent_phrases(table, 4, shards=3)
+    assert len(left) >= 3 and not any(left)
+    monkeypatch.setattr(pm, "scan", None)
+    with pytest.raises(TypeError):
+        pm.frequent_phrases(table, 4, shards=3)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+
+
 def test_long_repeated_text(spark):
     docs = [("en", "x " * 300_000), ("en", "y, " * 1000)]
     table = spark.createDataFrame(docs, "lang string, text string")
