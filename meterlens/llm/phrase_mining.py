@@ -46,6 +46,8 @@ NEVER = 255
 #: Phrases of a language ranked together, and parts that are ranked together next.
 RANKED, MERGED = 100_000, 32
 NO_LANGUAGE = "und"
+#: Of the stored words and counts: two tables of counts are on disk at a time.
+CODEC = "zstd"
 
 TOKENS = (
     "shard int, lang string, n_words long, vocabulary array<string>, hashes array<long>, words array<int>"
@@ -245,7 +247,7 @@ def frequent_phrases(
     spark = docs.sparkSession
     path = scratch_path(spark, "phrase-words")
     with short_shuffles(spark):  # else those of all stops are on disk together
-        token_rows(docs, text_col, lang_col, shards).write.partitionBy("shard").parquet(path)
+        token_rows(docs, text_col, lang_col, shards).write.partitionBy("shard").parquet(path, compression=CODEC)
         tokens = spark.read.schema(TOKENS).parquet(path)
         sizes = staged(tokens.groupBy("lang").agg(F.sum("n_words").alias("n_words")), "phrase-languages")
         used, stops = np.zeros(0, np.int64), np.zeros(0, np.uint8)
@@ -261,7 +263,7 @@ def frequent_phrases(
             enough = F.col("n") >= least
             found = found.filter(enough | (F.col("active") + shards > stop))
             before, stored = stored, scratch_path(spark, "phrase-counts")
-            found.write.parquet(stored)
+            found.write.parquet(stored, compression=CODEC)
             totals = spark.read.schema(COUNTED).parquet(stored)
             if before:
                 remove_path(spark, before)

@@ -124,6 +124,20 @@ def test_shuffle_files_of_a_stop_go_before_the_next(spark, monkeypatch):
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
 
 
+def test_stored_words_and_counts_are_packed(spark, monkeypatch):
+    stored, remove = [], pm.remove_path
+
+    def seen(session, path):
+        stored.extend(glob.glob(f"{path.removeprefix('file:')}/**/*.parquet", recursive=True))
+        remove(session, path)
+
+    monkeypatch.setattr(pm, "remove_path", seen)
+    table = spark.createDataFrame(random_docs(9), "lang string, text string").repartition(3)
+    pm.frequent_phrases(table, 4, shards=3)
+    assert {x.split("/")[-1].split(".")[-2] for x in stored} == {"zstd"}
+    assert {re.sub("-[0-9a-f]{12}/.*", "", x.split("phrase-")[1]) for x in stored} == {"counts", "words"}
+
+
 def test_long_repeated_text(spark):
     docs = [("en", "x " * 300_000), ("en", "y, " * 1000)]
     table = spark.createDataFrame(docs, "lang string, text string")
